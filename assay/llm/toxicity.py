@@ -26,7 +26,9 @@ DIMS = 1 << 20
 PER_CLASS = 3000
 FEATURES = 2048
 GRADES = 4
-MIN_Z = 5.0
+#: A feature is kept if chance does not explain it (standard errors between the classes) and it is rare among clean documents.
+MIN_Z, MIN_ODDS, OF_BEST = 4.0, 60.0, 0.3
+PREFIXES = (4, 5, 6, 7, 8, 9, 10, 12)
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -35,7 +37,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         y = np.asarray(b.column(0))
         for lo, hi in chunks(b.column(1)):
-            ids, rows, _ = word_feature_ids(b.column(1).slice(lo, hi - lo), DIMS)
+            ids, rows, _ = word_feature_ids(b.column(1).slice(lo, hi - lo), DIMS, PREFIXES)
             code = np.unique(rows * DIMS + ids)
             for c in (0, 1):
                 f, n = np.unique(code[y[lo + code // DIMS] == c] % DIMS, return_counts=True)
@@ -46,16 +48,18 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sparse(arr: pa.Array, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, column, log count) of the kept features in each text, and words a text."""
-    ids, rows, n_words = word_feature_ids(arr, DIMS)
-    at = np.minimum(np.searchsorted(kept, ids), len(kept) - 1) if len(kept) else np.zeros(len(ids), np.int64)
-    hit = kept[at] == ids if len(kept) else np.zeros(len(ids), bool)
-    code, n = np.unique(rows[hit] * max(len(kept), 1) + at[hit], return_counts=True)
+    ids, rows, n_words = word_feature_ids(arr, DIMS, PREFIXES)
+    there = np.zeros(DIMS, bool)
+    there[kept] = True
+    hit = np.flatnonzero(there[ids])
+    at = np.searchsorted(kept, ids[hit])
+    code, n = np.unique(rows[hit] * max(len(kept), 1) + at, return_counts=True)
     return code // max(len(kept), 1), code % max(len(kept), 1), np.log1p(n), n_words
 
 
 class OrdinalModel:
-    def __init__(self, kept: np.ndarray, w: np.ndarray, theta: np.ndarray):
-        self.kept, self.w, self.theta = kept, w, theta
+    def __init__(self, kept: np.ndarray, w: np.ndarray, theta: np.ndarray, cut: float = 0.5):
+        self.kept, self.w, self.theta, self.cut = kept, w, theta, cut
 
     def above(self, z: np.ndarray) -> np.ndarray:
         """P(grade > k) for each threshold."""
@@ -68,7 +72,7 @@ class OrdinalModel:
         return p.sum(axis=1), p[:, 0]
 
 
-def fit_ordinal(x: np.ndarray, y: np.ndarray, weight: np.ndarray, grades: int = GRADES, l2: float = 1e-3, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(x: np.ndarray, y: np.ndarray, weight: np.ndarray, grades: int = GRADES, l2: float = 1e-4, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
     """Shared weights and rising thresholds by full-batch Adam on the cumulative-link likelihood."""
     k = grades - 1
     par = np.zeros(x.shape[1] + k)
@@ -104,11 +108,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n = {r["y"]: r["count"] for r in size}
     if not n.get(0) or not n.get(1):
         raise ValueError("labels of both classes are needed")
-    # evidence of toxicity that chance does not explain: five standard errors between the classes' shares
     p1, p0, p = F.col("n1") / n[1], F.col("n0") / n[0], (F.col("n0") + F.col("n1")) / (n[0] + n[1])
     z = (p1 - p0) / F.sqrt(p * (1 - p) * (1 / n[1] + 1 / n[0]))
-    telling = both.where("n1 >= 4").withColumn("z", z).where((F.col("z") >= MIN_Z) & (p1 >= 4 * p0))
+    telling = both.where("n1 >= 4").withColumn("z", z).where((F.col("z") >= MIN_Z) & (p1 >= MIN_ODDS * p0))
     top = telling.orderBy(F.desc("z"), "f").limit(FEATURES).collect()
+    # the words of one document and its many copies reach a fraction of the best features' weight only
+    top = [r for r in top if r["z"] >= OF_BEST * top[0]["z"]]
     top.sort(key=lambda r: r["f"])
     kept = np.array([r["f"] for r in top], np.int64)
 
@@ -130,7 +135,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     grade = np.where(y == 1, 1 + np.searchsorted(cuts, share, "left"), 0)
     weight = np.where(y == 1, 0.5 / max((y == 1).mean(), 1e-9), 0.5 / max((y == 0).mean(), 1e-9))
     w, theta = fit_ordinal(x, grade, weight)
-    return OrdinalModel(kept, w, theta)
+    model = OrdinalModel(kept, w, theta)
+    model.cut = best_cut(model.above(x @ w)[:, 0], y, n[1] / (n[0] + n[1]))
+    return model
+
+
+def best_cut(p: np.ndarray, y: np.ndarray, prior: float) -> float:
+    """The chance of toxicity from which a document counts as toxic: best F1 with the classes at their true shares."""
+    steps = np.unique(np.quantile(p, np.linspace(0, 1, 400)))
+    cuts = (steps[1:] + steps[:-1]) / 2 if len(steps) > 1 else steps
+    hit = np.array([(p[y == 1] >= c).mean() for c in cuts]) * prior
+    false = np.array([(p[y == 0] >= c).mean() for c in cuts]) * (1 - prior)
+    return float(cuts[np.argmax(2 * hit / (prior + hit + false))])
 
 
 def _scorer(model: OrdinalModel):
@@ -143,8 +159,8 @@ def _scorer(model: OrdinalModel):
     return score
 
 
-def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", cut: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, severity, p_toxic, toxic) of every row."""
     kind = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(_scorer(model), f"key {kind}, severity double, p_toxic double")
-    return out.withColumnRenamed("key", id_col).withColumn("toxic", (F.col("p_toxic") >= cut).cast("int"))
+    return out.withColumnRenamed("key", id_col).withColumn("toxic", (F.col("p_toxic") >= model.cut).cast("int"))
