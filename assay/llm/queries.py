@@ -7,7 +7,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import ann, bpe, chat, lang_id, mixing, ngram_jaccard, quality, secrets, toxicity
+from assay.llm import ann, bpe, chat, images, lang_id, mixing, ngram_jaccard, quality, secrets, toxicity
 from assay.llm.features import crc_part
 from assay.session import ship, table
 
@@ -70,6 +70,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No driver table holds images: each row of ``embeddings`` gets the made-up image of its id."""
+    return images.copy_groups(images.made_up_images(table(ship(spark), sf_dir, "embeddings"), "vec_id"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(ship(spark), sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -98,6 +103,7 @@ QUERIES = {
     "op5_neighbours": op5_neighbours,
     "op6_chat": op6_chat,
     "op7_mixing": op7_mixing,
+    "op8_images": op8_images,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
     "pipeline": pipeline,
