@@ -1,0 +1,268 @@
+"""The numbered operators against brute force, exact round trips, held-out accuracy and odd inputs."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from assay.llm import ann, bpe, chat, images, lang_id, mixing, ngram_jaccard, quality, queries, secrets, toxicity
+from assay.llm.features import crc_part
+
+DATA = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, component_id long, size long"
+ODD = [None, "", " \t\n", "a", "One two", "ßİ\U0001f600 x y z", "x " * 30000, "same text here again", "same text here again", "SAME text here again"]
+
+
+def odd_docs(spark):
+    rows = [(i, t, None if i % 3 == 0 else "en", None if i % 4 == 0 else f"s{i % 2}", None, 1, 2) for i, t in enumerate(ODD)]
+    rows += [(None, "null id text here", "en", "s0", 1, 1, 1), (3, "a", "en", "s1", 1, 1, 1)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def shingles(text, k):
+    w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in WORD.findall(text or "")]
+    return frozenset(tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))) if w else frozenset()
+
+
+def brute_components(texts, k, t):
+    parent = {i: i for i in texts}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    sets, where = {i: shingles(x, k) for i, x in texts.items()}, collections.defaultdict(list)
+    for i in sorted(sets):
+        for j, n in collections.Counter(j for s in sets[i] for j in where[s]).items():
+            if n >= t * (len(sets[i]) + len(sets[j]) - n):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+        for s in sets[i]:
+            where[s].append(i)
+    return {i: root(i) for i in texts}, {i: len(s) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize(("k", "t"), [(3, Fraction(9, 10)), (5, Fraction(8, 10))])
+def test_jaccard_groups_equal_brute_force(spark, k, t, monkeypatch):
+    monkeypatch.setattr(ngram_jaccard, "PAIR_CELL", 3)
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(500)}" for _ in range(120)]
+    texts = {}
+    for i in range(150):
+        w = list(base) if i % 3 else [f"v{rng.randrange(900)}" for _ in range(rng.randrange(0, 40))]
+        for _ in range(rng.randrange(0, 4)):
+            if w:
+                w[rng.randrange(len(w))] = f"e{rng.randrange(9000)}"
+        texts[i] = " ".join(w)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in ngram_jaccard.jaccard_groups(df, width=k, threshold=t).collect()}
+    comp, size = brute_components(texts, k, t)
+    assert {i: r["component_id"] for i, r in got.items()} == comp
+    assert {i: r["n_shingles"] for i, r in got.items()} == size
+
+
+def test_jaccard_odd_inputs(spark):
+    rows = ngram_jaccard.jaccard_groups(odd_docs(spark)).collect()
+    assert len(rows) == len(ODD) + 2
+    by = {r["doc_id"]: r for r in rows}
+    assert by[0]["n_shingles"] == by[1]["n_shingles"] == by[2]["n_shingles"] == 0 and by[2]["component_id"] == 2
+    assert by[8]["component_id"] == by[9]["component_id"] == 7 and by[None]["component_id"] is None
+    assert ngram_jaccard.jaccard_groups(odd_docs(spark).limit(0)).count() == 0
+
+
+def test_count_bound_never_cuts_a_link():
+    rng = np.random.default_rng(1)
+    p, q = rng.poisson(4, (40, 64)), rng.poisson(4, (50, 64))
+    q[:20] = p[:20] + rng.integers(0, 2, (20, 64)) * (rng.random((20, 64)) < 0.05)
+    i, j = ngram_jaccard.leaf_join(p, q, Fraction(9, 10))
+    low = np.minimum(p[:, None], q[None]).sum(axis=2)
+    want = {(a, b) for a, b in np.argwhere(19 * low >= 9 * (p.sum(1)[:, None] + q.sum(1)[None]))}
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == want
+
+
+def test_language_held_out(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    rows = queries.op2_language(spark, DATA).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null").collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.93
+    model = lang_id.fit(docs, crc_part(F.col("doc_id"), 4) != 2)
+    odd = {r["doc_id"]: r for r in lang_id.predict(odd_docs(spark), model, ["doc_id"]).collect()}
+    assert odd[0]["lang_pred"] == odd[1]["lang_pred"] == odd[2]["lang_pred"] == "und" and odd[3]["lang_pred"] != "und"
+    assert all(0 <= r["score"] <= 1 for r in odd.values())
+    text = ["die ist und der", "x"]
+    dense = lang_id.shares(pa.array(text)) @ model.w + model.b
+    assert np.allclose(dense, model.margins(pa.array(text)), atol=1e-3)
+
+
+def test_bpe_is_the_tokenizers_library(spark):
+    from tokenizers import Tokenizer
+
+    ref = Tokenizer.from_file(queries.vocabulary_path())
+    rng = random.Random(2)
+    letters = [chr(c) for c in [*range(0, 0x250), 0x3A3, 0x130, 0x2126, 0x1F600, 0x4E2D, 0x300, 0x85, 0x2028, 0xFB01]]
+    texts = ["".join(rng.choices(letters, k=rng.randrange(0, 50))) for _ in range(400)]
+    texts += [t or "" for t in ODD] + ["it's <|endoftext|>I'LL<|startoftext|>", "ab" * 2000, "ΑΣ ΑΣΑ"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in bpe.encode_documents(df, queries.vocabulary_path()).collect()}
+    for i, t in enumerate(texts):
+        ids = ref.encode(t, add_special_tokens=False).ids
+        assert got[i]["ids"] == ids and got[i]["decoded"] == ref.decode(ids, skip_special_tokens=False)
+    null = spark.createDataFrame([(1, None)], "doc_id long, text string")
+    r = bpe.encode_documents(null, queries.vocabulary_path(), digests=True).first()
+    assert r["n_tokens"] == 0 and r["ids_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+def brute_spans(text):
+    out = []
+    for k, r in enumerate(secrets.BASE_RULES):
+        pattern = {"access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]+"}.get(r.kind, r.pattern)
+        for m in re.finditer(pattern, text or ""):
+            if (len(m[2]) >= 8) if r.kind == "assign" else (len(m[0]) >= {"access": 16, "hex": 32}[r.kind]):
+                out.append((m.start(), k, f"{r.kind}:{m.start()}:{m.end()}"))
+    return [s for _, _, s in sorted(out)]
+
+
+def test_secret_spans_redaction_and_ledger(spark):
+    texts = ["", None, 'é password = "abcdefgh1" x', "token=abc secret: 12345678", "token=secret: 12345678", "AKIAAKIA" + "A1" * 9 + "é" + "0f" * 20, "𝔸 api_key:" + "ab" * 16 + "zz PASSWD=short", "-----BEGIN RSA PRIVATE KEY-----"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, texts[2])], "doc_id long, text string")
+    found = secrets.find_secrets(df).select("doc_id", secrets.span_text(F.col("spans")).alias("s"), secrets.redact(F.col("text"), F.col("spans")).alias("r"))
+    rows = {r["doc_id"]: r for r in found.collect()}
+    for i, t in enumerate(texts):
+        base = [x for x in rows[i]["s"].split(",") if x.split(":")[0] in ("assign", "access", "hex")]
+        assert base == brute_spans(t)
+    assert rows[99]["s"] == rows[2]["s"] and "abcdefgh1" not in rows[2]["r"] and rows[1]["r"] is None
+    blobs = df.select(secrets.blob_id(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
+    ledger = secrets.scan_unseen(blobs).cache()
+    assert ledger.groupBy("blob", "kind").count().where("count > 1").isEmpty()
+    assert secrets.scan_unseen(blobs, ledger=ledger).isEmpty()
+    bumped = (*secrets.RULES[:-1], secrets.Rule(secrets.RULES[-1].kind, 2, secrets.RULES[-1].pattern))
+    assert {r["version"] for r in secrets.scan_unseen(blobs, bumped, ledger).collect()} == {2}
+
+
+def test_neighbours_recall_and_odd_vectors(spark):
+    rows = spark.read.parquet(f"{DATA}/embeddings.parquet")
+    got = collections.defaultdict(set)
+    for r in queries.op5_neighbours(spark, DATA).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    p = rows.toPandas()
+    x = np.stack(p.embedding).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hits = []
+    for q in p.vec_id[p.vec_id % 50 == 0]:
+        s = x @ x[(p.vec_id == q).to_numpy().argmax()]
+        s[(p.vec_id == q).to_numpy()] = -9
+        hits.append(len(got[q] & set(p.vec_id.to_numpy()[np.lexsort((p.vec_id, -s))[:5]])) / 5)
+    assert np.mean(hits) >= 0.9
+    v = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (None, [1.0, 1.0]), (7, [-1.0, 0.1])]
+    odd = ann.nearest(spark.createDataFrame(v, "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0).orderBy("rank").collect()
+    assert [r["vec_id"] for r in odd] == [1, 2, 7] and odd[0]["score"] == pytest.approx(1.0)
+    assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
+
+
+def test_chat_round_trip(spark):
+    said = [(1, 0, "system", "s"), (1, 1, "user", "</s>[INST] \\1\\0 <"), (1, 2, "assistant", "<<SYS>>\n[/INST]"), (2, 0, "assistant", "early"), (2, 1, None, None), (2, 1, "tool[", "[TEXT]"), (None, None, "user", "x")]
+    out = chat.format_chats(spark.createDataFrame(said, "conv_id long, turn long, role string, text string"))
+    rows = {r["conv_id"]: r for r in out.select("*", chat.read_back(F.col("formatted")).alias("back"), chat.masked_text(F.col("segments")).alias("learnt")).collect()}
+    assert [(x["role"], x["text"]) for x in rows[1]["back"]] == [(r, t) for _, _, r, t in said[:3]]
+    assert rows[1]["learnt"] == said[2][3] and rows[1]["first_bad_turn"] is None
+    assert [(x["role"], x["text"]) for x in rows[2]["back"]] == [("assistant", "early"), ("", ""), ("tool[", "[TEXT]")] and rows[2]["first_bad_turn"] == 1
+    assert rows[None]["n_turns"] == 1
+
+
+def test_mixing_targets_and_budget(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").unionByName(odd_docs(spark).select("doc_id", "text", "lang", "source", "n_chars"))
+    rows = mixing.mix(docs).collect()
+    src = docs.select("source", F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0)).alias("n")).groupBy("source").agg(F.sum("n").alias("n")).collect()
+    order = sorted(src, key=lambda r: (r["source"] is None, r["source"] or ""))
+    goal, weight = {}, {r["source"]: k % 3 + 1 for k, r in enumerate(order)}
+    open_, left = {r["source"]: r["n"] for r in order}, float(sum(r["n"] for r in order))
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        full = [s for s, n in open_.items() if 3 * n < level * weight[s]]
+        if not full:
+            goal |= {s: level * weight[s] for s in open_}
+            break
+        for s in full:
+            goal[s] = 3.0 * open_.pop(s)
+            left -= goal[s]
+    assert {round(r["target"], 4) for r in rows} == {round(v, 4) for v in goal.values()}
+    assert all(r["passes"] <= 3 and r["taken"] == r["passes"] * r["size"] for r in rows)
+    assert sum(r["taken"] for r in rows) <= sum(r["n"] for r in src)
+    again = mixing.mix(docs.repartition(7)).collect()
+    assert sorted((str(r["doc_id"]), r["taken"]) for r in rows) == sorted((str(r["doc_id"]), r["taken"]) for r in again)
+    assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_image_copies(spark):
+    img = images.made_up_images(spark.range(60), "id")
+    more = spark.createDataFrame([(100, images.write_pgm(np.zeros((64, 64)))), (101, None), (102, bytearray(b"junk")), (None, images.write_pgm(images.made_up(0)))], "image_id long, image binary")
+    got = {r["image_id"]: r for r in images.copy_groups(img.unionByName(more)).collect()}
+    want = {i: 5 * (i // 5) if i % 5 < 3 else i for i in range(60)}
+    assert sum(got[i]["group_id"] == w for i, w in want.items()) >= 58
+    assert all(got[i]["group_id"] in (i, w) for i, w in want.items())
+    assert got[101]["group_id"] == 101 and got[102]["n_links"] == 0 and got[None]["group_id"] is None
+
+
+def test_toxicity(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    rows = toxicity.score(docs, model).join(labels.withColumnRenamed("toxic", "y"), "doc_id").collect()
+    assert np.mean([r["toxic"] for r in rows if r["y"] == 0]) < 0.05
+    assert np.mean([r["severity"] for r in rows if r["y"] == 1]) > 2 * np.mean([r["severity"] for r in rows if r["y"] == 0])
+    odd = toxicity.score(odd_docs(spark), model).collect()
+    assert len(odd) == len(ODD) + 2 and all(0 <= r["severity"] <= 3 for r in odd)
+    x = np.array([[0.0], [0.0], [1.0], [2.0], [3.0]] * 20)
+    w, theta = toxicity.fit_ordinal(x, np.array([0, 0, 1, 2, 3] * 20), np.ones(100))
+    assert w[0] > 0 and list(theta) == sorted(theta)
+
+
+def brute_marginals(u, trans):
+    total, good = 0.0, np.zeros(len(u))
+    for code in range(2 ** len(u)):
+        s = [(code >> k) & 1 for k in range(len(u))]
+        p = math.exp(sum(a * b for a, b in zip(u, s, strict=True)) + sum(trans[a][b] for a, b in zip(s, s[1:], strict=False)))
+        total += p
+        good += p * np.array(s)
+    return good / total
+
+
+def test_quality_marginals_and_accuracy(spark):
+    rng = np.random.default_rng(0)
+    u, trans = rng.normal(size=9), rng.normal(size=(2, 2))
+    p, _ = quality.marginals(u, np.array([0, 5, 6, 9]), trans)
+    want = np.concatenate([brute_marginals(u[a:b], trans) for a, b in ((0, 5), (5, 6), (6, 9))])
+    assert np.allclose(p, want)
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = queries.op10_quality(spark, "/root/testdata/sf0.01").join(labels, "doc_id").where("held_out").collect()
+    assert np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.93
+    model = quality.fit(docs, labels)
+    odd = quality.score(odd_docs(spark), model, ["doc_id", "size"]).collect()
+    assert len(odd) == len(ODD) + 2 and all(0 <= r["_score"] <= 1 for r in odd)
+
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline as cp
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    extra = spark.createDataFrame([(None, None, None, None, None), (10**6, "password=abcdefgh12 " + "plain words go here and there. " * 9, "en", "src0", 1)], docs.schema)
+    step = docs.unionByName(extra)
+    kept = cp.keep_good(spark, step, DATA)
+    assert kept.columns == docs.columns
+    texts = {r["doc_id"]: r["text"] for r in kept.collect() if r["doc_id"] is not None}
+    one = cp.one_of_each_group(spark, kept, DATA)
+    comp, _ = brute_components(texts, 5, Fraction(8, 10))
+    assert {r["doc_id"] for r in one.where("doc_id is not null").collect()} == set(comp.values())
+    clean = cp.redact_secrets(spark, one, DATA)
+    assert clean.count() == one.count() and not any(brute_spans(r["text"]) for r in clean.collect())
+    mixed = cp.mix_sources(spark, clean, DATA)
+    taken = {r["doc_id"]: r["passes"] for r in mixing.mix(clean).collect() if r["doc_id"] is not None and r["passes"]}
+    assert collections.Counter(r["doc_id"] for r in mixed.collect() if r["doc_id"] is not None) == taken
+    assert cp.token_ids(spark, mixed, DATA).count() == mixed.count()
