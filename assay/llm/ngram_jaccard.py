@@ -10,10 +10,10 @@ Every text becomes the set of its distinct word shingles. Shingles are hashed in
   therefore compared only where they share a (size family, group, content) cell, and none that links is missed. A bare
   R-tree over count vectors would be visited almost whole, as random texts of one length lie equally far apart.
 
-Equal sets are one class, whatever their number. In a cell of up to ``PAIR_CELL`` classes all pairs are bounded. In a
-larger cell every class is first held against one leader; classes that are then already in one component need no
-further pair, and the rest meet the whole cell in blocks of packed leaves, inside tasks, which give out survivors only.
-Survivors are verified on the texts' own shingles.
+Equal sets are one class, whatever their number. In every cell each class is first held against one leader. Classes
+that are then in one component need no further pair; those of different components meet pair by pair in a cell of up to
+``PAIR_CELL`` classes, and beyond that in blocks of packed leaves, inside tasks, which give out survivors only. Survivors
+are verified on the texts' own shingles.
 
 Defined results: a null or empty text, or one of white space only, has no shingles and no link. Rows with a null id
 are returned with a null component and link with nothing. Rows that repeat an id are returned each; they share its links.
@@ -34,7 +34,7 @@ from assay.llm.hashing import chunks, mix, shingle_sets
 from assay.llm.store import Scratch
 
 POINT_DIMS = 64
-PAIR_CELL = 24
+PAIR_CELL = 8
 BLOCK = 512
 LEAF = 16
 _U = np.uint64
@@ -205,45 +205,55 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # one class for each distinct set; copies collapse before the shuffle
     of_class = [F.min("id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("point").alias("point"), F.first("cells").alias("cells")]
     classes = scratch.keep(signed.where("id is not null and n_shingles > 0").groupBy("d1", "d2").agg(*of_class), "classes")
+    signed = scratch.keep(signed.select("id", "n_shingles", "d1", "d2"), "signatures")
+    scratch.drop("signed")
     rep_points = classes.select(F.col("rep").alias("id"), "point")
 
     cells = classes.select(F.explode("cells").alias("cell"), F.col("rep").alias("id"))
     w = Window.partitionBy("cell")
     shared = cells.withColumn("m", F.count("*").over(w)).where("m > 1").withColumn("leader", F.min_by("id", F.xxhash64("id")).over(w))
     shared = scratch.keep(shared, "shared")
-    scratch.drop("cells")
-
-    small = shared.where(F.col("m") <= PAIR_CELL)
-    pairs = small.select("cell", F.col("id").alias("a")).join(small.select("cell", F.col("id").alias("b")), "cell").where("a < b").select("a", "b")
-    star = shared.where((F.col("m") > PAIR_CELL) & (F.col("id") != F.col("leader"))).select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
-    pairs = pairs.unionByName(star).distinct()
-    p_a, p_b = rep_points.select(F.col("id").alias("a"), F.col("point").alias("pa")), rep_points.select(F.col("id").alias("b"), F.col("point").alias("pb"))
-    near = scratch.keep(pairs.join(p_a, "a").join(p_b, "b").select("a", "b", "pa", "pb").mapInArrow(_bounder(t), "a long, b long"), "near")
-
-    wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    # a class id is the smallest row id of its class, so its text is that of a row with this id and this set
-    texts = base.join(wanted, "id", "left_semi").dropDuplicates(["id"])
-    links = _links(near, texts, width, t, scratch)
-    found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch, "first")
-
-    # cells too large for all pairs: what the leaders left apart meets the whole cell in blocks
-    large = shared.where(F.col("m") > PAIR_CELL).join(found, "id", "left").select("cell", "id", F.coalesce("component", "id").alias("component"))
-    by_component = large.groupBy("cell", "component").agg(F.count("*").alias("k"))
-    main = by_component.groupBy("cell").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.sum("k").alias("m"), F.max("k").alias("most")).where("most < m")
-    main = main.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("loose_blocks", F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int"))
-    apart = scratch.keep(large.join(main.drop("most"), "cell").join(rep_points, "id"), "apart")
-    if not apart.isEmpty():
-        salt = F.xxhash64("id")
-        loose = apart.where("component <> main").select("cell", "id", "component", "point", F.pmod(salt, F.col("loose_blocks")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
-        whole = apart.select("cell", "id", "component", "point", F.explode(F.sequence(F.lit(0), F.col("loose_blocks") - 1)).alias("i"), F.pmod(salt, F.col("blocks")).cast("int").alias("j"))
-        more = loose.groupBy("cell", "i", "j").cogroup(whole.groupBy("cell", "i", "j")).applyInPandas(_block_joiner(t), "a long, b long").distinct()
-        more = scratch.keep(more, "more")
-        wanted = more.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        texts = base.join(wanted, "id", "left_semi").dropDuplicates(["id"])
-        more = _links(more, texts, width, t, scratch)
-        star_edges = found.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
-        found = components(star_edges.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v"))), scratch, "second")
-    scratch.drop("shared", "near", "apart", "more", "links")
+
+    def bounded(pairs: DataFrame) -> DataFrame:
+        p_a, p_b = rep_points.select(F.col("id").alias("a"), F.col("point").alias("pa")), rep_points.select(F.col("id").alias("b"), F.col("point").alias("pb"))
+        full = pairs.distinct().join(p_a, "a").join(p_b, "b").select("a", "b", "pa", "pb")
+        return full.mapInArrow(_bounder(t), "a long, b long")
+
+    def verified(near: DataFrame) -> DataFrame:
+        near = scratch.keep(near, "near")
+        wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        # a class id is the smallest row id of its class, so its text is that of a row with this id and this set
+        links = _links(near, base.join(wanted, "id", "left_semi").dropDuplicates(["id"]), width, t, scratch)
+        scratch.drop("near")
+        return links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+    # first every class of a cell against the cell's leader
+    star = shared.where(F.col("id") != F.col("leader")).select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
+    found = components(verified(bounded(star)), scratch, "first")
+
+    # then, in cells that hold several components still, the pairs of different components
+    parts = shared.where("m > 2").join(found, "id", "left").select("cell", "id", "m", F.coalesce("component", "id").alias("component"))
+    by_component = parts.groupBy("cell", "component").agg(F.count("*").alias("k"))
+    main = by_component.groupBy("cell").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("cell", "main")
+    apart = scratch.keep(parts.join(main, "cell"), "apart")
+    scratch.drop("shared", "links")
+    small = apart.where(F.col("m") <= PAIR_CELL)
+    left, right = (small.select("cell", F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in ("a", "b"))
+    more = bounded(left.join(right, "cell").where("a < b and ca <> cb").select("a", "b"))
+    large = scratch.keep(apart.where(F.col("m") > PAIR_CELL).select("main", "id", "component").distinct().join(rep_points, "id"), "large")
+    if not large.isEmpty():
+        # cells with one main component overlap: they are met as one, so that no pair comes twice
+        sizes = large.groupBy("main").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.ceil(F.count_if(F.col("component") != F.col("main")) / BLOCK).cast("int").alias("loose_blocks"))
+        placed, salt = large.join(sizes, "main"), F.xxhash64("id")
+        loose = placed.where("component <> main").select("main", "id", "component", "point", F.pmod(salt, F.col("loose_blocks")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+        whole = placed.select(*(F.col(c).alias(c) for c in ("main", "id", "component", "point")), F.explode(F.sequence(F.lit(0), F.col("loose_blocks") - 1)).alias("i"), F.pmod(salt, F.col("blocks")).cast("int").alias("j"))
+        at = ("main", "i", "j")
+        more = more.unionByName(loose.groupBy(*at).cogroup(whole.groupBy(*at)).applyInPandas(_block_joiner(t), "a long, b long")).distinct()
+    links = verified(more)
+    scratch.drop("apart", "large")
+    star_edges = found.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
+    found = components(star_edges.unionByName(links), scratch, "second")
+    scratch.drop("links")
 
     label = classes.select("d1", "d2", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
     label = scratch.keep(label, "labels")
