@@ -12,8 +12,8 @@ Every text becomes the set of its distinct word shingles. Shingles are hashed in
 
 Equal sets are one class, whatever their number. In every cell each class is first held against one leader. Classes
 that are then in one component need no further pair; those of different components meet pair by pair in a cell of up to
-``PAIR_CELL`` classes, and beyond that in blocks of packed leaves, inside tasks, which give out survivors only. Survivors
-are verified on the texts' own shingles.
+``PAIR_CELL`` classes, and beyond that in blocks of packed leaves, inside tasks, which give out links only. Survivors of
+the bound are verified on the texts' own shingles.
 
 Defined results: a null or empty text, or one of white space only, has no shingles and no link. Rows with a null id
 are returned with a null component and link with nothing. Rows that repeat an id are returned each; they share its links.
@@ -35,8 +35,11 @@ from assay.llm.store import Scratch
 
 POINT_DIMS = 64
 PAIR_CELL = 8
-BLOCK = 512
+#: Shingles on either side of a block.
+BLOCK = 1 << 18
 LEAF = 16
+#: Most ids that are broadcast: 8 bytes each, under 100 MB as a hash table.
+BROADCAST_IDS = 3_000_000
 _U = np.uint64
 
 
@@ -170,22 +173,55 @@ def leaf_join(p: np.ndarray, q: np.ndarray, t: Fraction) -> tuple[np.ndarray, np
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
+def _set_maker(width: int):
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi in chunks(b.column(1)):
+                val, _, at = shingle_sets(b.column(1).slice(lo, hi - lo), width)
+                sets = [val[x:y].astype("<u8").tobytes() for x, y in zip(at, at[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(sets, pa.binary())], ["id", "set"])
+
+    return make
+
+
+def shared_sizes(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of a sorted set with each of the others, none of them empty."""
+    flat = np.concatenate(others)
+    hit = one[np.minimum(np.searchsorted(one, flat), len(one) - 1)] == flat
+    ends = np.cumsum([len(x) for x in others])
+    run = np.concatenate(([0], np.cumsum(hit)))
+    return np.diff(run[np.concatenate(([0], ends))])
+
+
 def _block_joiner(t: Fraction):
+    """Links between the loose sets of a block and the whole of it: points cut first, the sets themselves decide."""
+
     def join(loose, whole):
         import pandas as pd
 
-        if not len(loose) or not len(whole):
-            return pd.DataFrame({"a": [], "b": []}).astype("int64")
-        p, q = points(loose["point"]), points(whole["point"])
-        i, j = leaf_join(p, q, t)
-        a, b = loose["id"].to_numpy()[i], whole["id"].to_numpy()[j]
-        apart = (loose["component"].to_numpy()[i] != whole["component"].to_numpy()[j]) & (a != b)
-        a, b = a[apart], b[apart]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+        found = []
+        if len(loose) and len(whole):
+            sets_a, sets_b = ([np.frombuffer(x, "<u8") for x in side["set"]] for side in (loose, whole))
+            i, j = leaf_join(*(np.stack([np.bincount((x >> _U(58)).astype(np.int64), minlength=POINT_DIMS) for x in s]) for s in (sets_a, sets_b)), t)
+            ids_a, ids_b = loose["id"].to_numpy(), whole["id"].to_numpy()
+            apart = (loose["component"].to_numpy()[i] != whole["component"].to_numpy()[j]) & (ids_a[i] != ids_b[j])
+            order = np.argsort(i[apart], kind="stable")
+            i, j = i[apart][order], j[apart][order]
+            for mine in np.split(np.arange(len(i)), np.flatnonzero(np.diff(i)) + 1) if len(i) else []:
+                k, near = i[mine[0]], [sets_b[x] for x in j[mine]]
+                linked = ids_b[j[mine][_enough(shared_sizes(sets_a[k], near), len(sets_a[k]), np.array([len(x) for x in near]), t)]]
+                found.append(np.stack([np.minimum(ids_a[k], linked), np.maximum(ids_a[k], linked)], axis=1))
+        out = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        return pd.DataFrame({"u": out[:, 0], "v": out[:, 1]}).drop_duplicates()
 
     return join
 
 
+def bounded_broadcast(ids: DataFrame) -> DataFrame:
+    """A written table of ids, marked for broadcast if it has at most ``BROADCAST_IDS`` rows; beyond that Spark shuffles."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def _links(pairs: DataFrame, texts: DataFrame, width: int, t: Fraction, scratch: Scratch) -> DataFrame:
     """Those of the pairs whose shingle sets reach the threshold."""
     t_a = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
@@ -221,10 +257,10 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def verified(near: DataFrame) -> DataFrame:
         near = scratch.keep(near, "near")
-        wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        # a class id is the smallest row id of its class, so its text is that of a row with this id and this set
-        links = _links(near, base.join(wanted, "id", "left_semi").dropDuplicates(["id"]), width, t, scratch)
-        scratch.drop("near")
+        wanted = scratch.keep(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
+        # rows that repeat an id with other texts stand beside each other: a link of either counts for the id
+        links = _links(near, base.join(bounded_broadcast(wanted), "id", "left_semi").dropDuplicates(["id", "text"]), width, t, scratch)
+        scratch.drop("near", "wanted")
         return links.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
     # first every class of a cell against the cell's leader
@@ -239,21 +275,28 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch.drop("shared", "links")
     small = apart.where(F.col("m") <= PAIR_CELL)
     left, right = (small.select("cell", F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in ("a", "b"))
-    more = bounded(left.join(right, "cell").where("a < b and ca <> cb").select("a", "b"))
-    large = scratch.keep(apart.where(F.col("m") > PAIR_CELL).select("main", "id", "component").distinct().join(rep_points, "id"), "large")
+    links = verified(bounded(left.join(right, "cell").where("a < b and ca <> cb").select("a", "b")))
+    large = scratch.keep(apart.where(F.col("m") > PAIR_CELL).select("main", "id", "component").distinct(), "large")
     if not large.isEmpty():
+        # each text's set travels once for a block, not once for a pair
+        wanted = scratch.keep(large.select("id").distinct(), "wanted")
+        texts = base.join(bounded_broadcast(wanted), "id", "left_semi").dropDuplicates(["id", "text"])
+        sets = scratch.keep(texts.mapInArrow(_set_maker(width), "id long, set binary"), "sets")
         # cells with one main component overlap: they are met as one, so that no pair comes twice
-        sizes = large.groupBy("main").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.ceil(F.count_if(F.col("component") != F.col("main")) / BLOCK).cast("int").alias("loose_blocks"))
-        placed, salt = large.join(sizes, "main"), F.xxhash64("id")
-        loose = placed.where("component <> main").select("main", "id", "component", "point", F.pmod(salt, F.col("loose_blocks")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
-        whole = placed.select(*(F.col(c).alias(c) for c in ("main", "id", "component", "point")), F.explode(F.sequence(F.lit(0), F.col("loose_blocks") - 1)).alias("i"), F.pmod(salt, F.col("blocks")).cast("int").alias("j"))
+        sized = large.join(sets, "id")
+        bulk = F.ceil(F.sum(F.length("set")) / (8 * BLOCK)).cast("int")
+        sizes = sized.groupBy("main").agg(bulk.alias("blocks"), F.coalesce(F.ceil(F.sum(F.when(F.col("component") != F.col("main"), F.length("set"))) / (8 * BLOCK)).cast("int"), F.lit(1)).alias("loose_blocks"))
+        placed, salt = sized.join(sizes, "main"), F.xxhash64("id")
+        carried = ("main", "id", "component", "set")
+        loose = placed.where("component <> main").select(*carried, F.pmod(salt, F.col("loose_blocks")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+        whole = placed.select(*(F.col(c).alias(c) for c in carried), F.explode(F.sequence(F.lit(0), F.col("loose_blocks") - 1)).alias("i"), F.pmod(salt, F.col("blocks")).cast("int").alias("j"))
         at = ("main", "i", "j")
-        more = more.unionByName(loose.groupBy(*at).cogroup(whole.groupBy(*at)).applyInPandas(_block_joiner(t), "a long, b long")).distinct()
-    links = verified(more)
-    scratch.drop("apart", "large")
+        links = links.unionByName(loose.groupBy(*at).cogroup(whole.groupBy(*at)).applyInPandas(_block_joiner(t), "u long, v long"))
+    links = scratch.keep(links, "more")
+    scratch.drop("apart", "large", "sets", "wanted")
     star_edges = found.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
     found = components(star_edges.unionByName(links), scratch, "second")
-    scratch.drop("links")
+    scratch.drop("links", "more")
 
     label = classes.select("d1", "d2", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
     label = scratch.keep(label, "labels")
