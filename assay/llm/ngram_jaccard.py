@@ -10,10 +10,11 @@ Every text becomes the set of its distinct word shingles. Shingles are hashed in
   therefore compared only where they share a (size family, group, content) cell, and none that links is missed. A bare
   R-tree over count vectors would be visited almost whole, as random texts of one length lie equally far apart.
 
-Equal sets are one class, whatever their number. In every cell each class is first held against one leader. Classes
-that are then in one component need no further pair; those of different components meet pair by pair in a cell of up to
-``PAIR_CELL`` classes, and beyond that in blocks of packed leaves, inside tasks, which give out links only. Survivors of
-the bound are verified on the texts' own shingles.
+Equal sets are one class, whatever their number. In a cell of up to ``PAIR_CELL`` classes all pairs meet; as most groups
+of two linked sets agree, a pair goes on only if it shares as many cells as its sizes ask for. In a larger cell each class
+is first held against one leader; classes that are then in one component need no further pair, and those of different
+components meet in blocks of packed leaves, inside tasks, which give out links only. What the bound lets through is
+verified on the texts' own shingles.
 
 Defined results: a null or empty text, or one of white space only, has no shingles and no link. Rows with a null id
 are returned with a null component and link with nothing. Rows that repeat an id are returned each; they share its links.
@@ -35,8 +36,9 @@ from assay.llm.store import Scratch
 
 POINT_DIMS = 64
 PAIR_CELL = 8
-#: Shingles on either side of a block.
-BLOCK = 1 << 18
+#: Coordinates of the points that are compared in blocks of hot cells.
+FINE_DIMS = 256
+BLOCK = 512
 LEAF = 16
 #: Most ids that are broadcast: 8 bytes each, under 100 MB as a hash table.
 BROADCAST_IDS = 3_000_000
@@ -89,8 +91,8 @@ def _cells(val: np.ndarray, row: np.ndarray, sizes: np.ndarray, t: Fraction) ->
     return np.split(key[order].view(np.int64), np.searchsorted(owner[order], np.arange(1, n)))
 
 
-def _signer(width: int, t: Fraction):
-    schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("point", pa.binary()), ("cells", pa.list_(pa.int64()))])
+def _signer(width: int):
+    schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("point", pa.binary())])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,7 +105,6 @@ def _signer(width: int, t: Fraction):
                 np.add.at(d2, row, mix(val ^ _U(0x5A5A5A5A5A5A)))
                 point = np.bincount(row * POINT_DIMS + (val >> _U(58)).astype(np.int64), minlength=n * POINT_DIMS).astype("<u4").reshape(n, POINT_DIMS)
                 wide = point.max(initial=0) > 65535
-                cells = _cells(val, row, sizes, t) if n else []
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(lo, n).cast(pa.int64()),
@@ -111,17 +112,51 @@ def _signer(width: int, t: Fraction):
                         pa.array(d1.view(np.int64)),
                         pa.array(d2.view(np.int64)),
                         pa.array([x.tobytes() for x in (point if wide else point.astype("<u2"))], pa.binary()),
-                        pa.array(cells, pa.list_(pa.int64())),
                     ],
                     schema=schema,
                 )
 
-    return sign, "id long, n_shingles long, d1 long, d2 long, point binary, cells array<long>"
+    return sign, "id long, n_shingles long, d1 long, d2 long, point binary"
 
 
-def points(column) -> np.ndarray:
-    """Points of a binary column as one matrix; a set with a count beyond 65,535 has wide coordinates."""
-    return np.stack([np.frombuffer(x, "<u2" if len(x) == 2 * POINT_DIMS else "<u4").astype(np.int32) for x in column]) if len(column) else np.zeros((0, POINT_DIMS), np.int32)
+def _celler(width: int, t: Fraction):
+    def cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi in chunks(b.column(1)):
+                val, row, at = shingle_sets(b.column(1).slice(lo, hi - lo), width)
+                sizes = np.diff(at)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(sizes.astype(np.int32)), pa.array(_cells(val, row, sizes, t), pa.list_(pa.int64()))], ["id", "n", "cells"])
+
+    return cell, "id long, n int, cells array<long>"
+
+
+def cells_needed(a: np.ndarray, b: np.ndarray, t: Fraction) -> np.ndarray:
+    """Least number of cells that two linked sets of sizes a and b share: groups less those that may differ or be empty."""
+    ends = size_bands(t, int(max(a.max(initial=1), b.max(initial=1))))
+    band_a, band_b = (np.searchsorted(ends, x, "right") - 1 for x in (a, b))
+    differ = (a + b) * (t.denominator - t.numerator) // (t.denominator + t.numerator)
+    need = np.zeros(len(a), np.int64)
+    for step in (0, 1):
+        family = np.minimum(band_a, band_b) + step
+        both = (band_a == band_b) | ((step == 1) & (np.abs(band_a - band_b) == 1))
+        g, spare = family_shape(ends, np.where(both, family, 0), t)
+        need += np.where(both & (g > 1), np.maximum(g - spare - differ, 1), 0)
+    # sets of other bands never link
+    return np.where(np.abs(band_a - band_b) > 1, np.iinfo(np.int64).max, np.maximum(need, 1))
+
+
+def _counter(t: Fraction):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            shared, a, b = (np.asarray(x.column(k)).astype(np.int64) for k in (2, 3, 4))
+            yield x.select([0, 1]).filter(pa.array(shared >= cells_needed(a, b, t)))
+
+    return count
+
+
+def points(column, dims: int = POINT_DIMS) -> np.ndarray:
+    """Points of a binary column as one matrix; their coordinates are as wide as their counts ask for."""
+    return np.stack([np.frombuffer(x, f"<u{len(x) // dims}").astype(np.int32) for x in column]) if len(column) else np.zeros((0, dims), np.int32)
 
 
 def _enough(overlap, a, b, t: Fraction):
@@ -173,46 +208,31 @@ def leaf_join(p: np.ndarray, q: np.ndarray, t: Fraction) -> tuple[np.ndarray, np
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
-def _set_maker(width: int):
+def _fine_pointer(width: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi in chunks(b.column(1)):
-                val, _, at = shingle_sets(b.column(1).slice(lo, hi - lo), width)
-                sets = [val[x:y].astype("<u8").tobytes() for x, y in zip(at, at[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(sets, pa.binary())], ["id", "set"])
+                val, row, at = shingle_sets(b.column(1).slice(lo, hi - lo), width)
+                n = hi - lo
+                fine = np.bincount(row * FINE_DIMS + (val >> _U(56)).astype(np.int64), minlength=n * FINE_DIMS).reshape(n, FINE_DIMS)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, n), pa.array([x.astype(np.min_scalar_type(x.max())).tobytes() for x in fine], pa.binary())], ["id", "fine"])
 
     return make
 
 
-def shared_sizes(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-    """Size of the intersection of a sorted set with each of the others, none of them empty."""
-    flat = np.concatenate(others)
-    hit = one[np.minimum(np.searchsorted(one, flat), len(one) - 1)] == flat
-    ends = np.cumsum([len(x) for x in others])
-    run = np.concatenate(([0], np.cumsum(hit)))
-    return np.diff(run[np.concatenate(([0], ends))])
-
-
 def _block_joiner(t: Fraction):
-    """Links between the loose sets of a block and the whole of it: points cut first, the sets themselves decide."""
+    """Pairs of different components, one from either side of a block, that the fine points let through."""
 
     def join(loose, whole):
         import pandas as pd
 
-        found = []
-        if len(loose) and len(whole):
-            sets_a, sets_b = ([np.frombuffer(x, "<u8") for x in side["set"]] for side in (loose, whole))
-            i, j = leaf_join(*(np.stack([np.bincount((x >> _U(58)).astype(np.int64), minlength=POINT_DIMS) for x in s]) for s in (sets_a, sets_b)), t)
-            ids_a, ids_b = loose["id"].to_numpy(), whole["id"].to_numpy()
-            apart = (loose["component"].to_numpy()[i] != whole["component"].to_numpy()[j]) & (ids_a[i] != ids_b[j])
-            order = np.argsort(i[apart], kind="stable")
-            i, j = i[apart][order], j[apart][order]
-            for mine in np.split(np.arange(len(i)), np.flatnonzero(np.diff(i)) + 1) if len(i) else []:
-                k, near = i[mine[0]], [sets_b[x] for x in j[mine]]
-                linked = ids_b[j[mine][_enough(shared_sizes(sets_a[k], near), len(sets_a[k]), np.array([len(x) for x in near]), t)]]
-                found.append(np.stack([np.minimum(ids_a[k], linked), np.maximum(ids_a[k], linked)], axis=1))
-        out = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"u": out[:, 0], "v": out[:, 1]}).drop_duplicates()
+        if not len(loose) or not len(whole):
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+        i, j = leaf_join(points(loose["fine"], FINE_DIMS), points(whole["fine"], FINE_DIMS), t)
+        a, b = loose["id"].to_numpy()[i], whole["id"].to_numpy()[j]
+        apart = (loose["component"].to_numpy()[i] != whole["component"].to_numpy()[j]) & (a != b)
+        a, b = a[apart], b[apart]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
     return join
 
@@ -235,65 +255,73 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark, t = docs.sparkSession, Fraction(threshold)
     scratch = Scratch(spark)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sign, ddl = _signer(width, t)
+    sign, ddl = _signer(width)
     signed = scratch.keep(base.mapInArrow(sign, ddl), "signed")
 
-    # one class for each distinct set; copies collapse before the shuffle
-    of_class = [F.min("id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("point").alias("point"), F.first("cells").alias("cells")]
-    classes = scratch.keep(signed.where("id is not null and n_shingles > 0").groupBy("d1", "d2").agg(*of_class), "classes")
+    # one class for each distinct set; copies collapse before the shuffle and have no cells
+    some = signed.where("id is not null and n_shingles > 0")
+    classes = scratch.keep(some.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.first("point").alias("point")), "classes")
     signed = scratch.keep(signed.select("id", "n_shingles", "d1", "d2"), "signatures")
     scratch.drop("signed")
     rep_points = classes.select(F.col("rep").alias("id"), "point")
+    others = scratch.keep(signed.where("id is not null").select("id").distinct().join(classes.select(F.col("rep").alias("id")), "id", "left_anti"), "others")
 
-    cells = classes.select(F.explode("cells").alias("cell"), F.col("rep").alias("id"))
+    to_cells, ddl = _celler(width, t)
+    cells = base.where("id is not null").join(bounded_broadcast(others), "id", "left_anti").mapInArrow(to_cells, ddl).select(F.explode("cells").alias("cell"), "id", "n")
     w = Window.partitionBy("cell")
-    shared = cells.withColumn("m", F.count("*").over(w)).where("m > 1").withColumn("leader", F.min_by("id", F.xxhash64("id")).over(w))
-    shared = scratch.keep(shared, "shared")
+    shared = cells.withColumn("m", F.count("*").over(w)).where("m > 1").withColumn("lead", F.min_by(F.struct("id", "n"), F.xxhash64("id")).over(w))
+    shared = scratch.keep(shared.select("cell", "id", "n", "m", F.col("lead.id").alias("leader"), F.col("lead.n").alias("leader_n")), "shared")
+    scratch.drop("others")
+
+    def plausible(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b, na, nb; a row for each shared cell) that share as many cells as a link needs."""
+        counted = pairs.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("k"))
+        return counted.select("a", "b", "k", "na", "nb").mapInArrow(_counter(t), "a long, b long")
 
     def bounded(pairs: DataFrame) -> DataFrame:
         p_a, p_b = rep_points.select(F.col("id").alias("a"), F.col("point").alias("pa")), rep_points.select(F.col("id").alias("b"), F.col("point").alias("pb"))
-        full = pairs.distinct().join(p_a, "a").join(p_b, "b").select("a", "b", "pa", "pb")
+        full = pairs.join(p_a, "a").join(p_b, "b").select("a", "b", "pa", "pb")
         return full.mapInArrow(_bounder(t), "a long, b long")
 
     def verified(near: DataFrame) -> DataFrame:
         near = scratch.keep(near, "near")
-        wanted = scratch.keep(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
+        wanted = scratch.keep(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
         # rows that repeat an id with other texts stand beside each other: a link of either counts for the id
         links = _links(near, base.join(bounded_broadcast(wanted), "id", "left_semi").dropDuplicates(["id", "text"]), width, t, scratch)
-        scratch.drop("near", "wanted")
+        scratch.drop("near", "ids")
         return links.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
-    # first every class of a cell against the cell's leader
-    star = shared.where(F.col("id") != F.col("leader")).select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
-    found = components(verified(bounded(star)), scratch, "first")
-
-    # then, in cells that hold several components still, the pairs of different components
-    parts = shared.where("m > 2").join(found, "id", "left").select("cell", "id", "m", F.coalesce("component", "id").alias("component"))
+    # in a small cell every class meets every other; a pair with small cells alone is counted in all of them
+    small = shared.where(F.col("m") <= PAIR_CELL)
+    left, right = (small.select("cell", F.col("id").alias(x), F.col("n").alias(f"n{x}")) for x in ("a", "b"))
+    pairs = plausible(left.join(right, "cell").where("a < b"))
+    # in a large one each class meets the leader first
+    star = shared.where((F.col("m") > PAIR_CELL) & (F.col("id") != F.col("leader")))
+    first = F.col("id") < F.col("leader")
+    star = star.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"), F.when(first, F.col("n")).otherwise(F.col("leader_n")).alias("na"), F.when(first, F.col("leader_n")).otherwise(F.col("n")).alias("nb"))
+    found = components(verified(bounded(pairs.unionByName(plausible(star)).distinct())), scratch, "first")
+
+    # then, in large cells that hold several components still, the pairs of different components, in blocks
+    parts = shared.where(F.col("m") > PAIR_CELL).join(found, "id", "left").select("cell", "id", F.coalesce("component", "id").alias("component"))
     by_component = parts.groupBy("cell", "component").agg(F.count("*").alias("k"))
     main = by_component.groupBy("cell").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("cell", "main")
-    apart = scratch.keep(parts.join(main, "cell"), "apart")
+    large = scratch.keep(parts.join(main, "cell").select("main", "id", "component").distinct(), "large")
     scratch.drop("shared", "links")
-    small = apart.where(F.col("m") <= PAIR_CELL)
-    left, right = (small.select("cell", F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in ("a", "b"))
-    links = verified(bounded(left.join(right, "cell").where("a < b and ca <> cb").select("a", "b")))
-    large = scratch.keep(apart.where(F.col("m") > PAIR_CELL).select("main", "id", "component").distinct(), "large")
+    links = spark.createDataFrame([], "u long, v long")
     if not large.isEmpty():
-        # each text's set travels once for a block, not once for a pair
         wanted = scratch.keep(large.select("id").distinct(), "wanted")
-        texts = base.join(bounded_broadcast(wanted), "id", "left_semi").dropDuplicates(["id", "text"])
-        sets = scratch.keep(texts.mapInArrow(_set_maker(width), "id long, set binary"), "sets")
+        fine = base.join(bounded_broadcast(wanted), "id", "left_semi").mapInArrow(_fine_pointer(width), "id long, fine binary")
+        fine = scratch.keep(fine, "fine")
         # cells with one main component overlap: they are met as one, so that no pair comes twice
-        sized = large.join(sets, "id")
-        bulk = F.ceil(F.sum(F.length("set")) / (8 * BLOCK)).cast("int")
-        sizes = sized.groupBy("main").agg(bulk.alias("blocks"), F.coalesce(F.ceil(F.sum(F.when(F.col("component") != F.col("main"), F.length("set"))) / (8 * BLOCK)).cast("int"), F.lit(1)).alias("loose_blocks"))
-        placed, salt = sized.join(sizes, "main"), F.xxhash64("id")
-        carried = ("main", "id", "component", "set")
+        sizes = large.groupBy("main").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.greatest(F.ceil(F.count_if(F.col("component") != F.col("main")) / BLOCK), F.lit(1)).cast("int").alias("loose_blocks"))
+        placed, salt = large.join(sizes, "main"), F.xxhash64("id")
+        at, carried = ("main", "i", "j"), ("main", "id", "component")
         loose = placed.where("component <> main").select(*carried, F.pmod(salt, F.col("loose_blocks")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
         whole = placed.select(*(F.col(c).alias(c) for c in carried), F.explode(F.sequence(F.lit(0), F.col("loose_blocks") - 1)).alias("i"), F.pmod(salt, F.col("blocks")).cast("int").alias("j"))
-        at = ("main", "i", "j")
-        links = links.unionByName(loose.groupBy(*at).cogroup(whole.groupBy(*at)).applyInPandas(_block_joiner(t), "u long, v long"))
+        blocks = loose.join(fine, "id").groupBy(*at).cogroup(whole.join(fine.select(F.col("id").alias("id"), F.col("fine").alias("fine")), "id").groupBy(*at))
+        links = verified(blocks.applyInPandas(_block_joiner(t), "a long, b long").distinct())
     links = scratch.keep(links, "more")
-    scratch.drop("apart", "large", "sets", "wanted")
+    scratch.drop("large", "fine", "wanted")
     star_edges = found.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
     found = components(star_edges.unionByName(links), scratch, "second")
     scratch.drop("links", "more")
