@@ -12,9 +12,10 @@ Every text becomes the set of its distinct word shingles. Shingles are hashed in
 
 Equal sets are one class, whatever their number. In a cell of up to ``PAIR_CELL`` classes all pairs meet; as most groups
 of two linked sets agree, a pair goes on only if it shares as many cells as its sizes ask for. In a larger cell each class
-is first held against one leader; classes that are then in one component need no further pair, and those of different
-components meet in blocks of packed leaves, inside tasks, which give out links only. What the bound lets through is
-verified on the texts' own shingles.
+is first held against one leader, then against ``LEADERS`` leaders of its pool of cells, in turns, as long as a turn joins
+classes well; classes that are then in one component need no further pair, and those of different components meet in
+blocks of packed leaves, inside tasks, which give out links only. What the bound lets through is verified on the texts'
+own shingles.
 
 Defined results: a null or empty text, or one of white space only, has no shingles and no link. Rows with a null id
 are returned with a null component and link with nothing. Rows that repeat an id are returned each; they share its links.
@@ -40,6 +41,8 @@ PAIR_CELL = 8
 FINE_DIMS = 256
 BLOCK = 512
 LEAF = 16
+#: Leaders of a pool that its classes meet in one turn, and the share of loose classes from which no further turn follows.
+LEADERS, WORTH_A_TURN = 16, 0.75
 #: Most ids that are broadcast: 8 bytes each, under 100 MB as a hash table.
 BROADCAST_IDS = 3_000_000
 _U = np.uint64
@@ -164,12 +167,12 @@ def _enough(overlap, a, b, t: Fraction):
     return (t.numerator + t.denominator) * overlap >= t.numerator * (a + b)
 
 
-def _bounder(t: Fraction):
+def _bounder(t: Fraction, dims: int = POINT_DIMS):
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 4096):
                 x = b.slice(lo, 4096)
-                p, q = points(x.column(2).to_pylist()), points(x.column(3).to_pylist())
+                p, q = points(x.column(2).to_pylist(), dims), points(x.column(3).to_pylist(), dims)
                 keep = _enough(np.minimum(p, q).sum(axis=1, dtype=np.int64), p.sum(axis=1, dtype=np.int64), q.sum(axis=1, dtype=np.int64), t)
                 yield x.select([0, 1]).filter(pa.array(keep))
 
@@ -301,30 +304,48 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     star = star.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"), F.when(first, F.col("n")).otherwise(F.col("leader_n")).alias("na"), F.when(first, F.col("leader_n")).otherwise(F.col("n")).alias("nb"))
     found = components(verified(bounded(pairs.unionByName(plausible(star)).distinct())), scratch, "first")
 
-    # then, in large cells that hold several components still, the pairs of different components, in blocks
-    parts = shared.where(F.col("m") > PAIR_CELL).join(found, "id", "left").select("cell", "id", F.coalesce("component", "id").alias("component"))
-    by_component = parts.groupBy("cell", "component").agg(F.count("*").alias("k"))
-    main = by_component.groupBy("cell").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("cell", "main")
-    large = scratch.keep(parts.join(main, "cell").select("main", "id", "component").distinct(), "large")
-    scratch.drop("shared", "links")
-    links = spark.createDataFrame([], "u long, v long")
-    if not large.isEmpty():
+    # then each class of a large cell that holds several components still meets a few leaders of its pool, as long as that
+    # joins classes well; what stays apart meets in blocks
+    def pools(found: DataFrame) -> tuple[DataFrame, int]:
+        """(main, id, component) of the cells with several components, met as one pool for each main component, and how many are loose."""
+        parts = shared.where(F.col("m") > PAIR_CELL).join(found, "id", "left").select("cell", "id", F.coalesce("component", "id").alias("component"))
+        by_component = parts.groupBy("cell", "component").agg(F.count("*").alias("k"))
+        main = by_component.groupBy("cell").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("cell", "main")
+        large = scratch.keep(parts.join(main, "cell").select("main", "id", "component").distinct(), "large")
+        return large, large.where("component <> main").count()
+
+    def joined(found: DataFrame, links: DataFrame, name: str) -> DataFrame:
+        edges = found.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
+        return components(edges.unionByName(links), scratch, name)
+
+    large, loose_rows = pools(found)
+    scratch.drop("links")
+    if loose_rows:
         wanted = scratch.keep(large.select("id").distinct(), "wanted")
         fine = base.join(bounded_broadcast(wanted), "id", "left_semi").mapInArrow(_fine_pointer(width), "id long, fine binary")
         fine = scratch.keep(fine, "fine")
-        # cells with one main component overlap: they are met as one, so that no pair comes twice
+    turn = 0
+    while loose_rows:
+        order = Window.partitionBy("main").orderBy(F.xxhash64(F.lit(turn), "id"), "id")
+        leaders = large.withColumn("n", F.row_number().over(order)).where(F.col("n") <= LEADERS).select("main", F.col("id").alias("lead"), F.col("component").alias("other"))
+        led = large.join(leaders, "main").where("component <> other").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
+        full = led.join(fine.select(F.col("id").alias("a"), F.col("fine").alias("pa")), "a").join(fine.select(F.col("id").alias("b"), F.col("fine").alias("pb")), "b")
+        near = full.select("a", "b", "pa", "pb").mapInArrow(_bounder(t, FINE_DIMS), "a long, b long")
+        found = joined(found, verified(near), f"led{turn}-")
+        scratch.drop("large", "links")
+        before, turn = loose_rows, turn + 1
+        large, loose_rows = pools(found)
+        if loose_rows > WORTH_A_TURN * before:
+            break
+    if loose_rows:
         sizes = large.groupBy("main").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.greatest(F.ceil(F.count_if(F.col("component") != F.col("main")) / BLOCK), F.lit(1)).cast("int").alias("loose_blocks"))
         placed, salt = large.join(sizes, "main"), F.xxhash64("id")
         at, carried = ("main", "i", "j"), ("main", "id", "component")
         loose = placed.where("component <> main").select(*carried, F.pmod(salt, F.col("loose_blocks")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
         whole = placed.select(*(F.col(c).alias(c) for c in carried), F.explode(F.sequence(F.lit(0), F.col("loose_blocks") - 1)).alias("i"), F.pmod(salt, F.col("blocks")).cast("int").alias("j"))
         blocks = loose.join(fine, "id").groupBy(*at).cogroup(whole.join(fine.select(F.col("id").alias("id"), F.col("fine").alias("fine")), "id").groupBy(*at))
-        links = verified(blocks.applyInPandas(_block_joiner(t), "a long, b long").distinct())
-    links = scratch.keep(links, "more")
-    scratch.drop("large", "fine", "wanted")
-    star_edges = found.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
-    found = components(star_edges.unionByName(links), scratch, "second")
-    scratch.drop("links", "more")
+        found = joined(found, verified(blocks.applyInPandas(_block_joiner(t), "a long, b long").distinct()), "second")
+    scratch.drop("shared", "large", "fine", "wanted", "links")
 
     label = classes.select("d1", "d2", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
     label = scratch.keep(label, "labels")
