@@ -211,6 +211,43 @@ def test_image_copies(spark):
     assert got[101]["group_id"] == 101 and got[102]["n_links"] == 0 and got[None]["group_id"] is None
 
 
+def brute_links(pics):
+    """Number of links of each picture by all pairs of descriptors that share a word."""
+    img, scale, y, x, turn, words = (np.concatenate(c) for c in zip(*[(lambda d, k: (np.full(len(d[0]), k), *d[1:]))(images.describe_stack(a[None]), k) for k, a in enumerate(pics)], strict=True))
+    votes = collections.defaultdict(set)
+    for a in range(len(img)):
+        near = np.bitwise_count((words[a] ^ words).astype(np.uint32)).sum(axis=1) <= images.MAX_BITS
+        for b in np.flatnonzero((img > img[a]) & (words[a] == words).any(axis=1) & near):
+            r, zoom = (turn[a] - turn[b]) % images.TURNS, 2.0 ** (scale[a] - scale[b])
+            angle = r * (2 * np.pi / images.TURNS)
+            dx = x[a] - zoom * (np.cos(angle) * x[b] - np.sin(angle) * y[b])
+            dy = y[a] - zoom * (np.sin(angle) * x[b] + np.cos(angle) * y[b])
+            for i in (0, 1):
+                for j in (0, 1):
+                    votes[img[a], img[b], r, zoom, math.floor(dx / 8 + i / 2), math.floor(dy / 8 + j / 2), i, j].add((x[a], y[a], scale[a]))
+    links = {k[:2] for k, v in votes.items() if len(v) >= images.CONSENSUS}
+    return collections.Counter(i for pair in links for i in pair)
+
+
+@pytest.mark.parametrize("block", [1024, 9])
+def test_image_groups_beyond_a_word_keep_all_links(spark, block, monkeypatch):
+    monkeypatch.setattr(images, "BLOCK", block)
+    rng = np.random.default_rng(3)
+    pics = [np.clip(images.scene(7) + rng.normal(0, 0.7, (64, 64)), 0, 255).astype(np.uint8) for _ in range(60)]
+    pics += [images.scene(1000 + k).astype(np.uint8) for k in range(20)]
+    df = spark.createDataFrame([(k, bytearray(images.write_pgm(a))) for k, a in enumerate(pics)], "image_id long, image binary")
+    got = {r["image_id"]: r for r in images.copy_groups(df).collect()}
+    want = brute_links(pics)
+    assert min(want[k] for k in range(60)) > 40
+    assert {k: r["n_links"] for k, r in got.items()} == {k: want[k] for k in range(80)}
+    assert {r["group_id"] for k, r in got.items() if k < 60} == {0}
+
+
+def test_image_corners_follow_the_area():
+    big = images.describe_stack(images.scene(5, 256)[None])
+    assert set(big[1]) == {0, 1, 2, 3} and (big[1] == 0).sum() > 4 * images.CORNERS
+
+
 def test_toxicity(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.fit(docs, labels)
