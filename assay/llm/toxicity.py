@@ -1,12 +1,13 @@
 """Toxicity by cumulative-link ordinal regression over sparse text features.
 
 Features are hashed words and word beginnings of the whole text; those that tell the labelled classes apart are kept,
-by their document counts in the sample. Grades run from 0 (not toxic) to 3: a toxic document's grade is the third of
+by their counts of distinct texts in the sample. Grades run from 0 (not toxic) to 3: a toxic document's grade is the third of
 the toxic sample in which its share of telling features lies. One weight vector serves all thresholds,
 P(grade <= k) = sigmoid(theta_k - w.x), and the answer is the expected grade.
 
 Fitted on a bounded sample: at most ``per_class`` labelled documents a class, picked by a hash of their id. Defined
-results: null and empty texts have no features and get the severity of the thresholds alone. Labels that contradict
+results: null and empty texts have no features and get the severity of the thresholds alone; a text without features is
+not toxic, and without any telling feature in the sample no text is. Labels that contradict
 each other for one id count as toxic.
 """
 
@@ -24,10 +25,10 @@ from assay.llm.hashing import chunks
 
 DIMS = 1 << 20
 PER_CLASS = 3000
-FEATURES = 2048
 GRADES = 4
-#: A feature is kept if chance does not explain it (standard errors between the classes) and it is rare among clean documents.
-MIN_Z, MIN_ODDS, OF_BEST = 4.0, 60.0, 0.3
+#: A feature is kept if chance does not explain it (standard errors between the classes) and it is commoner among toxic
+#: documents; the regression weighs it.
+MIN_Z, MIN_ODDS = 4.0, 3.0
 PREFIXES = (4, 5, 6, 7, 8, 9, 10, 12)
 
 
@@ -72,16 +73,20 @@ class OrdinalModel:
         return p.sum(axis=1), p[:, 0]
 
 
-def fit_ordinal(x: np.ndarray, y: np.ndarray, weight: np.ndarray, grades: int = GRADES, l2: float = 1e-4, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
-    """Shared weights and rising thresholds by full-batch Adam on the cumulative-link likelihood."""
+def fit_ordinal(x: np.ndarray | tuple, y: np.ndarray, weight: np.ndarray, grades: int = GRADES, l2: float = 1e-4, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
+    """Shared weights and rising thresholds by full-batch Adam on the cumulative-link likelihood.
+
+    ``x`` is a matrix, or its (row, column, value, columns).
+    """
+    row, col, val, n_cols = x if isinstance(x, tuple) else (*np.nonzero(x), x[np.nonzero(x)], x.shape[1])
     k = grades - 1
-    par = np.zeros(x.shape[1] + k)
+    par = np.zeros(n_cols + k)
     par[-k:] = [0.0] + [0.0] * (k - 1)  # first threshold, then log gaps
     m, v = np.zeros_like(par), np.zeros_like(par)
     sig = lambda t: 1 / (1 + np.exp(-np.clip(t, -500, 500)))
     for step in range(1, steps + 1):
         w, t = par[:-k], np.concatenate([par[-k:][:1], np.exp(par[-k:][1:])]).cumsum()
-        z = x @ w
+        z = np.bincount(row, w[col] * val, len(y))
         upper = np.where(y < k, sig(t[np.minimum(y, k - 1)] - z), 1.0)
         lower = np.where(y > 0, sig(t[np.maximum(y - 1, 0)] - z), 0.0)
         p = np.maximum(upper - lower, 1e-12)
@@ -93,7 +98,7 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, weight: np.ndarray, grades: int =
         tail = gt[::-1].cumsum()[::-1]  # a gap moves all thresholds above it
         gap = tail.copy()
         gap[1:] *= np.exp(par[-k:][1:])
-        g = np.concatenate([x.T @ gz / len(y) + l2 * w, gap / len(y)])
+        g = np.concatenate([np.bincount(col, gz[row] * val, n_cols) / len(y) + l2 * w, gap / len(y)])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         par -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return par[:-k], np.concatenate([par[-k:][:1], np.exp(par[-k:][1:])]).cumsum()
@@ -103,18 +108,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("y"))
     chosen = F.broadcast(bounded_sample(known, "_id", per_class, "y"))  # bounded: per_class ids of either class
     rows = docs.where(F.col(text_col).isNotNull()).join(chosen, F.col(id_col) == F.col("_id")).select("y", F.col(text_col).alias("text")).repartition(16, F.xxhash64("text"))
+    # a text counts once, so that its copies cannot make its words telling
+    rows = rows.dropDuplicates(["y", "text"])
     both = rows.mapInArrow(_counts, "f long, n0 long, n1 long").groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    size = chosen.groupBy("y").count().collect()
-    n = {r["y"]: r["count"] for r in size}
+    n, shown = ({r["y"]: r["count"] for r in f.groupBy("y").count().collect()} for f in (chosen, rows))
     if not n.get(0) or not n.get(1):
         raise ValueError("labels of both classes are needed")
-    p1, p0, p = F.col("n1") / n[1], F.col("n0") / n[0], (F.col("n0") + F.col("n1")) / (n[0] + n[1])
-    z = (p1 - p0) / F.sqrt(p * (1 - p) * (1 / n[1] + 1 / n[0]))
+    d0, d1 = (max(shown.get(c, 0), 1) for c in (0, 1))
+    p1, p0, p = F.col("n1") / d1, F.col("n0") / d0, (F.col("n0") + F.col("n1")) / (d0 + d1)
+    z = (p1 - p0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * (1 / d1 + 1 / d0))
     telling = both.where("n1 >= 4").withColumn("z", z).where((F.col("z") >= MIN_Z) & (p1 >= MIN_ODDS * p0))
-    top = telling.orderBy(F.desc("z"), "f").limit(FEATURES).collect()
-    # the words of one document and its many copies reach a fraction of the best features' weight only
-    top = [r for r in top if r["z"] >= OF_BEST * top[0]["z"]]
-    top.sort(key=lambda r: r["f"])
+    top = sorted(telling.select("f").collect())  # bounded: DIMS buckets
     kept = np.array([r["f"] for r in top], np.int64)
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,17 +130,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     sample = rows.mapInArrow(rows_of, "y int, cols array<long>, vals array<double>, words long").collect()
     sample.sort(key=lambda r: (r["y"], r["words"], r["cols"], r["vals"]))
-    x = np.zeros((len(sample), len(kept)))
-    for i, r in enumerate(sample):
-        x[i, r["cols"]] = r["vals"]
+    row = np.repeat(np.arange(len(sample)), [len(r["cols"]) for r in sample])
+    col, val = (np.concatenate([np.zeros(0), *(r[c] for r in sample)]) for c in ("cols", "vals"))
+    x = (row, col.astype(np.int64), val, len(kept))
     y = np.array([r["y"] for r in sample])
-    share = np.expm1(x).sum(axis=1) / np.maximum([r["words"] for r in sample], 1)
+    share = np.bincount(row, np.expm1(val), len(y)) / np.maximum([r["words"] for r in sample], 1)
     cuts = np.quantile(share[y == 1], [1 / 3, 2 / 3])
     grade = np.where(y == 1, 1 + np.searchsorted(cuts, share, "left"), 0)
     weight = np.where(y == 1, 0.5 / max((y == 1).mean(), 1e-9), 0.5 / max((y == 0).mean(), 1e-9))
     w, theta = fit_ordinal(x, grade, weight)
     model = OrdinalModel(kept, w, theta)
-    model.cut = best_cut(model.above(x @ w)[:, 0], y, n[1] / (n[0] + n[1]))
+    model.cut = best_cut(model.above(np.bincount(row, w[x[1]] * val, len(y)))[:, 0], y, n[1] / (n[0] + n[1]))
+    # a text without features is not toxic
+    model.cut = max(model.cut, float(np.nextafter(model.above(np.zeros(1))[0, 0], 2)))
     return model
 
 

@@ -261,6 +261,32 @@ def test_toxicity(spark):
     assert w[0] > 0 and list(theta) == sorted(theta)
 
 
+def test_toxicity_keeps_rare_words_under_noisy_labels(spark):
+    rng = random.Random(4)
+    plain = [f"plain{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    rare = [f"{c * 3}qz" for c in "bcdfghjk"]
+    rows, labels, real = [], [], {}
+    for i in range(3000):
+        words = [rng.choice(plain) for _ in range(40)]
+        bad = i % 2 == 1
+        if bad:  # one common insult, or one of eight in 5 % of the toxic documents each
+            words[rng.randrange(40)] = "xxvile" if rng.random() < 0.6 else rng.choice(rare)
+        elif rng.random() < 0.02:  # quoted, and labelled clean
+            words[0] = rng.choice(["xxvile", *rare])
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(bad)))
+        real[i] = bad and "xxvile" not in words
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    got = {r["doc_id"]: r["toxic"] for r in toxicity.score(docs, model).collect()}
+    assert np.mean([got[i] for i, r in real.items() if r]) > 0.95
+    assert np.mean([got[i] for i in range(0, 3000, 2)]) < 0.05
+    # one text and its copies tell nothing, and without features nothing is toxic
+    same = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 1, "only words here").otherwise("only words there").alias("text"))
+    none = toxicity.fit(same, labels)
+    assert len(none.kept) == 0 and toxicity.score(same, none).where("toxic = 1").isEmpty()
+
+
 def brute_marginals(u, trans):
     total, good = 0.0, np.zeros(len(u))
     for code in range(2 ** len(u)):
