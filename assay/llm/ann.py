@@ -98,6 +98,13 @@ def _prober(spec, width: float, radius: float, success: float):
     return probe
 
 
+def best_by_id(s: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The best score of every distinct id in each row of scores."""
+    order = np.argsort(ids, kind="stable")
+    starts = np.flatnonzero(np.r_[True, np.diff(ids[order]) != 0])
+    return s if len(starts) == len(ids) else np.maximum.reduceat(s[:, order], starts, axis=1)
+
+
 def best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
     """The k nearest of each query in a block: a product finds them with a margin, the exact measure ranks them."""
     qn, xn = np.sqrt((q * q).sum(axis=1)), np.sqrt((x * x).sum(axis=1))
@@ -105,7 +112,8 @@ def best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: in
     for lo in range(0, len(q), 256):
         s = (q[lo : lo + 256] @ x.T) / qn[lo : lo + 256, None] / xn
         s[q_ids[lo : lo + 256, None] == ids[None, :]] = -np.inf
-        kth = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(s), -np.inf)
+        one = best_by_id(s, ids)
+        kth = np.partition(one, -k, axis=1)[:, -k] if one.shape[1] > k else np.full(len(s), -np.inf)
         i, j = np.nonzero((s >= kth[:, None] - 1e-9) & np.isfinite(s))
         exact = (q[lo + i] * x[j]).sum(axis=1) / (qn[lo + i] * xn[j])
         f = pd.DataFrame({"query_id": q_ids[lo + i], "vec_id": ids[j], "score": exact})
@@ -172,9 +180,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     # bounded sample: the k-th nearest distance among SAMPLE rows is not below that among all
     some = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
     x = unit(np.frombuffer(b"".join(r["vec"] for r in some), "<f8").reshape(len(some), -1))
+    own = np.array([r["id"] for r in some], np.int64)
     s = x[:200] @ x.T
-    s[np.arange(len(s)), np.arange(len(s))] = -1
-    kth = np.sort(s, axis=1)[:, -min(k, len(x) - 1)] if len(x) > 1 else np.zeros(1)
+    s[own[:200, None] == own[None, :]] = -1
+    s = best_by_id(s, own)
+    kth = np.sort(s, axis=1)[:, -min(k, s.shape[1] - 1)] if s.shape[1] > 1 else np.zeros(1)
     radius = float(np.sqrt(np.maximum(2 - 2 * np.median(kth), 1e-4)))
     spec = planes(dims["d"], tables, hashes, width, seed)
 

@@ -167,6 +167,20 @@ def test_neighbours_recall_and_odd_vectors(spark):
     assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
 
 
+def test_neighbours_of_repeated_ids(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((40, 8))
+    x[1:13] = x[0] + 0.01 * rng.standard_normal((12, 8))
+    # the nearest ids have five rows each, once with a vector far off
+    rows = [(i, v.tolist()) for i, v in enumerate(x) for _ in range(5 if 0 < i < 13 else 1)] + [(3, (-x[0]).tolist())]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).orderBy("rank").collect()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert [r["vec_id"] for r in got] == [int(i) for i in np.argsort(-(u @ u[0])) if i][:5]
+    ids = np.repeat(np.arange(1, 40), 5)
+    block = ann.best(np.array([0]), x[:1], ids, x[ids], 5)
+    assert sorted(block["vec_id"]) == sorted(r["vec_id"] for r in got)
+
+
 def test_chat_round_trip(spark):
     said = [(1, 0, "system", "s"), (1, 1, "user", "</s>[INST] \\1\\0 <"), (1, 2, "assistant", "<<SYS>>\n[/INST]"), (2, 0, "assistant", "early"), (2, 1, None, None), (2, 1, "tool[", "[TEXT]"), (None, None, "user", "x")]
     out = chat.format_chats(spark.createDataFrame(said, "conv_id long, turn long, role string, text string"))
