@@ -35,9 +35,13 @@ ASSIGN = Rule("assign", 1, r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss
 ACCESS = Rule("access", 1, r"AKIA[A-Z0-9]{12,}")
 HEX = Rule("hex", 1, r"[0-9a-f]{32,}")
 BASE_RULES = (ASSIGN, ACCESS, HEX)
-# Added by this scanner: public, well-known shapes of keys.
+# Added by this scanner: public, well-known shapes of keys. A private key runs to its END line, over anything but another
+# run of five dashes; without an END line over the header lines and base64 lines that follow, line ends escaped or not.
+_EOL = r"(?:[\t\x20]*\r?\n|\\r\\n|\\n|[\t\x20])[\t\x20]*"
+_PEM_END = r"[^-]*(?:-{1,4}[^-]+){0,200}-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+_PEM_CUT_OFF = rf"(?:(?:{_EOL})+[A-Za-z]+-[A-Za-z]+: [^\r\n]*){{0,20}}(?:(?:{_EOL})+{"[A-Za-z0-9+/=]" * 16}[A-Za-z0-9+/=]*){{1,400}}(?:{_EOL}[A-Za-z0-9+/]*={{1,2}})?"
 MORE_RULES = (
-    Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", 2, rf"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(?:{_PEM_END}|{_PEM_CUT_OFF})?"),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("url_login", 1, r"[a-z][a-z0-9+.-]*://[^/\s:@]+:[^/\s:@]{4,}@"),
 )
