@@ -52,11 +52,15 @@ def targets(sources: DataFrame) -> DataFrame:
     return w.select(*sources.columns, "weight", target.alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix-1") -> DataFrame:
-    """``docs`` ids with size, source_size, target, passes (how often the mix takes the document) and taken."""
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix-1", key_col: str | None = None) -> DataFrame:
+    """``docs`` ids with size, source_size, target, passes (how often the mix takes the document) and taken.
+
+    ``key_col`` names a column with a number for each row, which comes along; rows of one id go by text hash and then by it.
+    """
+    key = [key_col] if key_col else []
     scratch = Scratch(docs.sparkSession)
     shuffle = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.when(F.col(id_col).isNull(), F.sha2(F.coalesce(text_col, F.lit("")), 256))).cast("binary"))
-    base = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), shuffle.alias("h"))
+    base = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), shuffle.alias("h"), *key, *([F.xxhash64(text_col).alias("_text")] if key else []))
     base = scratch.keep(base, "sizes")
 
     per = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
@@ -69,10 +73,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("n"))
     sums = sums.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
     sums = scratch.keep(sums.select(F.col("source").alias("s"), F.col("range").alias("r"), "before"), "ranges")
-    inside = Window.partitionBy("source", "range").orderBy("h", F.col("id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("source", "range").orderBy("h", F.col("id").asc_nulls_first(), *(["_text", *key] if key else [])).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     queued = ranged.withColumn("cum", F.sum("size").over(inside)).join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")), "inner").drop("s", "r")
     finish = F.transform(F.sequence(F.lit(0), F.lit(MAX_PASSES - 1)), lambda k: (k * F.col("source_size") + F.col("before") + F.col("cum")) / F.col("target"))
-    queued = queued.select("id", "size", "source_size", "target", "h", F.when((F.col("size") > 0) & (F.col("target") > 0), finish).otherwise(F.array().cast("array<double>")).alias("finish"))
+    queued = queued.select("id", *key, "size", "source_size", "target", "h", F.when((F.col("size") > 0) & (F.col("target") > 0), finish).otherwise(F.array().cast("array<double>")).alias("finish"))
     queued = scratch.keep(queued, "queue")
     scratch.drop("sizes")
 
@@ -101,4 +105,4 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         return (bin_of(t) < cut["bin"]) | (t < last["t"]) | ((t == last["t"]) & ((F.col("h") < last["h"]) | ((F.col("h") == last["h"]) & (k <= last["pass"]))))
 
     passes = F.size(F.filter("finish", in_mix)).cast("long")
-    return queued.select(F.col("id").alias(id_col), "size", "source_size", "target", passes.alias("passes"), (passes * F.col("size")).alias("taken"))
+    return queued.select(F.col("id").alias(id_col), *key, "size", "source_size", "target", passes.alias("passes"), (passes * F.col("size")).alias("taken"))

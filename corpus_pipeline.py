@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.llm import bpe, mixing, ngram_jaccard, quality, secrets
@@ -28,12 +28,30 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("_score") >= MIN_QUALITY).select(*docs.columns)
 
 
+def with_keys(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` with a number of its own in ``_key`` for each row, written once so that it stays."""
+    return scratch.keep(docs.withColumn("_key", F.monotonically_increasing_id()), "keyed")
+
+
+def text_hash() -> Column:
+    return F.sha2(F.coalesce("text", F.lit("")), 256)
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; rows without an id stay."""
-    groups = ngram_jaccard.jaccard_groups(docs.select("doc_id", "text"), width=SHINGLE_WORDS, threshold=SIMILARITY)
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """The row with the smallest id of each group of near duplicates, decided by row: rows that share an id are rows each.
+
+    Rows without an id come last in a group; rows of one id go by the hash of their text. Rows of a text without words
+    are groups of their own, of which those of one id and text are one.
+    """
+    rows = with_keys(docs, Scratch(spark))
+    groups = ngram_jaccard.jaccard_groups(rows.select("_key", "text"), id_col="_key", width=SHINGLE_WORDS, threshold=SIMILARITY)
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", text_hash().alias("h"), "_key")
+    placed = rows.select("_key", place.alias("p")).join(groups, "_key")
+    # without shingles rows differ by id and text alone
+    bare = F.when(F.col("n_shingles") == 0, F.struct("p.doc_id", "p.h", F.when(F.col("p.doc_id").isNull(), F.col("_key")).alias("k")))
+    group = F.struct(F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("c"), bare.alias("b"))
+    first = placed.groupBy(group.alias("g")).agg(F.min("p").alias("p")).select(F.col("p._key").alias("_key"))
+    return rows.join(first, "_key", "left_semi").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,11 +62,10 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; rows without an id stay once."""
-    taken = mixing.mix(docs.select("doc_id", "text", "source")).where("passes > 0").select("doc_id", "passes")
-    taken = taken.groupBy("doc_id").agg(F.max("passes").alias("_passes"))
-    known = docs.join(taken, "doc_id").withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_passes").cast("int"))))
-    return known.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """Rows, with or without an id, as often as the mix takes them."""
+    rows = with_keys(docs, Scratch(spark))
+    taken = mixing.mix(rows, key_col="_key").where("passes > 0").select("_key", "passes")
+    return rows.join(taken, "_key").withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("passes").cast("int")))).select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

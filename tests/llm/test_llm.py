@@ -369,3 +369,23 @@ def test_pipeline_stages(spark):
     taken = {r["doc_id"]: r["passes"] for r in mixing.mix(clean).collect() if r["doc_id"] is not None and r["passes"]}
     assert collections.Counter(r["doc_id"] for r in mixed.collect() if r["doc_id"] is not None) == taken
     assert cp.token_ids(spark, mixed, DATA).count() == mixed.count()
+
+
+def test_pipeline_decides_by_row(spark):
+    import corpus_pipeline as cp
+
+    def words(k):
+        return " ".join(f"w{k}x{i}" for i in range(30))
+
+    rows = [(5, words(1)), (7, words(1)), (7, words(2)), (7, words(2)), (None, words(3)), (None, words(3)), (None, words(1)), (9, None), (9, ""), (8, words(4)), (8, words(4) + " more")]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    one = cp.one_of_each_group(spark, docs, DATA)
+    got = collections.Counter((r["doc_id"], r["text"] or "") for r in one.collect())
+    rest = {k: n for k, n in got.items() if k[0] != 8}
+    assert rest == {(5, words(1)): 1, (7, words(2)): 1, (None, words(3)): 1, (9, ""): 1}
+    assert sum(n for (i, _), n in got.items() if i == 8) == 1
+    many = spark.createDataFrame([(None if k % 3 == 0 else 1, f"a{k} b c", "en", f"s{k % 2}", None) for k in range(300)], docs.schema)
+    mixed = collections.Counter(r["text"] for r in cp.mix_sources(spark, many, DATA).collect())
+    by_row = mixing.mix(many.withColumn("n", F.monotonically_increasing_id()), key_col="n").collect()
+    assert len({r["n"] for r in by_row}) == 300 and sum(mixed.values()) == sum(r["passes"] for r in by_row)
+    assert 890 <= 3 * sum(mixed.values()) <= 900 and max(mixed.values()) <= mixing.MAX_PASSES
