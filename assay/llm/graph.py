@@ -17,7 +17,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
     """(id, component): every id that has an edge, with the smallest id of its component.
 
     ``edges`` has integer columns u and v, in either order, repeats allowed. Alternating large-star and small-star
-    steps: each is one grouped minimum (combined before the shuffle, so a hub costs no more than a leaf) and one join.
+    steps: each is one grouped minimum (combined before the shuffle) and one join, whose hubs adaptive execution splits.
     """
     cur = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     cur = scratch.keep(cur, f"{name}0")
@@ -37,5 +37,6 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
         step += 1
         cur = scratch.keep(nxt, f"{name}{step}")
         scratch.drop(f"{name}{step - 1}")
+    scratch.rename(f"{name}{step}", name)
     out = cur.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return out.unionByName(cur.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()

@@ -6,6 +6,7 @@ count as a-z. Hashes are 64 bits wide and the same in every process.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,10 +19,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_VALUE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Words of more chunks of eight bytes than this are hashed one by one.
+LONG_WORD = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -33,16 +32,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, 2 * CHUNK_BYTES)
-        for k, base in enumerate((_BASE, _BASE_INV)):
-            full = np.full(size, _U(base), np.uint64)
-            full[0] = 1
-            _powers[k] = np.cumprod(full, dtype=np.uint64)
-    return _powers[0], _powers[1]
-
-
 def string_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, n + 1 offsets) of a string array; a null is empty."""
     if isinstance(arr, pa.ChunkedArray):
@@ -79,11 +68,26 @@ def word_spans(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def range_hash(lowered: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """Hash of each byte range [s, e): differences of one running polynomial."""
-    p, inv = _power_tables(len(lowered) + 1)
-    run = np.zeros(len(lowered) + 1, np.uint64)
-    np.cumsum(_VALUE[lowered] * p[: len(lowered)], out=run[1:])
-    return mix((run[e] - run[s]) * inv[s] + (e - s).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+    """Hash of each byte range [s, e): eight bytes at a time are mixed in, so that ranges of up to eight bytes never
+    collide with others of their length, and longer ones only by chance. The few very long ones go through BLAKE2b."""
+    size = e - s
+    h = mix(size.astype(np.uint64) * _U(0xD6E8FEB86659FD93) + _U(0x2545F4914F6CDD1D))
+    padded = np.concatenate([lowered, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(lowered) + 1,), "<u8", padded, 0, (1,))
+    short = size <= 8 * LONG_WORD
+    left = np.flatnonzero(short & (size > 0))
+    for k in range(LONG_WORD):
+        if not len(left):
+            break
+        rest = size[left] - 8 * k
+        chunk = eight[s[left] + 8 * k]
+        cut = rest < 8
+        chunk = np.where(cut, chunk & ((_U(1) << (np.minimum(rest, 7).astype(np.uint64) * _U(8))) - _U(1)), chunk)
+        h[left] = mix(h[left] ^ chunk) + _U(0x9E3779B97F4A7C15)
+        left = left[rest > 8]
+    for i in np.flatnonzero(~short):
+        h[i] = np.frombuffer(hashlib.blake2b(lowered[s[i] : e[i]].tobytes(), digest_size=8).digest(), "<u8")[0]
+    return h
 
 
 def word_hashes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:

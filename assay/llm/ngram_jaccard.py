@@ -2,7 +2,7 @@
 
 Every text becomes the set of its distinct word shingles. Shingles are hashed into groups:
 
-* 64 fixed groups give the text's *point*, the number of its shingles in each group. The overlap of two sets is at
+* 256 fixed groups give the text's *point*, the number of its shingles in each group. The overlap of two sets is at
   most the sum of their coordinate minima, so a pair whose sum is below the overlap that the threshold needs is
   dropped unseen; the same bound against the corner of a leaf drops the leaf.
 * groups whose number follows from the set's size give its *cells*. Two sets of J >= t differ in at most
@@ -11,11 +11,18 @@ Every text becomes the set of its distinct word shingles. Shingles are hashed in
   R-tree over count vectors would be visited almost whole, as random texts of one length lie equally far apart.
 
 Equal sets are one class, whatever their number. In a cell of up to ``PAIR_CELL`` classes all pairs meet; as most groups
-of two linked sets agree, a pair goes on only if it shares as many cells as its sizes ask for. In a larger cell each class
-is first held against one leader, then against ``LEADERS`` leaders of its pool of cells, in turns, as long as a turn joins
-classes well; classes that are then in one component need no further pair, and those of different components meet in
-blocks of packed leaves, inside tasks, which give out links only. What the bound lets through is verified on the texts'
-own shingles.
+of two linked sets agree, a pair goes on only if it shares as many cells as its sizes ask for. The classes of larger cells
+form pools, one for each leader, the class of a cell that stands in most large cells:
+
+* a pool of up to ``BLOCK`` classes meets in one task, packed in leaves. First it gives out a forest of its most similar
+  pairs, then only those pairs that the links found so far leave in different components.
+* in a larger pool each set is replaced by its difference D to the leader's. Two sets differ in as many shingles as their
+  differences do. A set joins the one with the smallest difference unseen where both differences together are small
+  enough; every other linked pair shares so many elements of D that it shares one within a prefix of each, elements that
+  the leader lacks first. Prefixes are cells again: small ones give pairs, large ones pools of the next level.
+* after ``LEVELS`` levels a pool that is still large is compared in blocks, every two in a task.
+
+What the count-vector bound lets through is verified on the texts' own shingles.
 
 Defined results: a null or empty text, or one of white space only, has no shingles and no link. Rows with a null id
 are returned with a null component and link with nothing. Rows that repeat an id are returned each; they share its links.
@@ -25,24 +32,22 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.llm.graph import components
 from assay.llm.hashing import chunks, mix, shingle_sets
 from assay.llm.store import Scratch
 
-POINT_DIMS = 64
+#: Groups of the count vectors.
+DIMS = 256
 PAIR_CELL = 8
-#: Coordinates of the points that are compared in blocks of hot cells.
-FINE_DIMS = 256
-BLOCK = 512
-LEAF = 16
-#: Leaders of a pool that its classes meet in one turn, and the share of loose classes from which no further turn follows.
-LEADERS, WORTH_A_TURN = 16, 0.75
+#: Classes that meet in one task, points in a leaf, and levels of pools.
+BLOCK, LEAF, LEVELS = 1024, 16, 4
 #: Most ids that are broadcast: 8 bytes each, under 100 MB as a hash table.
 BROADCAST_IDS = 3_000_000
 _U = np.uint64
@@ -95,7 +100,7 @@ def _cells(val: np.ndarray, row: np.ndarray, sizes: np.ndarray, t: Fraction) ->
 
 
 def _signer(width: int):
-    schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("point", pa.binary())])
+    schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,20 +111,9 @@ def _signer(width: int):
                 d1, d2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
                 np.add.at(d1, row, mix(val ^ _U(0xA5A5A5A5)))
                 np.add.at(d2, row, mix(val ^ _U(0x5A5A5A5A5A5A)))
-                point = np.bincount(row * POINT_DIMS + (val >> _U(58)).astype(np.int64), minlength=n * POINT_DIMS).astype("<u4").reshape(n, POINT_DIMS)
-                wide = point.max(initial=0) > 65535
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.slice(lo, n).cast(pa.int64()),
-                        pa.array(sizes.astype(np.int64)),
-                        pa.array(d1.view(np.int64)),
-                        pa.array(d2.view(np.int64)),
-                        pa.array([x.tobytes() for x in (point if wide else point.astype("<u2"))], pa.binary()),
-                    ],
-                    schema=schema,
-                )
-
-    return sign, "id long, n_shingles long, d1 long, d2 long, point binary"
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, n).cast(pa.int64()), pa.array(sizes.astype(np.int64)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64))], schema=schema)
+
+    return sign, "id long, n_shingles long, d1 long, d2 long"
 
 
 def _celler(width: int, t: Fraction):
@@ -157,9 +151,12 @@ def _counter(t: Fraction):
     return count
 
 
-def points(column, dims: int = POINT_DIMS) -> np.ndarray:
-    """Points of a binary column as one matrix; their coordinates are as wide as their counts ask for."""
-    return np.stack([np.frombuffer(x, f"<u{len(x) // dims}").astype(np.int32) for x in column]) if len(column) else np.zeros((0, dims), np.int32)
+def points(column) -> np.ndarray:
+    """Points of a binary column as one matrix, as wide as their counts ask for."""
+    if not len(column):
+        return np.zeros((0, DIMS), np.uint16)
+    out = np.stack([np.frombuffer(x, f"<u{len(x) // DIMS}") for x in column])
+    return out.astype(np.uint16) if out.dtype == np.uint8 else out
 
 
 def _enough(overlap, a, b, t: Fraction):
@@ -167,12 +164,12 @@ def _enough(overlap, a, b, t: Fraction):
     return (t.numerator + t.denominator) * overlap >= t.numerator * (a + b)
 
 
-def _bounder(t: Fraction, dims: int = POINT_DIMS):
+def _bounder(t: Fraction):
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 4096):
                 x = b.slice(lo, 4096)
-                p, q = points(x.column(2).to_pylist(), dims), points(x.column(3).to_pylist(), dims)
+                p, q = points(x.column(2).to_pylist()), points(x.column(3).to_pylist())
                 keep = _enough(np.minimum(p, q).sum(axis=1, dtype=np.int64), p.sum(axis=1, dtype=np.int64), q.sum(axis=1, dtype=np.int64), t)
                 yield x.select([0, 1]).filter(pa.array(keep))
 
@@ -193,64 +190,150 @@ def _verifier(width: int, t: Fraction):
     return verify
 
 
-def leaf_join(p: np.ndarray, q: np.ndarray, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """Row pairs of p and q that the bound lets through: q packed in leaves by size, leaf corners first, points second."""
+def leaf_join(p: np.ndarray, q: np.ndarray, t: Fraction) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row pairs of p and q that the bound lets through, and the bound: q packed in leaves by size, leaf corners first,
+    points second."""
     np_, nq = p.sum(axis=1, dtype=np.int64), q.sum(axis=1, dtype=np.int64)
     order = np.lexsort((q[:, 0], nq))
-    left, right = [], []
+    left, right, most = [], [], []
     for lo in range(0, len(order), LEAF):
         leaf = order[lo : lo + LEAF]
         corner, least = q[leaf].max(axis=0), nq[leaf].min()
-        near = np.flatnonzero(_enough(np.minimum(p, corner).sum(axis=1, dtype=np.int64), np_, least, t))
+        near = np.flatnonzero(_enough(np.minimum(p, corner).sum(axis=1, dtype=np.uint32).astype(np.int64), np_, least, t))
         if len(near):
-            low = np.minimum(p[near][:, None, :], q[leaf][None, :, :]).sum(axis=2, dtype=np.int64)
+            low = np.minimum(p[near][:, None, :], q[leaf][None, :, :]).sum(axis=2, dtype=np.uint32).astype(np.int64)
             i, j = np.nonzero(_enough(low, np_[near][:, None], nq[leaf][None, :], t))
             left.append(near[i])
             right.append(leaf[j])
+            most.append(low[i, j])
     none = np.zeros(0, np.int64)
-    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+    return tuple(np.concatenate(x) if x else none for x in (left, right, most))
 
 
-def _fine_pointer(width: int):
+def _pointer(width: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi in chunks(b.column(1)):
                 val, row, at = shingle_sets(b.column(1).slice(lo, hi - lo), width)
                 n = hi - lo
-                fine = np.bincount(row * FINE_DIMS + (val >> _U(56)).astype(np.int64), minlength=n * FINE_DIMS).reshape(n, FINE_DIMS)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, n), pa.array([x.astype(np.min_scalar_type(x.max())).tobytes() for x in fine], pa.binary())], ["id", "fine"])
+                point = np.bincount(row * DIMS + (val >> _U(56)).astype(np.int64), minlength=n * DIMS).reshape(n, DIMS)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, n), pa.array([x.astype(np.min_scalar_type(x.max())).tobytes() for x in point], pa.binary())], ["id", "point"])
 
     return make
 
 
-def _block_joiner(t: Fraction):
-    """Pairs of different components, one from either side of a block, that the fine points let through."""
-
-    def join(loose, whole):
+def forest(a: np.ndarray, b: np.ndarray, rank: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Numbers of those pairs (a, b) that make a forest over the parts, by falling rank: each part in turn takes its
+    highest pair that leaves it."""
+    kept, part = [], np.unique(part, return_inverse=True)[1]
+    left = np.flatnonzero(part[a] != part[b])
+    place = np.empty(len(a), np.int64)
+    place[np.lexsort((b, a, -rank))] = np.arange(len(a))
+    while len(left):
+        best = np.full(part.max() + 1, len(a), np.int64)
+        np.minimum.at(best, part[a[left]], place[left])
+        np.minimum.at(best, part[b[left]], place[left])
+        taken = left[(best[part[a[left]]] == place[left]) | (best[part[b[left]]] == place[left])]
+        kept.append(taken)
+        # the lowest part that a part reaches over the pairs taken
+        low = np.arange(len(best))
+        u, v = part[a[taken]], part[b[taken]]
+        while True:
+            m = np.minimum(low[u], low[v])
+            before = low.copy()
+            np.minimum.at(low, u, m)
+            np.minimum.at(low, v, m)
+            low = low[low]
+            if (low == before).all():
+                break
+        part = low[part]
+        left = left[part[a[left]] != part[b[left]]]
+    return np.concatenate(kept) if kept else np.zeros(0, np.int64)
+
+
+def _block_joiner(t: Fraction, only_forest: bool):
+    """Pairs of different components of a pool's two blocks (or one) that the bound lets through: all, or a forest."""
+
+    def join(key, rows):
         import pandas as pd
 
-        if not len(loose) or not len(whole):
-            return pd.DataFrame({"a": [], "b": []}).astype("int64")
-        i, j = leaf_join(points(loose["fine"], FINE_DIMS), points(whole["fine"], FINE_DIMS), t)
-        a, b = loose["id"].to_numpy()[i], whole["id"].to_numpy()[j]
-        apart = (loose["component"].to_numpy()[i] != whole["component"].to_numpy()[j]) & (a != b)
-        a, b = a[apart], b[apart]
+        i, j = key[1], key[2]
+        p, ids, part, own = points(rows["point"]), rows["id"].to_numpy(), rows["component"].to_numpy(), rows["own"].to_numpy()
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        a, b, most = leaf_join(p[left], p[right], t)
+        a, b = left[a], right[b]
+        apart = (part[a] != part[b]) & ((a < b) if i == j else True)
+        a, b, most = a[apart], b[apart], most[apart]
+        if only_forest and len(a):
+            n = p.sum(axis=1, dtype=np.int64)
+            kept = forest(a, b, most / (n[a] + n[b]), part)
+            a, b = a[kept], b[kept]
+        a, b = ids[a], ids[b]
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
     return join
 
 
+def _differ(width: int, t: Fraction):
+    """Size of a set, of its difference to the leader's, and as much of that as any prefix needs: added ones first."""
+    schema = pa.schema([("pool", pa.int64()), ("id", pa.int64()), ("n", pa.int32()), ("nd", pa.int32()), ("d", pa.list_(pa.int64()))])
+
+    def diff(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi in chunks(b.column(2)):
+                x = b.slice(lo, hi - lo)
+                lead = x.column(3).dictionary_encode()
+                lv, _, la = shingle_sets(lead.dictionary, width)
+                val, _, at = shingle_sets(x.column(2), width)
+                n = np.diff(at)
+                nd, kept = [], []
+                for k, i in enumerate(np.asarray(lead.indices)):
+                    own, other = val[at[k] : at[k + 1]], lv[la[i] : la[i + 1]]
+                    d = np.concatenate([np.setdiff1d(own, other, assume_unique=True), np.setdiff1d(other, own, assume_unique=True)])
+                    nd.append(len(d))
+                    kept.append(d[: int(n[k]) * (t.denominator - t.numerator) // t.numerator + 1].view(np.int64))
+                yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), pa.array(n.astype(np.int32)), pa.array(np.array(nd, np.int32)), pa.array(kept, pa.list_(pa.int64()))], schema=schema)
+
+    return diff, "pool long, id long, n int, nd int, d array<long>"
+
+
 def bounded_broadcast(ids: DataFrame) -> DataFrame:
     """A written table of ids, marked for broadcast if it has at most ``BROADCAST_IDS`` rows; beyond that Spark shuffles."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _links(pairs: DataFrame, texts: DataFrame, width: int, t: Fraction, scratch: Scratch) -> DataFrame:
-    """Those of the pairs whose shingle sets reach the threshold."""
-    t_a = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
-    t_b = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    full = pairs.join(t_a, "a").join(t_b, "b").select("a", "b", "ta", "tb")
-    return scratch.keep(full.mapInArrow(_verifier(width, t), "a long, b long"), "links")
+def pools_of(hot: DataFrame) -> DataFrame:
+    """(pool, id): the classes of all cells (cell, id, m) whose leader is ``pool``, the class most often in large cells."""
+    often = hot.groupBy("id").agg(F.sum("m").alias("often"))
+    lead = hot.join(often, "id").groupBy("cell").agg(F.max_by("id", F.struct("often", F.xxhash64("id"), "id")).alias("pool"))
+    return hot.select("cell", "id").join(lead, "cell").select("pool", "id").distinct()
+
+
+def prefixes(diffs: DataFrame, t: Fraction) -> tuple[DataFrame, DataFrame]:
+    """(u, v) pairs that link for certain, and (cell, id, side) of the prefixes of ``diffs``.
+
+    With t = p / q, sets x and y link if and only if (p + q) |Dx ^ Dy| <= (q - p)(|x| + |y|). f = (p + q)|D| - (q - p)|x|;
+    where f(x) + f(y) <= 0 they link unseen, and then either links with the set of the smallest f. Otherwise the common
+    elements of Dx and Dy number (f(x) + f(y)) / 2(p + q) or more, and never fewer than |Dx| - |x|(q - p)/p.
+    Sides: 0 loose, within the prefix for loose partners; 1 loose, beyond it; 2 joined with the smallest.
+    """
+    p, q = t.numerator, t.denominator
+    f = (F.lit(p + q) * F.col("nd") - F.lit(q - p) * F.col("n")).cast("long")
+    diffs = diffs.withColumn("f", f)
+    low = diffs.groupBy("pool").agg(F.min("f").alias("low"), F.min_by("id", F.struct("f", "id")).alias("least"))
+    rows = diffs.join(low, "pool").withColumn("sure", F.col("f") + F.col("low") <= 0)
+    links = rows.where(F.col("sure") & (F.col("id") != F.col("least"))).select(F.col("id").alias("u"), F.col("least").alias("v"))
+
+    def whole(x: Column) -> Column:
+        return F.floor(x / F.lit(2 * (p + q))).cast("int")
+
+    room = F.col("nd") - F.greatest(F.lit(1), F.col("nd") - F.floor(F.col("n") * F.lit(q - p) / F.lit(p)).cast("int")) + 1
+    near = F.least(room, F.col("nd") - whole(F.col("f") - F.col("low")))
+    far = F.least(room, F.col("nd") - F.greatest(F.lit(1), -whole(-F.col("f") - F.col("low"))) + 1)
+    rows = rows.withColumn("near", F.greatest(near, F.lit(0))).withColumn("upto", F.when(F.col("sure"), F.col("near")).otherwise(F.greatest(far, F.lit(0))))
+    spread = rows.select("pool", "id", "sure", "near", F.posexplode(F.slice("d", F.lit(1), F.col("upto"))).alias("at", "e"))
+    side = F.when(F.col("sure"), 2).when(F.col("at") < F.col("near"), 0).otherwise(1).cast("byte")
+    return links, spread.select(F.xxhash64("pool", "e").alias("cell"), "id", side.alias("side"))
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, threshold: Fraction = Fraction(9, 10)) -> DataFrame:
@@ -259,96 +342,96 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch = Scratch(spark)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sign, ddl = _signer(width)
-    signed = scratch.keep(base.mapInArrow(sign, ddl), "signed")
+    signed = scratch.keep(base.mapInArrow(sign, ddl), "signatures")
 
     # one class for each distinct set; copies collapse before the shuffle and have no cells
     some = signed.where("id is not null and n_shingles > 0")
-    classes = scratch.keep(some.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.first("point").alias("point")), "classes")
-    signed = scratch.keep(signed.select("id", "n_shingles", "d1", "d2"), "signatures")
-    scratch.drop("signed")
-    rep_points = classes.select(F.col("rep").alias("id"), "point")
+    classes = scratch.keep(some.groupBy("d1", "d2").agg(F.min("id").alias("rep")), "classes")
     others = scratch.keep(signed.where("id is not null").select("id").distinct().join(classes.select(F.col("rep").alias("id")), "id", "left_anti"), "others")
 
     to_cells, ddl = _celler(width, t)
     cells = base.where("id is not null").join(bounded_broadcast(others), "id", "left_anti").mapInArrow(to_cells, ddl).select(F.explode("cells").alias("cell"), "id", "n")
-    w = Window.partitionBy("cell")
-    shared = cells.withColumn("m", F.count("*").over(w)).where("m > 1").withColumn("lead", F.min_by(F.struct("id", "n"), F.xxhash64("id")).over(w))
-    shared = scratch.keep(shared.select("cell", "id", "n", "m", F.col("lead.id").alias("leader"), F.col("lead.n").alias("leader_n")), "shared")
+    shared = cells.withColumn("m", F.count("*").over(Window.partitionBy("cell"))).where("m > 1")
+    shared = scratch.keep(shared, "shared")
     scratch.drop("others")
 
-    def plausible(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b, na, nb; a row for each shared cell) that share as many cells as a link needs."""
-        counted = pairs.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("k"))
-        return counted.select("a", "b", "k", "na", "nb").mapInArrow(_counter(t), "a long, b long")
-
-    def bounded(pairs: DataFrame) -> DataFrame:
-        p_a, p_b = rep_points.select(F.col("id").alias("a"), F.col("point").alias("pa")), rep_points.select(F.col("id").alias("b"), F.col("point").alias("pb"))
-        full = pairs.join(p_a, "a").join(p_b, "b").select("a", "b", "pa", "pb")
-        return full.mapInArrow(_bounder(t), "a long, b long")
+    def of_ids(ids: DataFrame) -> DataFrame:
+        """The rows of a written table of distinct ids."""
+        return base.join(bounded_broadcast(ids), "id", "left_semi")
 
-    def verified(near: DataFrame) -> DataFrame:
-        near = scratch.keep(near, "near")
+    def verified(near: DataFrame, points: DataFrame | None = None) -> DataFrame:
+        """(u, v): those of the pairs (a, b) whose sets reach the threshold, where there are points first by the bound."""
+        if points is not None:
+            near = near.join(points.select(F.col("id").alias("a"), F.col("point").alias("pa")), "a").join(points.select(F.col("id").alias("b"), F.col("point").alias("pb")), "b")
+            near = near.select("a", "b", "pa", "pb").mapInArrow(_bounder(t), "a long, b long")
+        near = scratch.keep(near.distinct(), "near")
         wanted = scratch.keep(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
         # rows that repeat an id with other texts stand beside each other: a link of either counts for the id
-        links = _links(near, base.join(bounded_broadcast(wanted), "id", "left_semi").dropDuplicates(["id", "text"]), width, t, scratch)
+        texts = of_ids(wanted).dropDuplicates(["id", "text"])
+        full = near.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+        links = scratch.keep(full.select("a", "b", "ta", "tb").mapInArrow(_verifier(width, t), "u long, v long"), "links")
         scratch.drop("near", "ids")
-        return links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        return links
 
     # in a small cell every class meets every other; a pair with small cells alone is counted in all of them
     small = shared.where(F.col("m") <= PAIR_CELL)
     left, right = (small.select("cell", F.col("id").alias(x), F.col("n").alias(f"n{x}")) for x in ("a", "b"))
-    pairs = plausible(left.join(right, "cell").where("a < b"))
-    # in a large one each class meets the leader first
-    star = shared.where((F.col("m") > PAIR_CELL) & (F.col("id") != F.col("leader")))
-    first = F.col("id") < F.col("leader")
-    star = star.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"), F.when(first, F.col("n")).otherwise(F.col("leader_n")).alias("na"), F.when(first, F.col("leader_n")).otherwise(F.col("n")).alias("nb"))
-    found = components(verified(bounded(pairs.unionByName(plausible(star)).distinct())), scratch, "first")
-
-    # then each class of a large cell that holds several components still meets a few leaders of its pool, as long as that
-    # joins classes well; what stays apart meets in blocks
-    def pools(found: DataFrame) -> tuple[DataFrame, int]:
-        """(main, id, component) of the cells with several components, met as one pool for each main component, and how many are loose."""
-        parts = shared.where(F.col("m") > PAIR_CELL).join(found, "id", "left").select("cell", "id", F.coalesce("component", "id").alias("component"))
-        by_component = parts.groupBy("cell", "component").agg(F.count("*").alias("k"))
-        main = by_component.groupBy("cell").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("cell", "main")
-        large = scratch.keep(parts.join(main, "cell").select("main", "id", "component").distinct(), "large")
-        return large, large.where("component <> main").count()
-
-    def joined(found: DataFrame, links: DataFrame, name: str) -> DataFrame:
-        edges = found.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
-        return components(edges.unionByName(links), scratch, name)
-
-    large, loose_rows = pools(found)
-    scratch.drop("links")
-    if loose_rows:
-        wanted = scratch.keep(large.select("id").distinct(), "wanted")
-        fine = base.join(bounded_broadcast(wanted), "id", "left_semi").mapInArrow(_fine_pointer(width), "id long, fine binary")
-        fine = scratch.keep(fine, "fine")
-    turn = 0
-    while loose_rows:
-        order = Window.partitionBy("main").orderBy(F.xxhash64(F.lit(turn), "id"), "id")
-        leaders = large.withColumn("n", F.row_number().over(order)).where(F.col("n") <= LEADERS).select("main", F.col("id").alias("lead"), F.col("component").alias("other"))
-        led = large.join(leaders, "main").where("component <> other").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
-        full = led.join(fine.select(F.col("id").alias("a"), F.col("fine").alias("pa")), "a").join(fine.select(F.col("id").alias("b"), F.col("fine").alias("pb")), "b")
-        near = full.select("a", "b", "pa", "pb").mapInArrow(_bounder(t, FINE_DIMS), "a long, b long")
-        found = joined(found, verified(near), f"led{turn}-")
-        scratch.drop("large", "links")
-        before, turn = loose_rows, turn + 1
-        large, loose_rows = pools(found)
-        if loose_rows > WORTH_A_TURN * before:
+    counted = left.join(right, "cell").where("a < b").groupBy("a", "b", "na", "nb").agg(F.count("*").alias("k"))
+    candidates = [scratch.keep(counted.select("a", "b", "k", "na", "nb").mapInArrow(_counter(t), "a long, b long"), "pairs")]
+
+    # large cells give pools, large pools prefixes of differences, and those cells again
+    hot, sure, pools = shared.where(F.col("m") > PAIR_CELL).select("cell", "id", "m"), [], []
+    for level in range(LEVELS + 1):
+        rows = pools_of(hot)
+        size = rows.groupBy("pool").agg(F.count("*").alias("size"))
+        rows = scratch.keep(rows.join(size, "pool").withColumn("level", F.lit(level)), "pools")
+        large = rows.where((F.col("size") > BLOCK) & F.lit(level < LEVELS))
+        pools.append(rows.where((F.col("size") <= BLOCK) | F.lit(level == LEVELS)))
+        if large.isEmpty():
             break
-    if loose_rows:
-        sizes = large.groupBy("main").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.greatest(F.ceil(F.count_if(F.col("component") != F.col("main")) / BLOCK), F.lit(1)).cast("int").alias("loose_blocks"))
-        placed, salt = large.join(sizes, "main"), F.xxhash64("id")
-        at, carried = ("main", "i", "j"), ("main", "id", "component")
-        loose = placed.where("component <> main").select(*carried, F.pmod(salt, F.col("loose_blocks")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
-        whole = placed.select(*(F.col(c).alias(c) for c in carried), F.explode(F.sequence(F.lit(0), F.col("loose_blocks") - 1)).alias("i"), F.pmod(salt, F.col("blocks")).cast("int").alias("j"))
-        blocks = loose.join(fine, "id").groupBy(*at).cogroup(whole.join(fine.select(F.col("id").alias("id"), F.col("fine").alias("fine")), "id").groupBy(*at))
-        found = joined(found, verified(blocks.applyInPandas(_block_joiner(t), "a long, b long").distinct()), "second")
-    scratch.drop("shared", "large", "fine", "wanted", "links")
+        leaders = scratch.keep(large.select(F.col("pool").alias("id")).distinct(), "leaders")
+        lead = of_ids(leaders).groupBy(F.col("id").alias("pool")).agg(F.min("text").alias("lead"))
+        diff, ddl = _differ(width, t)
+        texts = base.join(bounded_broadcast(scratch.keep(large.select("pool", "id"), "members")), "id").join(lead, "pool")
+        diffs = scratch.keep(texts.select("pool", "id", "text", "lead").mapInArrow(diff, ddl), "diffs")
+        links, spread = prefixes(diffs, t)
+        sure.append(scratch.keep(links, "sure"))
+        w = Window.partitionBy("cell")
+        loose, joined = (F.count_if(c).over(w) for c in (F.col("side") == 0, F.col("side") == 2))
+        spread = spread.withColumn("m", F.count("*").over(w)).withColumn("loose", loose).withColumn("joined", joined).where("m > 1")
+        spread = spread.where("loose > 1 or (joined > 0 and m > joined)").select("cell", "id", "side", "m")
+        spread = scratch.keep(spread, "spread")
+        left, right = (spread.where(F.col("m") <= PAIR_CELL).select("cell", F.col("id").alias(x), F.col("side").alias(f"s{x}")) for x in ("a", "b"))
+        met = (F.col("sa") == 2) & (F.col("sb") < 2) | (F.col("sa") == 0) & (F.col("sb") == 0) | (F.col("sb") == 2) & (F.col("sa") < 2)
+        candidates.append(scratch.keep(left.join(right, "cell").where(F.col("a") < F.col("b")).where(met).select("a", "b").distinct(), "pairs"))
+        hot = spread.where(F.col("m") > PAIR_CELL).select("cell", "id", "m")
+        scratch.drop("leaders", "members", "diffs")
+
+    pairs, pool = (reduce(DataFrame.unionByName, x) for x in (candidates, pools))
+    wanted = scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(pool.select("id")).distinct(), "wanted")
+    point = scratch.keep(of_ids(wanted).mapInArrow(_pointer(width), "id long, point binary"), "points")
+    edges = reduce(DataFrame.unionByName, [*sure, verified(pairs.distinct(), point)])
+    found = components(edges, scratch, "first")
+    scratch.drop("links", "pairs", "sure", "shared", "spread")
+
+    # what is left to meet are pools that hold several components
+    for only_forest in (True, False):
+        parts = pool.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        several = parts.groupBy("level", "pool").agg(F.min("component").alias("lowest"), F.max("component").alias("highest")).where("lowest <> highest")
+        parts = scratch.keep(parts.join(several.select("level", "pool"), ["level", "pool"], "left_semi"), "parts")
+        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        dealt = parts.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        key = F.xxhash64("level", "pool").alias("pool")
+        dealt = dealt.select(key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component").join(point, "id")
+        links = verified(dealt.groupBy("pool", "i", "j").applyInPandas(_block_joiner(t, only_forest), "a long, b long"))
+        known = found.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
+        found = components(known.unionByName(links), scratch, "second" if only_forest else "third")
+        scratch.drop("links", "parts")
+    scratch.drop("pools", "points", "wanted")
 
     label = classes.select("d1", "d2", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
     label = scratch.keep(label, "labels")
-    out = signed.select("id", "n_shingles", "d1", "d2").join(label, ["d1", "d2"], "left")
+    scratch.drop("classes", "first", "second", "third")
+    out = signed.join(label, ["d1", "d2"], "left")
     group = F.when(F.col("id").isNull(), F.lit(None).cast("long")).when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", group.alias("component_id"))

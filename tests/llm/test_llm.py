@@ -52,25 +52,75 @@ def brute_components(texts, k, t):
     return {i: root(i) for i in texts}, {i: len(s) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize(("k", "t"), [(3, Fraction(9, 10)), (5, Fraction(8, 10))])
-def test_jaccard_groups_equal_brute_force(spark, k, t, monkeypatch):
-    monkeypatch.setattr(ngram_jaccard, "PAIR_CELL", 3)
-    rng = random.Random(4)
+def edited(rng, words, n, by=("swap", "drop", "add")):
+    w = list(words)
+    for _ in range(n):
+        at, how = rng.randrange(len(w) + 1), rng.choice(by)
+        w[at : at + (how != "add")] = [] if how == "drop" else [f"e{rng.randrange(40 if at % 5 else 9000)}"]
+    return w
+
+
+@pytest.mark.parametrize(("k", "t", "block", "levels"), [(3, Fraction(9, 10), 5, 4), (5, Fraction(8, 10), 16, 1)])
+def test_jaccard_groups_equal_brute_force(spark, k, t, block, levels, monkeypatch):
+    """Near copies of one text, deletions alone among them, a family within them, and texts that share a passage."""
+    for name, value in (("PAIR_CELL", 2), ("BLOCK", block), ("LEVELS", levels)):
+        monkeypatch.setattr(ngram_jaccard, name, value)
+    rng = random.Random(f"{k}{t}{block}")
     base = [f"w{rng.randrange(500)}" for _ in range(120)]
+    child = edited(rng, base, 4)
+    passage = [f"p{j}" for j in range(60)]
     texts = {}
-    for i in range(150):
-        w = list(base) if i % 3 else [f"v{rng.randrange(900)}" for _ in range(rng.randrange(0, 40))]
-        for _ in range(rng.randrange(0, 4)):
-            if w:
-                w[rng.randrange(len(w))] = f"e{rng.randrange(9000)}"
+    for i in range(260):
+        if i % 4 == 0:
+            w = [f"v{rng.randrange(900)}" for _ in range(rng.randrange(0, 40))] + passage * (i % 8 == 0) + [f"v{rng.randrange(900)}" for _ in range(rng.randrange(0, 12))]
+        else:
+            w = edited(rng, child if i % 4 == 1 else base, rng.randrange(0, 7), ("drop",) if i % 4 == 2 else ("swap", "drop", "add"))
         texts[i] = " ".join(w)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r["doc_id"]: r for r in ngram_jaccard.jaccard_groups(df, width=k, threshold=t).collect()}
     comp, size = brute_components(texts, k, t)
+    assert len(set(comp.values())) > 80
     assert {i: r["component_id"] for i, r in got.items()} == comp
     assert {i: r["n_shingles"] for i, r in got.items()} == size
 
 
+def test_prefixes_miss_no_link_of_a_pool():
+    """Sure links and the sides of the prefixes, against all pairs of a pool, by the formulas in plain numbers."""
+    rng = random.Random(8)
+    for t in (Fraction(9, 10), Fraction(8, 10), Fraction(1, 2)):
+        p, q = t.numerator, t.denominator
+        base = list(range(60))
+        sets = [frozenset(base)] + [frozenset(rng.sample(base, 60 - rng.randrange(0, 12))) | frozenset(rng.sample(range(60, 90), rng.randrange(0, 12))) for _ in range(80)]
+        d = [sorted(x - sets[0]) + sorted(sets[0] - x) for x in sets]
+        f = [(p + q) * len(y) - (q - p) * len(x) for x, y in zip(sets, d, strict=True)]
+        low = min(f)
+        cut = []
+        for x, y, v in zip(sets, d, f, strict=True):
+            room = len(y) - max(1, len(y) - len(x) * (q - p) // p) + 1
+            near = max(0, min(room, len(y) - (v - low) // (2 * (p + q))))
+            far = max(0, min(room, len(y) - max(1, -((-v - low) // (2 * (p + q)))) + 1))
+            cut.append((near, near if v + low <= 0 else far))
+        for i in range(len(sets)):
+            for j in range(i):
+                if len(sets[i] & sets[j]) < t * len(sets[i] | sets[j]):
+                    continue
+                sure_i, sure_j = f[i] + low <= 0, f[j] + low <= 0
+                if sure_i and sure_j:
+                    continue
+                upto = [cut[k][0] if s or not (sure_i or sure_j) else cut[k][1] for k, s in ((i, sure_i), (j, sure_j))]
+                assert set(d[i][: upto[0]]) & set(d[j][: upto[1]])
+
+
+def test_words_of_like_polynomials_differ(spark):
+    """Thue-Morse words and their complements, alike under any polynomial hash modulo a power of two."""
+    rows = []
+    for k, n in enumerate((8, 1024, 2048, 4096, 65536)):
+        word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+        rows += [(2 * k, word), (2 * k + 1, word.translate(str.maketrans("ab", "ba")))]
+    got = ngram_jaccard.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["component_id"] == r["doc_id"] and r["n_shingles"] == 1 for r in got)
+
+
 def test_jaccard_odd_inputs(spark):
     rows = ngram_jaccard.jaccard_groups(odd_docs(spark)).collect()
     assert len(rows) == len(ODD) + 2
@@ -84,7 +134,7 @@ def test_count_bound_never_cuts_a_link():
     rng = np.random.default_rng(1)
     p, q = rng.poisson(4, (40, 64)), rng.poisson(4, (50, 64))
     q[:20] = p[:20] + rng.integers(0, 2, (20, 64)) * (rng.random((20, 64)) < 0.05)
-    i, j = ngram_jaccard.leaf_join(p, q, Fraction(9, 10))
+    i, j, _ = ngram_jaccard.leaf_join(p, q, Fraction(9, 10))
     low = np.minimum(p[:, None], q[None]).sum(axis=2)
     want = {(a, b) for a, b in np.argwhere(19 * low >= 9 * (p.sum(1)[:, None] + q.sum(1)[None]))}
     assert set(zip(i.tolist(), j.tolist(), strict=True)) == want
