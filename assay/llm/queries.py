@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from assay.llm import ann, bpe, chat, images, lang_id, mixing, ngram_jaccard, quality, secrets, toxicity
 from assay.llm.features import crc_part
+from assay.llm.store import Scratch
 from assay.session import ship, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -37,7 +38,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """A ledger that an older set of rules has filled meets the present one: only the pairs it lacks are scanned."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = secrets.Ledger(spark, f"{Scratch(spark).root}/ledger")
+    ledger.update(docs, rules=secrets.BASE_RULES)
+    found = secrets.find_secrets(docs, ledger)
     n_base = len(secrets.BASE_RULES)
 
     def count(kind: str) -> Column:
@@ -61,9 +66,9 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = chat.format_chats(rows.unionByName(probe))
     turns = chat.read_back(F.col("formatted"))
     learnt = chat.masked_text(F.col("segments"))
-    out = out.select("conv_id", turns.alias("turns"), learnt.alias("learnt"), F.length("formatted").cast("long").alias("formatted_chars"))
+    out = out.select("conv_id", "first_bad_turn", turns.alias("turns"), learnt.alias("learnt"), F.length("formatted").cast("long").alias("formatted_chars"))
     said = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
-    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"), F.length("learnt").cast("long").alias("loss_chars"), F.sha2(F.col("learnt").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"), F.length("learnt").cast("long").alias("loss_chars"), F.sha2(F.col("learnt").cast("binary"), 256).alias("loss_sha256"), "formatted_chars", "first_bad_turn")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,16 +151,20 @@ def _chat_sql() -> str:
     width = "CASE role " + " ".join(f"WHEN '{r}' THEN {len(a) + len(b)} + length(text) + {escaped.format(x='text')}" for r, (a, b, _) in t.roles.items())
     width += f" ELSE {sum(map(len, t.other))} + length(role) + {escaped.format(x='role')} + length(text) + {escaped.format(x='text')} END"
     learnt = ", ".join(f"'{r}'" for r, (_, _, loss) in t.roles.items() if loss)
+    allowed = " OR ".join(f"(prev = '{s}' AND role IN ({', '.join(map(repr, roles))}))" for s, roles in t.allowed.items())
     return f"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', {_sql_text(PROBE_CHAT)} UNION ALL SELECT -1, 1, 'assistant', {_sql_text(PROBE_CHAT)}),
-w AS (SELECT *, {width} AS width FROM c),
+w AS (
+  SELECT *, {width} AS width, coalesce(lag(role) OVER o, '{t.start}') AS prev, row_number() OVER o AS k
+  FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
 g AS (
   SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
-    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role IN ({learnt})), '') AS learnt, CAST(sum(width) AS BIGINT) AS formatted_chars
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role IN ({learnt})), '') AS learnt, CAST(sum(width) AS BIGINT) AS formatted_chars,
+    CAST(min(k) FILTER (WHERE NOT ({allowed})) AS INT) AS first_bad_turn
   FROM w GROUP BY conv_id)
-SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256, formatted_chars FROM g"""
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256, formatted_chars, first_bad_turn FROM g"""
 
 
 MIX_SQL = r"""

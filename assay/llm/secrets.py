@@ -1,22 +1,30 @@
 """Secret scans over an incremental blob ledger, in DataFrame functions alone.
 
-Every version of a text is addressed by the SHA-256 of its content. The ledger holds one row for each blob and rule
-version that has been scanned, with the spans found. A scan takes the distinct blobs, drops the (blob, rule version)
-pairs the ledger has, runs the rules on the rest and joins all findings back to every path (document) with that content.
+Every version of a text is addressed by the SHA-256 of its content. The ledger holds, for each scan of a blob, the rules
+and rule versions that it ran and the spans that they found. A scan takes one row of each distinct blob, drops the
+(blob, rule version) pairs that the ledger has, runs the other rules where the texts lie and appends what it found; the
+findings of all present rule versions are joined back to every path (document) with that content. Texts are shuffled only
+where the rows to scan, or those to leave out, are too many to broadcast.
 
 Spans are in code points, end exclusive. A rule's matches are leftmost and do not overlap; matches that fail the rule's
 length test are dropped after they have taken their characters. Defined results: a null text counts as empty; equal
-texts share one blob; null ids are returned as they are.
+texts share one blob; null ids are returned as they are; an empty table gives an empty one and an empty ledger.
+A column of ``docs`` named like the result is replaced by it, all others are kept.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assay.llm.store import Scratch
+
 SPAN = "struct<start:int,rank:int,kind:string,stop:int>"
+LEDGER = "blob string, rules array<struct<kind:string,version:int>>, spans array<struct<start:int,stop:int,kind:string,version:int>>"
+#: Most rows of (blob, id) or (blob, spans) that are broadcast, at some 200 bytes each.
+BROADCAST_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -35,15 +43,15 @@ ASSIGN = Rule("assign", 1, r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss
 ACCESS = Rule("access", 1, r"AKIA[A-Z0-9]{12,}")
 HEX = Rule("hex", 1, r"[0-9a-f]{32,}")
 BASE_RULES = (ASSIGN, ACCESS, HEX)
-# Added by this scanner: public, well-known shapes of keys. A private key runs to its END line, over anything but another
+# Added by this scanner, each bounded so that no text takes quadratic time: public, well-known shapes of keys. A private key runs to its END line, over anything but another
 # run of five dashes; without an END line over the header lines and base64 lines that follow, line ends escaped or not.
 _EOL = r"(?:[\t\x20]*\r?\n|\\r\\n|\\n|[\t\x20])[\t\x20]*"
 _PEM_END = r"[^-]*(?:-{1,4}[^-]+){0,200}-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
 _PEM_CUT_OFF = rf"(?:(?:{_EOL})+[A-Za-z]+-[A-Za-z]+: [^\r\n]*){{0,20}}(?:(?:{_EOL})+{"[A-Za-z0-9+/=]" * 16}[A-Za-z0-9+/=]*){{1,400}}(?:{_EOL}[A-Za-z0-9+/]*={{1,2}})?"
 MORE_RULES = (
     Rule("pem", 2, rf"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(?:{_PEM_END}|{_PEM_CUT_OFF})?"),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url_login", 1, r"[a-z][a-z0-9+.-]*://[^/\s:@]+:[^/\s:@]{4,}@"),
+    Rule("jwt", 2, r"eyJ[A-Za-z0-9_-]{8,400}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("url_login", 2, r"[a-z][a-z0-9+.-]{0,30}://[^/\s:@]{1,200}:[^/\s:@]{4,200}@"),
 )
 RULES = (*BASE_RULES, *MORE_RULES)
 
@@ -68,42 +76,87 @@ def blob_id(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
-def rule_table(rules: tuple[Rule, ...]) -> Column:
+def rule_ids(rules: tuple[Rule, ...]) -> Column:
     return F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
 
 
-def scan_unseen(blobs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> DataFrame:
-    """New ledger rows (blob, kind, version, spans) for the (blob, text) rows' pairs that the ledger lacks.
-
-    ``blobs`` may hold many historical versions and repeats; every distinct blob is scanned once for a rule version.
-    """
-    one = blobs.groupBy("blob").agg(F.first("text").alias("text"))
-    if ledger is None:
-        todo = one.withColumn("due", F.array(*[F.lit(True) for _ in rules]))
-    else:
-        seen = ledger.select("blob", F.struct("kind", "version").alias("rule")).groupBy("blob").agg(F.collect_set("rule").alias("rules"))
-        todo = one.join(seen, "blob", "left").withColumn("due", F.array(*[~F.coalesce(F.array_contains("rules", F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"))), F.lit(False)) for r in rules]))
-        todo = todo.where(F.exists("due", lambda x: x))
+def scan(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """Ledger rows of (blob, text): the rules that ran and their spans."""
     empty = F.array().cast(f"array<{SPAN}>")
     # a cheap search decides first; only texts with a match are cut up
-    found = [F.when(F.col("due")[k] & F.col("text").rlike(r.pattern), rule_spans(F.col("text"), r, k)).otherwise(F.when(F.col("due")[k], empty)) for k, r in enumerate(rules)]
-    rows = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), found[k].alias("spans")) for k, r in enumerate(rules)])
-    return todo.select("blob", F.explode(rows).alias("r")).where("r.spans is not null").select("blob", "r.kind", "r.version", "r.spans")
-
-
-def blob_spans(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(blob, spans): all spans of the rules' present versions, by start and then rule order; blobs without any are left out."""
-    current = ledger.where(F.size("spans") > 0).where(F.array_contains(rule_table(rules), F.struct("kind", "version")))
-    return current.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_set("spans"))).alias("spans"))
-
-
-def find_secrets(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> DataFrame:
-    """``docs`` with columns ``blob`` and ``spans`` (array of start, rank, kind, stop), one row for each input row."""
-    base = docs.withColumn("blob", blob_id(F.col(text_col)))
-    new = scan_unseen(base.select("blob", F.coalesce(F.col(text_col), F.lit("")).alias("text")), rules, ledger)
-    known = new if ledger is None else new.unionByName(ledger.select(*new.columns).join(base.select("blob").distinct(), "blob", "left_semi"))
-    found = blob_spans(known, rules)
-    return base.join(found, "blob", "left").withColumn("spans", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")))
+    found = F.flatten(F.array(*[F.when(F.col("text").rlike(r.pattern), rule_spans(F.col("text"), r, k)).otherwise(empty) for k, r in enumerate(rules)]))
+    versions = F.array(*[F.lit(r.version) for r in rules])
+    spans = F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"), F.element_at(versions, s["rank"] + 1).alias("version")))
+    return rows.select("blob", rule_ids(rules).alias("rules"), spans.alias("spans"))
+
+
+def _few(df: DataFrame) -> bool:
+    return df.count() <= BROADCAST_ROWS
+
+
+class Ledger:
+    """An append-only table of scans in a folder; new and empty where the folder does not exist."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def read(self) -> DataFrame:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        there = where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
+        return self.spark.read.schema(LEDGER).parquet(self.path) if there else self.spark.createDataFrame([], LEDGER)
+
+    def due(self, blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+        """``blobs`` (blob, ...) with ``due``, the rules that the ledger lacks for them; those that lack none are left out."""
+        seen = self.read().groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"))
+        due = F.array_except(rule_ids(rules), F.coalesce("seen", F.array().cast("array<struct<kind:string,version:int>>")))
+        return blobs.join(seen, "blob", "left").withColumn("due", due).drop("seen").where(F.size("due") > 0)
+
+    def update(self, docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", rules: tuple[Rule, ...] = RULES) -> int:
+        """Scan what is unseen and append it; the number of (blob, rule version) pairs scanned."""
+        scratch = Scratch(self.spark)
+        rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("blob", blob_id(F.col("text")))
+        # one row stands for a blob: ids and addresses alone are shuffled
+        blobs = rows.groupBy("blob").agg(F.min("id").alias("id"))
+        todo, pairs = scratch.keep(self.due(blobs, rules), "todo"), 0
+        for due in sorted({tuple((r["kind"], r["version"]) for r in x["due"]) for x in todo.select("due").distinct().collect()}):  # sets of rules
+            chosen = tuple(r for r in rules if (r.kind, r.version) in due)
+            part = todo.where(F.col("due") == rule_ids(chosen)).select("blob", "id")
+            # rows that repeat id and text are scanned each and count once
+            new = scan(self._rows_of(rows, part, scratch), chosen).dropDuplicates(["blob"])
+            new = scratch.keep(new, "new")
+            pairs += new.count() * len(chosen)
+            new.write.mode("append").option("compression", "zstd").parquet(self.path)
+        scratch.drop_all()
+        return pairs
+
+    def _rows_of(self, rows: DataFrame, part: DataFrame, scratch: Scratch) -> DataFrame:
+        """The rows named by (blob, id): by those to take or those to leave, whichever is few; beyond that by a shuffle."""
+
+        def same(other: DataFrame) -> Column:
+            return (rows["blob"] == other["blob_"]) & rows["id"].eqNullSafe(other["id_"])
+
+        named = part.select(F.col("blob").alias("blob_"), F.col("id").alias("id_"))
+        if _few(named):
+            return rows.join(F.broadcast(named), same(named), "left_semi")
+        rest = scratch.keep(rows.join(named, same(named), "left_anti").select(F.col("blob").alias("blob_"), F.col("id").alias("id_")).distinct(), "rest")
+        if _few(rest):
+            return rows.join(F.broadcast(rest), same(rest), "left_anti")
+        return rows.join(named, same(named), "left_semi")
+
+    def spans(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """(blob, spans): all spans of the rules' present versions, by start and then rule order; blobs without any are left out."""
+        order = F.create_map(*[x for k, r in enumerate(rules) for x in (F.lit(f"{r.kind}:{r.version}"), F.lit(k))])
+        one = self.read().where(F.size("spans") > 0).select("blob", F.explode("spans").alias("s")).withColumn("rank", order[F.concat_ws(":", "s.kind", "s.version")])
+        one = one.where("rank is not null").select("blob", F.struct("s.start", "rank", "s.kind", "s.stop").alias("s"))
+        return one.groupBy("blob").agg(F.array_sort(F.collect_set("s")).cast(f"array<{SPAN}>").alias("spans"))
+
+
+def find_secrets(docs: DataFrame, ledger: Ledger, text_col: str = "text", id_col: str = "doc_id", rules: tuple[Rule, ...] = RULES, into: str = "spans") -> DataFrame:
+    """``docs`` with the spans of each row's text in ``into`` (array of start, rank, kind, stop), one row for each input row."""
+    ledger.update(docs, text_col, id_col, rules)
+    found = Scratch(docs.sparkSession).keep(ledger.spans(rules).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")), "found")
+    out = docs.join(F.broadcast(found) if _few(found) else found, blob_id(docs[text_col]) == F.col("__blob"), "left")
+    return out.withColumn(into, F.coalesce("__spans", F.array().cast(f"array<{SPAN}>"))).drop("__blob", "__spans")
 
 
 def span_text(spans: Column) -> Column:

@@ -2,9 +2,11 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
+import time
 from fractions import Fraction
 
 import duckdb
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from assay.llm import ann, bpe, chat, images, lang_id, mixing, ngram_jaccard, quality, queries, secrets, toxicity
 from assay.llm.features import crc_part
+from assay.llm.store import Scratch
 
 DATA = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -181,21 +184,46 @@ def brute_spans(text):
     return [s for _, _, s in sorted(out)]
 
 
-def test_secret_spans_redaction_and_ledger(spark):
+def new_ledger(spark):
+    return secrets.Ledger(spark, f"{Scratch(spark).root}/ledger")
+
+
+def test_secret_spans_and_redaction(spark):
     texts = ["", None, 'é password = "abcdefgh1" x', "token=abc secret: 12345678", "token=secret: 12345678", "AKIAAKIA" + "A1" * 9 + "é" + "0f" * 20, "𝔸 api_key:" + "ab" * 16 + "zz PASSWD=short", "-----BEGIN RSA PRIVATE KEY-----"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, texts[2])], "doc_id long, text string")
-    found = secrets.find_secrets(df).select("doc_id", secrets.span_text(F.col("spans")).alias("s"), secrets.redact(F.col("text"), F.col("spans")).alias("r"))
+    found = secrets.find_secrets(df, new_ledger(spark)).select("doc_id", secrets.span_text(F.col("spans")).alias("s"), secrets.redact(F.col("text"), F.col("spans")).alias("r"))
     rows = {r["doc_id"]: r for r in found.collect()}
     for i, t in enumerate(texts):
         base = [x for x in rows[i]["s"].split(",") if x.split(":")[0] in ("assign", "access", "hex")]
         assert base == brute_spans(t)
     assert rows[99]["s"] == rows[2]["s"] and "abcdefgh1" not in rows[2]["r"] and rows[1]["r"] is None
-    blobs = df.select(secrets.blob_id(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
-    ledger = secrets.scan_unseen(blobs).cache()
-    assert ledger.groupBy("blob", "kind").count().where("count > 1").isEmpty()
-    assert secrets.scan_unseen(blobs, ledger=ledger).isEmpty()
-    bumped = (*secrets.RULES[:-1], secrets.Rule(secrets.RULES[-1].kind, 2, secrets.RULES[-1].pattern))
-    assert {r["version"] for r in secrets.scan_unseen(blobs, bumped, ledger).collect()} == {2}
+
+
+def test_ledger_scans_what_is_unseen(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(1, "a password=abcdefgh1"), (2, "b"), (3, "b"), (None, "b"), (None, None), (4, ""), (4, "c"), (4, "c")], "doc_id long, text string")
+    n, k = 4, len(secrets.RULES)
+    for few in (0, 1000):
+        monkeypatch.setattr(secrets, "BROADCAST_ROWS", few)
+        ledger = secrets.Ledger(spark, f"{tmp_path}/ledger{few}")
+        assert ledger.update(df, rules=secrets.BASE_RULES) == 3 * n and ledger.update(df, rules=secrets.BASE_RULES) == 0
+        assert ledger.update(df) == (k - 3) * n and ledger.update(df) == 0
+        more = df.unionByName(spark.createDataFrame([(9, "new token: 123456789"), (10, "b")], df.schema))
+        assert ledger.update(more) == k
+        bumped = (*secrets.RULES[:-1], secrets.Rule(secrets.RULES[-1].kind, 9, secrets.RULES[-1].pattern))
+        assert ledger.update(more, rules=bumped) == n + 1
+        assert ledger.read().selectExpr("blob", "explode(rules) r").groupBy("blob", "r").count().where("count > 1").isEmpty()
+        found = secrets.find_secrets(more, ledger).select("doc_id", secrets.span_text(F.col("spans")).alias("s")).collect()
+        assert len(found) == 10 and {(r["doc_id"], r["s"]) for r in found if r["s"]} == {(1, "assign:2:20"), (9, "assign:4:20")}
+        empty = secrets.Ledger(spark, f"{tmp_path}/empty{few}")
+        assert secrets.find_secrets(df.limit(0), empty).isEmpty()
+
+
+def test_added_rules_take_linear_time(spark):
+    slow = ["a" * 200000, "ab12" * 50000, "eyJ" * 60000, "eyJ" + "a" * 100000, "-----BEGIN PRIVATE KEY-----" * 4000]
+    df = spark.createDataFrame(list(enumerate(slow)), "doc_id long, text string")
+    began = time.time()
+    secrets.scan(df.select(secrets.blob_id(F.col("text")).alias("blob"), "text"), secrets.MORE_RULES).collect()
+    assert time.time() - began < 20
 
 
 def test_pem_span_covers_the_key(spark):
@@ -213,14 +241,14 @@ def test_pem_span_covers_the_key(spark):
         f"{begin} is the first line.": "[SECRET] is the first line.",
     }
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = secrets.find_secrets(df).select("text", secrets.redact(F.col("text"), F.col("spans")).alias("r"))
+    found = secrets.find_secrets(df, new_ledger(spark)).select("text", secrets.redact(F.col("text"), F.col("spans")).alias("r"))
     assert {r["text"]: r["r"] for r in found.collect()} == texts
     con = duckdb.connect()
     con.register("documents", df.toPandas())
     spans = {r[0]: r[-1] for r in con.execute(queries.ORACLES["op4_secrets"]).fetchall()}
-    assert spans == {r["doc_id"]: r["s"] for r in secrets.find_secrets(df).select("doc_id", secrets.span_text(F.col("spans")).alias("s")).collect()}
+    assert spans == {r["doc_id"]: r["s"] for r in secrets.find_secrets(df, new_ledger(spark)).select("doc_id", secrets.span_text(F.col("spans")).alias("s")).collect()}
     long = spark.createDataFrame([(1, f"{begin}\n" + "A-" * 100000), (2, f"{begin}\n" + f"{body}\n" * 50)], "doc_id long, text string")
-    assert secrets.find_secrets(long).where("size(spans) > 0").count() == 2
+    assert secrets.find_secrets(long, new_ledger(spark)).where("size(spans) > 0").count() == 2
 
 
 def test_neighbours_recall_and_odd_vectors(spark):
@@ -312,9 +340,9 @@ def brute_links(pics):
             angle = r * (2 * np.pi / images.TURNS)
             dx = x[a] - zoom * (np.cos(angle) * x[b] - np.sin(angle) * y[b])
             dy = y[a] - zoom * (np.sin(angle) * x[b] + np.cos(angle) * y[b])
-            for i in (0, 1):
-                for j in (0, 1):
-                    votes[img[a], img[b], r, zoom, math.floor(dx / 8 + i / 2), math.floor(dy / 8 + j / 2), i, j].add((x[a], y[a], scale[a]))
+            for t, i, j in itertools.product((0, 1), repeat=3):
+                bins = ((r + 2 * t) % images.TURNS // 4, math.floor(dx / 16 + i / 2), math.floor(dy / 16 + j / 2))
+                votes[img[a], img[b], zoom, t, i, j, *bins].add((x[a], y[a], scale[a]))
     links = {k[:2] for k, v in votes.items() if len(v) >= images.CONSENSUS}
     return collections.Counter(i for pair in links for i in pair)
 
@@ -333,6 +361,41 @@ def test_image_groups_beyond_a_word_keep_all_links(spark, block, monkeypatch):
     assert {r["group_id"] for k, r in got.items() if k < 60} == {0}
 
 
+def resampled(img, turn=0.0, zoom=1.0):
+    """The image turned by degrees about its middle and zoomed, by bilinear interpolation."""
+    h, w = (int(n * zoom) for n in img.shape)
+    t = np.deg2rad(turn)
+    y, x = np.mgrid[0:h, 0:w] / zoom - (np.array(img.shape)[:, None, None] - 1) / 2
+    y, x = (np.clip(v + (n - 1) / 2, 0, n - 1.001) for v, n in zip((np.cos(t) * y - np.sin(t) * x, np.sin(t) * y + np.cos(t) * x), img.shape, strict=True))
+    y0, x0 = y.astype(int), x.astype(int)
+    fy, fx = y - y0, x - x0
+    return (1 - fy) * ((1 - fx) * img[y0, x0] + fx * img[y0, x0 + 1]) + fy * ((1 - fx) * img[y0 + 1, x0] + fx * img[y0 + 1, x0 + 1])
+
+
+def test_image_recall_on_edited_copies(spark):
+    """Turned, zoomed, cropped and edited copies are found, and scenes stay apart."""
+    scenes, rng = 40, np.random.default_rng(6)
+    edits = {
+        **{f"turn{d}": (lambda a, d=d: resampled(a, turn=d)) for d in (15, 30, 45, 90)},
+        "zoom2": lambda a: resampled(a, zoom=2),
+        "zoom1.25": lambda a: resampled(a, zoom=1.25),
+        "crop": lambda a: a[8:-8, 8:-8],
+        "corner": lambda a: a[:48, 16:],
+        "bright": lambda a: 0.8 * a + 20 + rng.normal(0, 1, a.shape),
+    }
+    rows, kind = [], {}
+    for k in range(scenes):
+        a = np.rint(images.scene(5000 + k))
+        for j, (name, f) in enumerate([("own", lambda a: a), *edits.items()]):
+            kind[100 * k + j] = (k, name)
+            rows.append((100 * k + j, bytearray(images.write_pgm(np.clip(np.rint(f(a)), 0, 255)))))
+    got = {r["image_id"]: r["group_id"] for r in images.copy_groups(spark.createDataFrame(rows, "image_id long, image binary")).collect()}
+    for name in edits:
+        assert np.mean([got[i] == 100 * k for i, (k, n) in kind.items() if n == name]) >= 0.9, name
+    wrong = sum(g // 100 != kind[i][0] for i, g in got.items())
+    assert wrong <= 0.02 * len(got)
+
+
 def test_image_corners_follow_the_area():
     big = images.describe_stack(images.scene(5, 256)[None])
     assert set(big[1]) == {0, 1, 2, 3} and (big[1] == 0).sum() > 4 * images.CORNERS
