@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from assay.llm.hashing import chunks
 
 CACHE_WORDS = 400_000
+CACHE_PAIRS = 1_000_000
 
 
 def byte_alphabet() -> list[str]:
@@ -141,6 +142,8 @@ class WordBpe:
 
     def _pairs_fit(self, codes: np.ndarray) -> np.ndarray:
         """Whether each neighbour pair encodes to itself; unknown pairs are settled once and remembered."""
+        if len(self.pair_codes) > CACHE_PAIRS:
+            self.pair_codes, self.pair_good = np.zeros(0, np.int64), np.zeros(0, bool)
         new = np.setdiff1d(codes, self.pair_codes)
         if len(new):
             good = np.array([self._merge(self._symbols_of(self.names[a]) + self._symbols_of(self.names[b])) == [a, b] for a, b in zip((new // self.base).tolist(), (new % self.base).tolist(), strict=True)], bool)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.llm.hashing import _LOWER, _SPACE, mix, range_hash, string_bytes, word_spans
 
 _U = np.uint64
+#: Parts in which a stratum is ranked first.
+SAMPLE_PARTS = 256
 
 
 def crc_part(id_col: Column, parts: int) -> Column:
@@ -17,12 +19,24 @@ def crc_part(id_col: Column, parts: int) -> Column:
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(parts))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, longer by underscores where ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def bounded_sample(rows: DataFrame, key: str, most: int, strata: str) -> DataFrame:
     """At most ``most`` rows of each stratum, by a fixed hash order of the key: the same rows in every run."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(strata).orderBy(F.xxhash64(F.lit(7), key), key)
-    return rows.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most).drop("_n")
+    order = (F.xxhash64(F.lit(7), key), F.col(key))
+    # first within hash parts of a stratum, so that no task ranks all its rows
+    parts = Window.partitionBy(strata, F.pmod(F.xxhash64(key), F.lit(SAMPLE_PARTS))).orderBy(*order)
+    some = rows.withColumn("__n", F.row_number().over(parts)).where(F.col("__n") <= most)
+    return some.withColumn("__n", F.row_number().over(Window.partitionBy(strata).orderBy(*order))).where(F.col("__n") <= most).drop("__n")
 
 
 def ngram_ids(arr: pa.Array, sizes: tuple[int, ...], dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

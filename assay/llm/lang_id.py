@@ -6,7 +6,9 @@ wins, the summed margin deciding ties. All machines are fitted by averaged subgr
 bounded sample: at most ``per_lang`` labelled documents a language, picked by a hash of their id.
 
 Defined results: ``und`` with score 0 for a null text and one without a letter. With one learnt language that one is
-given. Languages that the family table lacks are families of their own.
+given. Languages that the family table lacks are families of their own. Without a labelled document (empty tables among
+them) every text is ``und`` with score 0. The score is the product of two logistic curves, of the family's lead over the
+next one and of the summed margins inside it. Other columns of the tables are not looked at.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.features import bounded_sample, ngram_ids
+from assay.llm.features import bounded_sample, free_names, ngram_ids
 from assay.llm.hashing import chunks
 
 SIZES = (1, 2, 3, 4)
@@ -125,15 +127,15 @@ def _featurer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v.astype("<f4").tobytes() for v in x], pa.binary())], ["lang", "x"])
 
 
-def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG) -> LangModel:
+def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG) -> LangModel | None:
     """A model from at most ``per_lang`` documents of each non-null language among those that ``learn`` admits."""
-    known = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    chosen = bounded_sample(known.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang")), "_id", per_lang, "_lang")
+    known = docs.where(learn).select(F.col(id_col).alias("_doc"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
+    chosen = bounded_sample(known.select(F.col("_doc").alias("_id"), F.col("lang").alias("_lang")), "_id", per_lang, "_lang")
     # bounded: per_lang ids for each language
-    text = docs.where(learn).join(F.broadcast(chosen.select("_id", "_lang")), (F.col(id_col) == F.col("_id")) & (F.col(lang_col) == F.col("_lang")))
-    rows = text.select(lang_col, text_col).mapInArrow(_featurer, "lang string, x binary").collect()
+    text = known.join(F.broadcast(chosen.select("_id", "_lang")), (F.col("_doc") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
+    rows = text.select("lang", "text").mapInArrow(_featurer, "lang string, x binary").collect()
     if not rows:
-        raise ValueError("no labelled document to learn languages from")
+        return None
     rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
     return LangModel(np.stack([np.frombuffer(r["x"], "<f4") for r in rows]), [r["lang"] for r in rows])
 
@@ -151,9 +153,12 @@ def _predictor(model: LangModel, column: str):
     return predict
 
 
-def predict(docs: DataFrame, model: LangModel, keep: list[str], text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: LangModel | None, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns ``keep`` of every row with lang_pred and score; only the text is looked at."""
-    rows = docs.select(*keep, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letters"), F.col(text_col).alias("_text"))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text") + ", lang_pred string, score double"
-    out = rows.mapInArrow(_predictor(model, "_text"), ddl)
-    return out.select(*keep, F.when(F.col("_letters"), F.col("lang_pred")).otherwise("und").alias("lang_pred"), F.when(F.col("_letters"), F.col("score")).otherwise(0.0).alias("score"))
+    if model is None:
+        return docs.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    text, letters = free_names(docs, "_text", "_letters")
+    rows = docs.select(*keep, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias(letters), F.col(text_col).alias(text))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != text) + ", lang_pred string, score double"
+    out = rows.mapInArrow(_predictor(model, text), ddl)
+    return out.select(*keep, F.when(F.col(letters), F.col("lang_pred")).otherwise("und").alias("lang_pred"), F.when(F.col(letters), F.col("score")).otherwise(0.0).alias("score"))

@@ -4,9 +4,10 @@ Every line of the whole text is good or bad; a line's features are shares and sh
 those of its neighbours. Forward and backward passes give each line's chance of being good; weighted by line length they
 make the document's raw quality, which a logistic curve turns into the chance of label 1.
 
-Trained here on document labels (a line has its document's label) over a bounded sample: at most ``per_class``
+Trained on document labels (a line has its document's label) over a bounded sample: at most ``per_class``
 documents a class, picked by a hash of their id. Defined results: a null or empty text is one empty line. Labels that
-contradict each other for one id count by their smallest value.
+contradict each other for one id count by their smallest value. Without labelled documents of both classes (empty tables
+among them) nothing tells documents apart and each score is 0.5. Other columns of the tables are not looked at.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.features import bounded_sample
+from assay.llm.features import bounded_sample, free_names
 from assay.llm.hashing import _LOWER, chunks, range_hash, string_bytes, word_spans
 
 PER_CLASS = 1200
@@ -164,6 +165,10 @@ class LineCrf:
         return 1 / (1 + np.exp(-np.clip(self.slope * logit(raw) + self.shift, -500, 500)))
 
 
+#: The model without labels: 0.5 for every text.
+UNKNOWN = LineCrf(np.zeros(N_FEATURES + 1), np.zeros((2, 2)), 0.0, 0.0)
+
+
 def logit(p: np.ndarray) -> np.ndarray:
     p = np.clip(p, 1e-4, 1 - 1e-4)
     return np.log(p / (1 - p))
@@ -220,14 +225,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_col:
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     if learn is not None:
         known = known.where(learn)
-    known = known.groupBy(F.col(id_col).alias("_id")).agg(F.min((F.col(label_col) > 0).cast("int")).alias("y"))
+    known = known.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label")).groupBy("_id").agg(F.min((F.col("_label") > 0).cast("int")).alias("y"))
     n = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     if not n.get(0) or not n.get(1):
-        raise ValueError("labels of both classes are needed")
+        return UNKNOWN
     chosen = F.broadcast(bounded_sample(known, "_id", per_class, "y"))  # bounded: per_class ids of either class
-    rows = docs.join(chosen, F.col(id_col) == F.col("_id")).select("y", F.col(text_col).alias("text")).mapInArrow(_featurer, "y int, f binary, size binary").collect()
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text"))
+    rows = texts.join(chosen, F.col("_doc") == F.col("_id")).select("y", "text").mapInArrow(_featurer, "y int, f binary, size binary").collect()
     if len({r["y"] for r in rows}) < 2:
-        raise ValueError("documents of both classes are needed")
+        return UNKNOWN
     rows.sort(key=lambda r: (r["y"], bytes(r["size"]), bytes(r["f"])))
     size = np.concatenate([np.frombuffer(r["size"], "<i4") for r in rows])
     feats = np.concatenate([np.frombuffer(r["f"], "<i2") for r in rows]).reshape(len(size), -1).astype(np.int64)
@@ -235,19 +241,20 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_col:
     return fit_crf(feats, size, at, np.array([r["y"] for r in rows]), n[1] / (n[0] + n[1]))
 
 
-def _scorer(model: LineCrf, names: list[str]):
+def _scorer(model: LineCrf, names: list[str], into: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text = b.column(b.num_columns - 1)
             for lo, hi in chunks(text):
                 part = b.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(b.num_columns - 1)), pa.array(model.score(part.column(b.num_columns - 1)))], [*names, "_score"])
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(b.num_columns - 1)), pa.array(model.score(part.column(b.num_columns - 1)))], [*names, into])
 
     return score
 
 
-def score(docs: DataFrame, model: LineCrf, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` of every row and its _score; only the text is looked at."""
-    rows = docs.select(*keep, F.col(text_col).alias("_text"))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text") + ", _score double"
-    return rows.mapInArrow(_scorer(model, keep), ddl)
+def score(docs: DataFrame, model: LineCrf, keep: list[str], text_col: str = "text", into: str = "_score") -> DataFrame:
+    """The columns ``keep`` of every row and its score in ``into``; only the text is looked at."""
+    text = free_names(docs, "_text")[0]
+    rows = docs.select(*keep, F.col(text_col).alias(text))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != text) + f", {into} double"
+    return rows.mapInArrow(_scorer(model, keep, into), ddl)

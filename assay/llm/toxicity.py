@@ -8,7 +8,8 @@ P(grade <= k) = sigmoid(theta_k - w.x), and the answer is the expected grade.
 Fitted on a bounded sample: at most ``per_class`` labelled documents a class, picked by a hash of their id. Defined
 results: null and empty texts have no features and get the severity of the thresholds alone; a text without features is
 not toxic, and without any telling feature in the sample no text is. Labels that contradict
-each other for one id count as toxic.
+each other for one id count as toxic. Without labelled documents of both classes (empty tables among them) no text is
+toxic and every severity is 0. Other columns of the tables are not looked at.
 """
 
 from __future__ import annotations
@@ -105,15 +106,17 @@ def fit_ordinal(x: np.ndarray | tuple, y: np.ndarray, weight: np.ndarray, grades
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS) -> OrdinalModel:
-    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("y"))
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
+    known = known.groupBy("_id").agg(F.max((F.col("_label") > 0).cast("int")).alias("y"))
     chosen = F.broadcast(bounded_sample(known, "_id", per_class, "y"))  # bounded: per_class ids of either class
-    rows = docs.where(F.col(text_col).isNotNull()).join(chosen, F.col(id_col) == F.col("_id")).select("y", F.col(text_col).alias("text")).repartition(16, F.xxhash64("text"))
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).where("text is not null")
+    rows = texts.join(chosen, F.col("_doc") == F.col("_id")).select("y", "text").repartition(16, F.xxhash64("text"))
     # a text counts once, so that its copies cannot make its words telling
     rows = rows.dropDuplicates(["y", "text"])
     both = rows.mapInArrow(_counts, "f long, n0 long, n1 long").groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     n, shown = ({r["y"]: r["count"] for r in f.groupBy("y").count().collect()} for f in (chosen, rows))
-    if not n.get(0) or not n.get(1):
-        raise ValueError("labels of both classes are needed")
+    if not n.get(0) or not n.get(1) or not shown.get(0) or not shown.get(1):
+        return OrdinalModel(np.zeros(0, np.int64), np.zeros(0), np.full(GRADES - 1, np.inf), 0.5)
     d0, d1 = (max(shown.get(c, 0), 1) for c in (0, 1))
     p1, p0, p = F.col("n1") / d1, F.col("n0") / d0, (F.col("n0") + F.col("n1")) / (d0 + d1)
     z = (p1 - p0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * (1 / d1 + 1 / d0))
