@@ -1,7 +1,8 @@
 """A corpus pipeline: quality, near duplicates, secrets, mixing, token ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that the caller writes and rereads as the next stage's
-``docs``. All but the last return the columns of ``documents``; further columns are carried along.
+``docs``. All but the last return the columns of ``documents``; further columns, whatever their names, are carried along.
+Every stage gives an empty table for an empty one; without labels of both classes no document is rejected.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.llm import bpe, mixing, ngram_jaccard, quality, secrets
+from assay.llm.features import free_names
 from assay.llm.queries import vocabulary_path
 from assay.llm.store import Scratch
 from assay.session import ship, table
@@ -24,13 +26,15 @@ SHINGLE_WORDS, SIMILARITY = 5, Fraction(8, 10)
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line model does not reject."""
     model = quality.fit(docs, table(ship(spark), sf_dir, "labels"))
-    scored = quality.score(docs, model, docs.columns)
-    return scored.where(F.col("_score") >= MIN_QUALITY).select(*docs.columns)
+    (into,) = free_names(docs, "_score")
+    scored = quality.score(docs, model, docs.columns, into=into)
+    return scored.where(F.col(into) >= MIN_QUALITY).select(*docs.columns)
 
 
-def with_keys(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``docs`` with a number of its own in ``_key`` for each row, written once so that it stays."""
-    return scratch.keep(docs.withColumn("_key", F.monotonically_increasing_id()), "keyed")
+def with_keys(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
+    """``docs`` with a number of its own for each row, written once so that it stays, and that column's name."""
+    (key,) = free_names(docs, "_key")
+    return scratch.keep(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
 
 
 def text_hash() -> Column:
@@ -43,29 +47,32 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows without an id come last in a group; rows of one id go by the hash of their text. Rows of a text without words
     are groups of their own, of which those of one id and text are one.
     """
-    rows = with_keys(docs, Scratch(spark))
-    groups = ngram_jaccard.jaccard_groups(rows.select("_key", "text"), id_col="_key", width=SHINGLE_WORDS, threshold=SIMILARITY)
+    rows, key = with_keys(docs, Scratch(spark))
+    few = rows.select(F.col(key).alias("_key"), "doc_id", "text")
+    groups = ngram_jaccard.jaccard_groups(few, id_col="_key", width=SHINGLE_WORDS, threshold=SIMILARITY)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", text_hash().alias("h"), "_key")
-    placed = rows.select("_key", place.alias("p")).join(groups, "_key")
+    placed = few.select("_key", place.alias("p")).join(groups, "_key")
     # without shingles rows differ by id and text alone
     bare = F.when(F.col("n_shingles") == 0, F.struct("p.doc_id", "p.h", F.when(F.col("p.doc_id").isNull(), F.col("_key")).alias("k")))
     group = F.struct(F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("c"), bare.alias("b"))
-    first = placed.groupBy(group.alias("g")).agg(F.min("p").alias("p")).select(F.col("p._key").alias("_key"))
-    return rows.join(first, "_key", "left_semi").select(*docs.columns)
+    first = placed.groupBy(group.alias("g")).agg(F.min("p").alias("p")).select(F.col("p._key").alias(key))
+    return rows.join(first, key, "left_semi").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret span replaced; n_chars follows the text."""
-    found = secrets.find_secrets(docs)
-    out = found.withColumn("text", secrets.redact(F.col("text"), F.col("spans")))
+    (spans,) = free_names(docs, "_spans")
+    found = secrets.find_secrets(docs, secrets.Ledger(spark, f"{Scratch(spark).root}/ledger"), into=spans)
+    out = found.withColumn("text", secrets.redact(F.col("text"), F.col(spans)))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows, with or without an id, as often as the mix takes them."""
-    rows = with_keys(docs, Scratch(spark))
-    taken = mixing.mix(rows, key_col="_key").where("passes > 0").select("_key", "passes")
-    return rows.join(taken, "_key").withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("passes").cast("int")))).select(*docs.columns)
+    rows, key = with_keys(docs, Scratch(spark))
+    taken = mixing.mix(rows.select("doc_id", "text", "source", F.col(key).alias("_key")), key_col="_key").where("passes > 0")
+    times = taken.select(F.col("_key").alias(key), F.sequence(F.lit(1), F.col("passes").cast("int")).alias("__passes"))
+    return rows.join(times, key).select(*docs.columns, F.explode("__passes").alias("__pass")).select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
