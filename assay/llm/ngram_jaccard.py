@@ -50,6 +50,8 @@ PAIR_CELL = 8
 BLOCK, LEAF, LEVELS = 1024, 16, 4
 #: Most ids that are broadcast: 8 bytes each, under 100 MB as a hash table.
 BROADCAST_IDS = 3_000_000
+#: Most bytes of leaders' texts that are broadcast.
+BROADCAST_BYTES = 32_000_000
 _U = np.uint64
 
 
@@ -309,19 +311,20 @@ def pools_of(hot: DataFrame) -> DataFrame:
     return hot.select("cell", "id").join(lead, "cell").select("pool", "id").distinct()
 
 
-def prefixes(diffs: DataFrame, t: Fraction) -> tuple[DataFrame, DataFrame]:
-    """(u, v) pairs that link for certain, and (cell, id, side) of the prefixes of ``diffs``.
+def prefixes(diffs: DataFrame, t: Fraction, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(u, v) pairs that link for certain, and (cell, id, mask) of the prefixes of ``diffs``.
 
     With t = p / q, sets x and y link if and only if (p + q) |Dx ^ Dy| <= (q - p)(|x| + |y|). f = (p + q)|D| - (q - p)|x|;
     where f(x) + f(y) <= 0 they link unseen, and then either links with the set of the smallest f. Otherwise the common
     elements of Dx and Dy number (f(x) + f(y)) / 2(p + q) or more, and never fewer than |Dx| - |x|(q - p)/p.
-    Sides: 0 loose, within the prefix for loose partners; 1 loose, beyond it; 2 joined with the smallest.
+    Masks: 1 loose, within the prefix for loose partners; 2 loose, beyond it; 4 joined with the smallest. A set's prefixes
+    in all its pools are one, as they hold much the same elements.
     """
     p, q = t.numerator, t.denominator
     f = (F.lit(p + q) * F.col("nd") - F.lit(q - p) * F.col("n")).cast("long")
     diffs = diffs.withColumn("f", f)
-    low = diffs.groupBy("pool").agg(F.min("f").alias("low"), F.min_by("id", F.struct("f", "id")).alias("least"))
-    rows = diffs.join(low, "pool").withColumn("sure", F.col("f") + F.col("low") <= 0)
+    low = scratch.keep(diffs.groupBy("pool").agg(F.min("f").alias("low"), F.min_by("id", F.struct("f", "id")).alias("least")), "low")
+    rows = diffs.join(bounded_broadcast(low), "pool").withColumn("sure", F.col("f") + F.col("low") <= 0)
     links = rows.where(F.col("sure") & (F.col("id") != F.col("least"))).select(F.col("id").alias("u"), F.col("least").alias("v"))
 
     def whole(x: Column) -> Column:
@@ -331,9 +334,11 @@ def prefixes(diffs: DataFrame, t: Fraction) -> tuple[DataFrame, DataFrame]:
     near = F.least(room, F.col("nd") - whole(F.col("f") - F.col("low")))
     far = F.least(room, F.col("nd") - F.greatest(F.lit(1), -whole(-F.col("f") - F.col("low"))) + 1)
     rows = rows.withColumn("near", F.greatest(near, F.lit(0))).withColumn("upto", F.when(F.col("sure"), F.col("near")).otherwise(F.greatest(far, F.lit(0))))
-    spread = rows.select("pool", "id", "sure", "near", F.posexplode(F.slice("d", F.lit(1), F.col("upto"))).alias("at", "e"))
-    side = F.when(F.col("sure"), 2).when(F.col("at") < F.col("near"), 0).otherwise(1).cast("byte")
-    return links, spread.select(F.xxhash64("pool", "e").alias("cell"), "id", side.alias("side"))
+    mask = lambda i: F.when(F.col("sure"), 4).when(i < F.col("near"), 1).otherwise(2)
+    marks = F.transform(F.slice("d", F.lit(1), F.col("upto")), lambda e, i: F.struct(e.alias("cell"), mask(i).alias("mask")))
+    whole_sets = rows.select("id", marks.alias("marks")).groupBy("id").agg(F.flatten(F.collect_list("marks")).alias("marks"))
+    spread = whole_sets.select("id", F.explode("marks").alias("k")).select("id", "k.cell", "k.mask")
+    return links, spread.groupBy("id", "cell").agg(F.bit_or("mask").alias("mask"))
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, threshold: Fraction = Fraction(9, 10)) -> DataFrame:
@@ -390,22 +395,24 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if large.isEmpty():
             break
         leaders = scratch.keep(large.select(F.col("pool").alias("id")).distinct(), "leaders")
-        lead = of_ids(leaders).groupBy(F.col("id").alias("pool")).agg(F.min("text").alias("lead"))
+        lead = scratch.keep(of_ids(leaders).groupBy(F.col("id").alias("pool")).agg(F.min("text").alias("lead")), "lead")
+        if (lead.agg(F.sum(F.octet_length("lead"))).first()[0] or 0) <= BROADCAST_BYTES:
+            lead = F.broadcast(lead)
         diff, ddl = _differ(width, t)
         texts = base.join(bounded_broadcast(scratch.keep(large.select("pool", "id"), "members")), "id").join(lead, "pool")
         diffs = scratch.keep(texts.select("pool", "id", "text", "lead").mapInArrow(diff, ddl), "diffs")
-        links, spread = prefixes(diffs, t)
+        links, spread = prefixes(diffs, t, scratch)
         sure.append(scratch.keep(links, "sure"))
         w = Window.partitionBy("cell")
-        loose, joined = (F.count_if(c).over(w) for c in (F.col("side") == 0, F.col("side") == 2))
-        spread = spread.withColumn("m", F.count("*").over(w)).withColumn("loose", loose).withColumn("joined", joined).where("m > 1")
-        spread = spread.where("loose > 1 or (joined > 0 and m > joined)").select("cell", "id", "side", "m")
+        some = [F.count_if(F.col("mask").bitwiseAND(k) > 0).over(w).alias(n) for k, n in ((1, "near"), (3, "loose"), (4, "joined"))]
+        spread = spread.select("cell", "id", "mask", F.count("*").over(w).alias("m"), *some)
+        spread = spread.where("m > 1 and (near > 1 or (joined > 0 and loose > 0))").select("cell", "id", "mask", "m")
         spread = scratch.keep(spread, "spread")
-        left, right = (spread.where(F.col("m") <= PAIR_CELL).select("cell", F.col("id").alias(x), F.col("side").alias(f"s{x}")) for x in ("a", "b"))
-        met = (F.col("sa") == 2) & (F.col("sb") < 2) | (F.col("sa") == 0) & (F.col("sb") == 0) | (F.col("sb") == 2) & (F.col("sa") < 2)
+        left, right = (spread.where(F.col("m") <= PAIR_CELL).select("cell", F.col("id").alias(x), F.col("mask").alias(f"m{x}")) for x in ("a", "b"))
+        met = F.expr("(ma & mb & 1) > 0 or ((ma & 4) > 0 and (mb & 3) > 0) or ((mb & 4) > 0 and (ma & 3) > 0)")
         candidates.append(scratch.keep(left.join(right, "cell").where(F.col("a") < F.col("b")).where(met).select("a", "b").distinct(), "pairs"))
         hot = spread.where(F.col("m") > PAIR_CELL).select("cell", "id", "m")
-        scratch.drop("leaders", "members", "diffs")
+        scratch.drop("leaders", "members", "diffs", "lead", "low")
 
     pairs, pool = (reduce(DataFrame.unionByName, x) for x in (candidates, pools))
     wanted = scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(pool.select("id")).distinct(), "wanted")
