@@ -50,3 +50,67 @@ def latest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The last row of each key; the order must end in a unique column."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return rows.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
+
+
+# Marks of runs that the infrastructure spoilt, for the two readings of an attempt.
+INFRA_MARKS = ("ratelimit", "rate_limit", "rate limit", "badgateway", "bad gateway", "timeout", "apierror", "serviceunavailable", "502", "503", "504", "no fallback model group", "overloaded", "connection")
+RETRY_MARKS = ("ratelimit", "rate_limit", "rate limit", "badgateway", "bad gateway", "no fallback model group", "overloaded", "serviceunavailable", "502", "503", "504", "connection", "apitimeout", "read timed out", "already shut down", "sandbox with container", "sandbox has already")
+
+
+def _marked(error: Column, marks: tuple[str, ...]) -> Column:
+    text = F.lower(F.coalesce(error, F.lit("")))
+    out = F.lit(False)
+    for m in marks:
+        out = out | text.contains(m)
+    return out
+
+
+def _timed_out(error: Column, tokens: Column) -> Column:
+    return F.lower(F.coalesce(error, F.lit(""))).contains("agenttimeouterror") & (F.coalesce(tokens, F.lit(0)) > 0)
+
+
+def classify_attempt(error: Column, tokens: Column, score: Column) -> Column:
+    """(genuine, score, reason): a timeout with work done is an unsolved run; spoilt, unscored and empty runs are retried."""
+
+    def answer(genuine: bool, value: Column, reason: str | None) -> Column:
+        return F.struct(F.lit(genuine).alias("genuine"), value.cast("double").alias("score"), F.lit(reason).cast("string").alias("reason"))
+
+    none = F.lit(None)
+    empty = (F.coalesce(tokens, F.lit(0)) == 0) & (F.coalesce(error, F.lit("")) != "")
+    return F.when(_timed_out(error, tokens), answer(True, F.lit(0.0), None)).when(_marked(error, INFRA_MARKS), answer(False, none, "infra")).when(score.isNull(), answer(False, none, "no_score")).when(empty, answer(False, none, "zero_tok_err")).otherwise(answer(True, score, None))
+
+
+def triage_attempt(error: Column, tokens: Column, score: Column) -> Column:
+    """(verdict, score): the second reading, which sets unscored runs aside as broken."""
+
+    def answer(verdict: str, value: Column) -> Column:
+        return F.struct(F.lit(verdict).alias("verdict"), value.cast("double").alias("score"))
+
+    return F.when(_timed_out(error, tokens), answer("genuine", F.lit(0.0))).when(_marked(error, RETRY_MARKS), answer("retry", F.lit(None))).when(score.isNull(), answer("broken", F.lit(None))).otherwise(answer("genuine", score))
+
+
+def is_genuine(error: Column, tokens: Column, score: Column, least: int = 2000) -> Column:
+    """A scored run of ``least`` tokens or more without a failed login or a rate limit."""
+    bad = F.lit(False)
+    for m in ("Authentication", "RateLimit", "Unauthorized"):
+        bad = bad | F.coalesce(error, F.lit("")).contains(m)
+    return score.isNotNull() & (F.coalesce(tokens, F.lit(0)) >= least) & ~bad
+
+
+def need(attempts: DataFrame, inflight: DataFrame, k: int, genuine: Column) -> DataFrame:
+    """(task, genuine, running, need): what is missing to ``k`` after those done and those under way, tasks of either side."""
+    done = attempts.groupBy("task").agg(F.count_if(genuine).alias("genuine"))
+    running = inflight.groupBy("task").agg(F.count("*").alias("running"))
+    both = done.join(running, "task", "full_outer").na.fill(0, ["genuine", "running"])
+    return both.withColumn("need", F.greatest(F.lit(k) - F.col("genuine") - F.col("running"), F.lit(0)))
+
+
+def failing_everywhere(attempts: DataFrame, bar: float = 1.0) -> DataFrame:
+    """(task, check) that no attempt of the task passes; a check that an attempt lacks counts as failing there."""
+    return attempts.groupBy("task", "check").agg(F.count_if(is_pass(F.col("score"), bar)).alias("passes")).where("passes = 0").select("task", "check")
+
+
+def coverage_by_model(attempts: DataFrame, bar: float = 1.0) -> DataFrame:
+    """Tasks, runs and passes of each model, from the partial counts of (task, model)."""
+    part = attempts.groupBy("model", "task").agg(F.count("*").alias("runs"), F.count_if(is_pass(F.col("score"), bar)).alias("passes"))
+    return part.groupBy("model").agg(F.count("*").alias("tasks"), F.sum("runs").alias("runs"), F.sum("passes").alias("passes"))

@@ -27,10 +27,10 @@ class TextRule:
 
 TEXT_RULES = (
     TextRule("dataset", "FAIL", "secret-in-text", r"(password|token|secret)\s*=\s*"),
-    TextRule("dataset", "WARN", "email-address", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z]{2,}"),
+    TextRule("dataset", "WARN", "email-address", r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}\.[A-Za-z]{2,}"),
     TextRule("metadata", "WARN", "license-line", r"(Licensed under|All rights reserved|Copyright)"),
     TextRule("instructions", "FAIL", "shouting", r"[A-Z]{2,}!! [A-Z]{2,}!!"),
-    TextRule("structure", "WARN", "pipe-separated", r"[^ ]+ \| [^ ]+ \| [^ ]+ \| "),
+    TextRule("structure", "WARN", "pipe-separated", r"[^ ]{1,200} \| [^ ]{1,200} \| [^ ]{1,200} \| "),
     TextRule("tests", "FAIL", "symbol-noise", r"(\*\*\*|%%%|&&&|\$\$\$|###)"),
 )
 
@@ -55,8 +55,9 @@ def text_findings(docs: DataFrame, rules: tuple[TextRule, ...] = TEXT_RULES, tas
     """One finding for each rule that a text meets, and a PASS sentinel where none does: one pass over the texts."""
     hits = F.array(*[F.when(F.col(text).rlike(r.pattern), F.struct(F.lit(r.area).alias("area"), F.lit(r.severity).alias("severity"), F.lit(r.title).alias("title"))) for r in rules])
     clean = F.array(F.struct(F.lit("structure").alias("area"), F.lit("PASS").alias("severity"), F.lit("clean").alias("title")))
-    found = F.array_compact(hits)
-    rows = docs.select(F.col(task).alias("task"), F.explode(F.when(F.size(found) > 0, found).otherwise(clean)).alias("f"))
+    # the patterns run once, in a projection of their own
+    found = docs.select(F.col(task).alias("task"), F.array_compact(hits).alias("found"))
+    rows = found.select("task", F.explode(F.when(F.size("found") > 0, F.col("found")).otherwise(clean)).alias("f"))
     return rows.select("task", "f.area", "f.severity", "f.title", layer_of(F.col("f.area")).alias("layer"))
 
 

@@ -8,24 +8,13 @@ from pyspark.sql import functions as F
 from assay.operators import attempts as A
 from assay.operators import findings as N
 from assay.operators import similarity as S
+from assay.plans.registry import ORACLES, QUERIES, query  # noqa: F401
 from assay.session import ship, table
 
-QUERIES: dict = {}
-ORACLES: dict = {}
 MODELS = ("click", "login", "purchase", "signup", "view")
 BAR = 50.0
 
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
 # --- findings -----------------------------------------------------------------------------------------------------
 def _findings(spark: SparkSession, d: str) -> DataFrame:
     return N.text_findings(table(spark, d, "documents"))
@@ -170,9 +159,9 @@ def tokens_per_doc(spark, d):
 
 @query(f"WITH {_tfidf_sql()} SELECT item_id, term, round(w, 6) AS w FROM bv")
 def tfidf_terms(spark, d):
-    a, b = S.term_counts(table(spark, d, "documents"), "doc_id"), S.term_counts(table(spark, d, "benchmark"), "item_id")
-    n = table(spark, d, "documents").count() + table(spark, d, "benchmark").count()
-    return b.join(S.idf([a, b], n), "term").select("item_id", "term", F.round(F.col("n") / F.col("total") * F.col("idf"), 6).alias("w"))
+    docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
+    a, b = S.term_counts(docs, "doc_id"), S.term_counts(items, "item_id")
+    return S.weighted(b, S.idf([a, b], S.n_rows(docs, items)), "item_id").select("item_id", "term", F.round("w", 6).alias("w"))
 
 
 @query(f"WITH {_tfidf_sql()} SELECT doc_id, item_id, round(score, 6) AS score FROM best")
@@ -186,22 +175,24 @@ def contamination_verdict(spark, d):
 
 
 def _near_sql(t: float) -> str:
-    return f"""WITH one AS (SELECT min(doc_id) AS doc_id, any_value(text) AS text FROM documents GROUP BY md5(coalesce(text, ''))), toks AS ({_toks_sql('one', 'doc_id')}),
-c AS (SELECT doc_id, term, count(*) AS n, any_value(total) AS total FROM (SELECT doc_id, len(t) AS total, unnest(t) AS term FROM toks) GROUP BY ALL),
-w AS (SELECT term, ln((1 + (SELECT count(*) FROM one)) / (1 + count(*))) + 1 AS idf FROM c GROUP BY term),
+    return f"""WITH m AS (SELECT doc_id, text, md5(coalesce(text, '')) AS h FROM documents),
+one AS (SELECT h, min(doc_id) AS doc_id, count(*) AS copies, any_value(text) AS text FROM m GROUP BY h), toks AS ({_toks_sql('one', 'doc_id, copies')}),
+c AS (SELECT doc_id, copies, term, count(*) AS n, any_value(total) AS total FROM (SELECT doc_id, copies, len(t) AS total, unnest(t) AS term FROM toks) GROUP BY ALL),
+w AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + sum(copies))) + 1 AS idf FROM c GROUP BY term),
 v AS (SELECT doc_id, term, n / total * idf AS w FROM c JOIN w USING (term)), n AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM v GROUP BY doc_id),
 u AS (SELECT doc_id, term, w / norm AS w FROM v JOIN n USING (doc_id))
-SELECT x.doc_id AS a, y.doc_id AS b FROM u x JOIN u y ON x.term = y.term AND x.doc_id < y.doc_id GROUP BY ALL HAVING sum(x.w * y.w) >= {t}"""
+SELECT x.doc_id AS a, y.doc_id AS b, 'near' AS kind FROM u x JOIN u y ON x.term = y.term AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id HAVING sum(x.w * y.w) >= {t}
+UNION ALL SELECT one.doc_id, m.doc_id, 'copy' FROM m JOIN one USING (h) WHERE one.doc_id <> m.doc_id"""
 
 
 @query(_near_sql(0.6))
 def near_dup_pairs(spark, d):
-    return S.near_duplicates(table(spark, d, "documents"), 0.6).select("a", "b")
+    return S.near_duplicates(table(spark, d, "documents"), 0.6)
 
 
 @query(_near_sql(0.9))
 def near_dup_strict(spark, d):
-    return S.near_duplicates(table(spark, d, "documents"), 0.9).select("a", "b")
+    return S.near_duplicates(table(spark, d, "documents"), 0.9)
 
 
 @query(f"WITH s AS (SELECT item_id, list_distinct(t) AS s FROM ({_toks_sql('benchmark', 'item_id')}) WHERE len(list_distinct(t)) >= 2), p AS (SELECT x.item_id AS a, y.item_id AS b, len(list_intersect(x.s, y.s)) AS n, len(x.s) + len(y.s) AS m FROM s x JOIN s y ON x.item_id < y.item_id) SELECT a, b, n / (m - n) AS jaccard FROM p WHERE n / (m - n) >= 0.1")
@@ -209,22 +200,23 @@ def jaccard_pairs(spark, d):
     return S.jaccard_pairs(table(spark, d, "benchmark"), "item_id", 0.1)
 
 
-@query("SELECT x.vec_id AS a, y.vec_id AS b FROM embeddings x JOIN embeddings y ON x.vec_id < y.vec_id WHERE list_cosine_similarity(x.embedding::DOUBLE[], y.embedding::DOUBLE[]) >= 0.9")
+@query("SELECT x.vec_id AS a, y.vec_id AS b FROM embeddings x JOIN embeddings y ON x.vec_id < y.vec_id WHERE list_cosine_similarity(x.embedding::DOUBLE[], y.embedding::DOUBLE[]) >= 0.4")
 def dense_near_dup(spark, d):
-    return S.dense_near_duplicates(table(ship(spark), d, "embeddings"), 0.9)
+    return S.dense_near_duplicates(table(ship(spark), d, "embeddings"), 0.4)
 
 
 @query("WITH w AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(substring(text, 1, 400)), '[a-z][a-z0-9-]{3,}'))) AS word FROM documents) SELECT word, count(*) AS docs FROM w GROUP BY word HAVING count(*) > 0.05 * (SELECT count(*) FROM documents)")
 def scenario_words_over(spark, d):
     docs = table(spark, d, "documents")
-    words = docs.select(F.explode(S.scenario_words(F.col("text"))).alias("word"))
-    return words.groupBy("word").agg(F.count("*").alias("docs")).where(F.col("docs") > 0.05 * docs.count())
+    words = docs.select(F.explode(S.scenario_words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("docs"))
+    return words.join(F.broadcast(S.n_rows(docs))).where(F.col("docs") > 0.05 * F.col("n")).select("word", "docs")
 
 
 # --- distributions ------------------------------------------------------------------------------------------------
 def _share(spark, d, col: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    return docs.groupBy(col).agg(F.count("*").alias("n")).withColumn("share", F.col("n") / F.lit(docs.count())).withColumn("over_cap", F.col("share") > 0.2)
+    n = docs.groupBy(col).agg(F.count("*").alias("n")).join(F.broadcast(S.n_rows(docs).withColumnRenamed("n", "total")))
+    return n.select(col, "n", (F.col("n") / F.col("total")).alias("share"), (F.col("n") / F.col("total") > 0.2).alias("over_cap"))
 
 
 @query("SELECT lang, count(*) AS n, count(*) / (SELECT count(*) FROM documents) AS share, count(*) / (SELECT count(*) FROM documents) > 0.2 AS over_cap FROM documents GROUP BY lang")
@@ -355,9 +347,9 @@ def star_join(spark, d):
     return j.groupBy("n_name", "r_name").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-@query("SELECT c_mktsegment, count(*) AS idle FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) GROUP BY c_mktsegment")
+@query("SELECT c_mktsegment, count(*) AS idle FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000) GROUP BY c_mktsegment")
 def star_anti(spark, d):
-    return table(spark, d, "customer").join(table(spark, d, "orders"), F.expr("o_custkey = c_custkey"), "left_anti").groupBy("c_mktsegment").agg(F.count("*").alias("idle"))
+    return table(spark, d, "customer").join(table(spark, d, "orders").where("o_totalprice > 400000"), F.expr("o_custkey = c_custkey"), "left_anti").groupBy("c_mktsegment").agg(F.count("*").alias("idle"))
 
 
 @query("SELECT count(*) AS n FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 49)")
@@ -386,3 +378,7 @@ def star_setops(spark, d):
         return table(spark, d, "orders").where(F.col("o_orderstatus") == s).select(F.col("o_custkey").alias("k"))
 
     return by("F").intersect(by("O")).subtract(by("P"))
+
+
+# the other modules register theirs
+from assay.plans import packages, runs, triage  # noqa: E402, F401

@@ -26,5 +26,15 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def with_checkpoints(spark: SparkSession) -> None:
+    """Set the folder of ``spark.checkpoint.dir`` for checkpoints; in local mode a fresh one where none is set."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="assay-"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

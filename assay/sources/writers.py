@@ -16,7 +16,8 @@ def write_findings(df: DataFrame, path: str) -> None:
 
 
 def append_new(df: DataFrame, path: str, keys: list[str]) -> int:
-    """Append the rows whose key the Parquet table lacks; the number appended."""
+    """Append the rows whose key the Parquet table lacks; the number appended. One writer at a time: the check and the
+    append are two steps."""
     spark = df.sparkSession
     fs = spark._jvm.org.apache.hadoop.fs.Path(path)
     there = fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs)
@@ -35,3 +36,17 @@ def merge_fields(old: DataFrame, new: DataFrame, key: str, fields: str = "fields
     merged = F.map_concat(kept, "_new")
     changed = F.exists(F.map_entries("_new"), lambda e: ~F.element_at(F.col(fields), e["key"]).eqNullSafe(e["value"]))
     return j.where(changed).select(key, merged.alias(fields))
+
+
+def write_defects(df: DataFrame, path: str) -> None:
+    """A CSV of defect rows by priority (without one last), failures first, then task and area."""
+    rows = df.withColumn("_p", F.when(F.col("priority") == "", "P9").otherwise(F.col("priority"))).withColumn("_w", F.col("severity") != "FAIL")
+    rows.orderBy("_p", "_w", "task", "area").drop("_p", "_w").write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_gate(gated: DataFrame, path: str) -> None:
+    """``quarantine`` (tab-separated task, layers, titles under a comment) and ``promoted`` (one task a line) below a folder."""
+    lines = gated.where("not promoted").select(F.lit(1).alias("k"), F.concat_ws("\t", "task", "layers", "titles").alias("value"))
+    head = gated.sparkSession.range(1).select(F.lit(0).alias("k"), F.lit("# task\tlayers\ttitles").alias("value"))
+    head.unionByName(lines).orderBy("k", "value").select("value").write.mode("overwrite").text(f"{path}/quarantine")
+    gated.where("promoted").select(F.col("task").cast("string").alias("value")).orderBy("value").write.mode("overwrite").text(f"{path}/promoted")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,3 +20,25 @@ def running_deficit(stream: DataFrame, target: int) -> DataFrame:
 
 def windowed(stream: DataFrame, at: str, width: str, late: str = "1 hour") -> DataFrame:
     return stream.withWatermark(at, late).groupBy(F.window(at, width).alias("w"), "event_type").agg(F.count("*").alias("n")).select("w.start", "event_type", "n")
+
+
+def top_up(stream: DataFrame, target: int, cap: int) -> DataFrame:
+    """(task, genuine, attempts, need, exhausted) after each batch of (id, task, genuine): what is missing to ``target``,
+    and 0 once ``target * cap`` attempts were made. An attempt counts once; ids are kept until the task is complete."""
+    out = "task string, genuine long, attempts long, need long, exhausted boolean"
+
+    def step(key, frames, state):
+        genuine, attempts, seen = state.get if state.exists else (0, 0, [])
+        known = set(seen)
+        for frame in frames:
+            for i, good in zip(frame["id"], frame["genuine"], strict=True):
+                if i not in known:
+                    known.add(i)
+                    attempts += 1
+                    genuine += int(bool(good))
+        spent = attempts >= target * cap
+        need = 0 if spent else max(target - genuine, 0)
+        state.update((genuine, attempts, [] if need == 0 else sorted(known)))
+        yield pd.DataFrame({"task": [key[0]], "genuine": [genuine], "attempts": [attempts], "need": [need], "exhausted": [spent and genuine < target]})
+
+    return stream.groupBy("task").applyInPandasWithState(step, out, "genuine long, attempts long, seen array<string>", "update", "NoTimeout")

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from assay.functions import text as T
@@ -70,3 +71,67 @@ def test_text_functions(spark):
     d = "--- a/x\n+++ b/x.py\n+new\n-old\n"
     r = spark.createDataFrame([(d, "ab ```c\nd``` e")], "d string, t string").select(T.added_lines(F.col("d")), T.changed_paths(F.col("d")), T.visible_length(F.col("t"))).first()
     assert r[0] == ["new"] and r[1] == ["x.py"] and r[2] == 4
+
+
+def test_nested_roots_and_flat_files(spark, tmp_path):
+    for folder in ("in/one", "in/one/inner", "in/deep/two", "in/.git/x"):
+        (tmp_path / folder).mkdir(parents=True)
+        (tmp_path / folder / "task.toml").write_text("a = 1")
+    got = {(r["task"], r["rel_path"]) for r in readers.task_files(spark, str(tmp_path / "in")).collect()}
+    assert got == {("one", "task.toml"), ("one", "inner/task.toml"), ("two", "task.toml")}
+    flat = readers.flat_files(spark, str(tmp_path / "in"), "task.toml").collect()
+    assert {(r["folder"], r["file"]) for r in flat} == {("one", "task.toml")}
+
+
+def test_tabs_scores_exports_and_yaml(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("t1\tOK\t3\n\nt2\tBAD\tx\nt3\n")
+    rows = [tuple(r) for r in readers.tab_lines(spark, f"{tmp_path}/a.tsv", ["task", "verdict", "n"], ("n",)).collect()]
+    assert rows == [("t1", "OK", 3), ("t2", "BAD", 0), ("t3", None, 0)]
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s" / "run_score_0.5.json").write_text("{}\n{}")
+    (tmp_path / "s" / "odd.json").write_text("{}")
+    assert {(r["file"], r["score"]) for r in readers.scored_files(spark, f"{tmp_path}/s").collect()} == {("run_score_0.5.json", 0.5), ("odd.json", None)}
+    (tmp_path / "e.json").write_text(json.dumps({"batches": [{"name": "b", "tasks": [{"task": "t", "attempts": [{"id": "1", "model": "m", "score": 1.0}, {"id": "2"}]}, {"task": "u", "attempts": []}]}]}, indent=1))
+    assert {(r["task"], r["attempt"], r["score"]) for r in readers.exported_attempts(spark, f"{tmp_path}/e.json").collect()} == {("t", "1", 1.0), ("t", "2", None)}
+    assert readers.yaml_pairs("a: 1 # n\nb: 'x # y'\ntags:\n  - p\n  - q\ntext: |\n  one\n\n  two\n???\n") == {"a": "1", "b": "x # y", "tags": "p\nq", "text": "one\n\ntwo"}
+    assert readers.yaml_pairs(None) == {} and readers.toml_pairs("= \n[[\nx") == {"": ""}
+
+
+def test_gate_files_and_defects(spark, tmp_path):
+    gated = spark.createDataFrame([("b", False, "static", "x"), ("a", False, "static", "y"), ("c", True, "", "")], "task string, promoted boolean, layers string, titles string")
+    writers.write_gate(gated, f"{tmp_path}/g")
+    lines = [r[0] for r in spark.read.text(f"{tmp_path}/g/quarantine").collect()]
+    assert sorted(lines) == ["# task\tlayers\ttitles", "a\tstatic\ty", "b\tstatic\tx"]
+    assert [r[0] for r in spark.read.text(f"{tmp_path}/g/promoted").collect()] == ["c"]
+    rows = [("t", "P2", "WARN", "tests", "d"), ("t", "", "WARN", "tests", "d"), ("t", "P0", "FAIL", "tests", "d")]
+    writers.write_defects(spark.createDataFrame(rows, "task string, priority string, severity string, area string, detail string").coalesce(1), f"{tmp_path}/d")
+    assert {r["priority"] for r in spark.read.option("header", True).csv(f"{tmp_path}/d").collect()} == {"P0", "P2", None}
+    writers.write_report(gated, f"{tmp_path}/r", "task")
+    assert spark.read.option("header", True).csv(f"{tmp_path}/r").count() == 3
+    writers.write_findings(gated, f"{tmp_path}/f")
+    assert spark.read.json(f"{tmp_path}/f").count() == 3
+
+
+def test_strict_and_lenient_attempts(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"trajectory_id": "1", "score": 1.0}\n\nnot json\n')
+    assert [r["trajectory_id"] for r in readers.attempts(spark, f"{tmp_path}/a.json", strict=False).collect()] == ["1"]
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        readers.attempts(spark, f"{tmp_path}/a.json").collect()
+
+
+def test_top_up_counts_ids_once_and_stops(spark, tmp_path):
+    rows = [("1", "t", True), ("1", "t", True), ("2", "t", False), ("3", "u", False), ("4", "u", False), ("5", "u", False), ("6", "u", False)]
+    spark.createDataFrame(rows, "id string, task string, genuine boolean").coalesce(1).write.parquet(f"{tmp_path}/in")
+    src = spark.readStream.schema("id string, task string, genuine boolean").parquet(f"{tmp_path}/in")
+    q = stream.top_up(src, 2, 2).writeStream.format("memory").queryName("topped").outputMode("update").trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/cp").start()
+    q.awaitTermination()
+    got = {r["task"]: (r["genuine"], r["attempts"], r["need"], r["exhausted"]) for r in spark.sql("select * from topped").collect()}
+    assert got == {"t": (1, 2, 1, False), "u": (0, 4, 0, True)}
+
+
+def test_more_text_functions(spark):
+    rows = [(bytearray(b"plain text\n"), "a.txt"), (bytearray(b"a\0b"), "a.txt"), (bytearray(b"\x01\x02abc"), "a"), (bytearray(b""), "a"), (bytearray(b"x"), "a.PNG"), (None, "a")]
+    got = spark.createDataFrame(rows, "c binary, p string").select(T.is_binary(F.col("c"), F.col("p"))).collect()
+    assert [r[0] for r in got] == [False, True, True, False, True, False]
+    r = spark.range(1).select(T.percent(F.lit(0.256)), T.model_family(F.lit("Vendor/Model-X ")), T.basename(F.lit("a/b.txt")), T.flat(F.lit(" a \n b ")), T.embedded_array(F.lit('say [{"a": 1}] ok'), "array<struct<a:int>>")).first()
+    assert tuple(r)[:4] == ("25.6%", "model-x", "b.txt", "a b") and r[4][0]["a"] == 1
