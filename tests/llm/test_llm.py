@@ -502,3 +502,102 @@ def test_pipeline_decides_by_row(spark):
     by_row = mixing.mix(many.withColumn("n", F.monotonically_increasing_id()), key_col="n").collect()
     assert len({r["n"] for r in by_row}) == 300 and sum(mixed.values()) == sum(r["passes"] for r in by_row)
     assert 890 <= 3 * sum(mixed.values()) <= 900 and max(mixed.values()) <= mixing.MAX_PASSES
+
+
+@pytest.fixture(scope="module")
+def empty_dir(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("empty")
+    for name in ("documents", "labels", "conversations", "embeddings"):
+        spark.read.parquet(f"{DATA}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_empty_tables(spark, empty_dir, name):
+    rows = queries.QUERIES[name](spark, empty_dir).collect()
+    # the chat query brings one conversation of its own
+    assert [r["conv_id"] for r in rows] == [-1] if name == "op6_chat" else not rows
+
+
+CLASHING = ("y", "_id", "_doc", "_label", "_lang", "_score", "_text", "_letters", "spans", "_spans", "blob", "h", "id", "t", "_key", "passes", "size", "cell", "rep", "u", "v")
+
+
+def test_clashing_columns_change_nothing(spark, empty_dir):
+    import corpus_pipeline as cp
+
+    plain = spark.read.parquet(f"{DATA}/documents.parquet").where("doc_id < 120")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+
+    def with_more(df, but=()):
+        return df.select("*", *[F.lit(f"own {c}").alias(c) for c in CLASHING if c not in but])
+
+    def same(run, *tables):
+        got = [sorted(map(str, run(*t).collect())) for t in (tables, [with_more(t) for t in tables])]
+        assert got[0] == got[1] and got[0]
+
+    same(lambda d: lang_id.predict(d, lang_id.fit(d, F.col("doc_id") >= 0), ["doc_id"]), plain)
+    same(lambda d: bpe.encode_documents(d, queries.vocabulary_path(), digests=True), plain)
+    same(lambda d: secrets.find_secrets(d, new_ledger(spark)).select("doc_id", secrets.span_text(F.col("spans"))), plain)
+    same(lambda d: mixing.mix(d), plain)
+    same(lambda d, x: toxicity.score(d, toxicity.fit(d, x)), plain, labels)
+    same(lambda d, x: quality.score(d, quality.fit(d, x), ["doc_id"]), plain, labels)
+    same(chat.format_chats, spark.read.parquet(f"{DATA}/conversations.parquet"))
+    more = with_more(plain)
+    for stage in (cp.keep_good, cp.redact_secrets, cp.mix_sources):
+        a, b = stage(spark, plain, DATA), stage(spark, more, DATA)
+        assert b.columns == more.columns and sorted(map(str, a.collect())) == sorted(map(str, b.select(*plain.columns).collect()))
+        assert b.where(" or ".join(f"`{c}` <> 'own {c}'" for c in CLASHING)).isEmpty()
+
+
+def test_first_bad_turn(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "user", "a"), (2, 1, "user", "b"), (2, 2, "tool", "c"), (3, 0, "assistant", "x"), (4, None, "system", "s"), (4, 1, "user", None)]
+    got = {r["conv_id"]: r["first_bad_turn"] for r in chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got == {1: None, 2: 2, 3: 1, 4: None}
+
+
+def test_toxicity_on_labels_not_fitted_on(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    held = crc_part(F.col("doc_id"), 4) == 1
+    model = toxicity.fit(docs, labels.where(~held))
+    rows = toxicity.score(docs, model).join(labels.where(held).withColumnRenamed("toxic", "y"), "doc_id").collect()
+    caught = np.mean([r["toxic"] for r in rows if r["y"] == 1])
+    wrong = np.mean([r["toxic"] for r in rows if r["y"] == 0])
+    print("held-out toxic caught", caught, "clean flagged", wrong, len(rows))
+    assert caught > 0.9 and wrong < 0.03
+
+
+def test_language_votes_equal_brute_force(spark):
+    """Family by the largest margin, then one vote a pair of languages, from dense features and plain loops."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where("text is not null")
+    model = lang_id.fit(docs, crc_part(F.col("doc_id"), 4) != 2)
+    rows = docs.select("doc_id", "text").limit(60).collect()
+    got = {r["doc_id"]: r["lang_pred"] for r in lang_id.predict(docs, model, ["doc_id"]).collect()}
+    for r in rows:
+        m = lang_id.shares(pa.array([r["text"]]))[0] @ model.w + model.b
+        family = model.families[int(np.argmax(m[: len(model.families)]))]
+        members = [v for v in model.langs if lang_id.family_of(v) == family]
+        votes = collections.Counter()
+        for (a, b), x in zip(model.pairs, m[len(model.families) :], strict=True):
+            if a in members:
+                votes[a if x >= 0 else b] += 1
+        best = max(votes.values(), default=0)
+        assert got[r["doc_id"]] in ([v for v in members if votes[v] == best] if re.search(r"[^\W\d_]", r["text"]) else ["und"])
+
+
+def test_neighbours_on_clustered_vectors(spark):
+    """On vectors in clusters the index finds the nearest and looks at a part of the rows."""
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(60, 32))
+    rows = [(i, (centres[i % 60] + 0.15 * rng.normal(size=32)).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in ann.nearest(df, F.col("vec_id") % 50 == 0).collect():
+        got[r["query_id"]].append(r["vec_id"])
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hit = 0
+    for q in range(0, 3000, 50):
+        s = x @ x[q]
+        s[q] = -2
+        hit += len(set(got[q]) & set(np.argsort(-s)[:5].tolist()))
+    assert hit / (5 * 60) >= 0.9
