@@ -332,7 +332,7 @@ def test_image_copies(spark):
 def brute_links(pics):
     """Number of links of each picture by all pairs of descriptors that share a word."""
     img, scale, y, x, turn, words = (np.concatenate(c) for c in zip(*[(lambda d, k: (np.full(len(d[0]), k), *d[1:]))(images.describe_stack(a[None]), k) for k, a in enumerate(pics)], strict=True))
-    votes = collections.defaultdict(set)
+    votes = collections.defaultdict(list)
     for a in range(len(img)):
         near = np.bitwise_count((words[a] ^ words).astype(np.uint32)).sum(axis=1) <= images.MAX_BITS
         for b in np.flatnonzero((img > img[a]) & (words[a] == words).any(axis=1) & near):
@@ -342,8 +342,8 @@ def brute_links(pics):
             dy = y[a] - zoom * (np.sin(angle) * x[b] + np.cos(angle) * y[b])
             for t, i, j in itertools.product((0, 1), repeat=3):
                 bins = ((r + 2 * t) % images.TURNS // 4, math.floor(dx / 16 + i / 2), math.floor(dy / 16 + j / 2))
-                votes[img[a], img[b], zoom, t, i, j, *bins].add((x[a], y[a], scale[a]))
-    links = {k[:2] for k, v in votes.items() if len(v) >= images.CONSENSUS}
+                votes[img[a], img[b], zoom, t, i, j, *bins].append(((x[a], y[a], scale[a]), (x[b], y[b], scale[b])))
+    links = {k[:2] for k, v in votes.items() if min(len({p[s] for p in v}) for s in (0, 1)) >= max(images.CONSENSUS, min((img == k[0]).sum(), (img == k[1]).sum()) / images.SHARE)}
     return collections.Counter(i for pair in links for i in pair)
 
 
@@ -376,24 +376,25 @@ def test_image_recall_on_edited_copies(spark):
     """Turned, zoomed, cropped and edited copies are found, and scenes stay apart."""
     scenes, rng = 40, np.random.default_rng(6)
     edits = {
-        **{f"turn{d}": (lambda a, d=d: resampled(a, turn=d)) for d in (15, 30, 45, 90)},
-        "zoom2": lambda a: resampled(a, zoom=2),
-        "zoom1.25": lambda a: resampled(a, zoom=1.25),
-        "crop": lambda a: a[8:-8, 8:-8],
-        "corner": lambda a: a[:48, 16:],
-        "bright": lambda a: 0.8 * a + 20 + rng.normal(0, 1, a.shape),
+        # the picture is the middle of a larger scene, so that a turned one has no made-up border
+        **{f"turn{d}": (lambda a, d=d: resampled(a, turn=d)[16:-16, 16:-16]) for d in (15, 30, 45, 90)},
+        "zoom2": lambda a: resampled(a[16:-16, 16:-16], zoom=2),
+        "zoom1.25": lambda a: resampled(a[16:-16, 16:-16], zoom=1.25),
+        "crop": lambda a: a[24:-24, 24:-24],
+        "corner": lambda a: a[16:-32, 32:-16],
+        "bright": lambda a: 0.8 * a[16:-16, 16:-16] + 20 + rng.normal(0, 1, (64, 64)),
     }
     rows, kind = [], {}
     for k in range(scenes):
-        a = np.rint(images.scene(5000 + k))
-        for j, (name, f) in enumerate([("own", lambda a: a), *edits.items()]):
+        a = np.rint(images.scene(5000 + k, 96))
+        for j, (name, f) in enumerate([("own", lambda a: a[16:-16, 16:-16]), *edits.items()]):
             kind[100 * k + j] = (k, name)
             rows.append((100 * k + j, bytearray(images.write_pgm(np.clip(np.rint(f(a)), 0, 255)))))
     got = {r["image_id"]: r["group_id"] for r in images.copy_groups(spark.createDataFrame(rows, "image_id long, image binary")).collect()}
-    for name in edits:
-        assert np.mean([got[i] == 100 * k for i, (k, n) in kind.items() if n == name]) >= 0.9, name
-    wrong = sum(g // 100 != kind[i][0] for i, g in got.items())
-    assert wrong <= 0.02 * len(got)
+    found = {name: np.mean([got[i] == got[100 * k] for i, (k, n) in kind.items() if n == name]) for name in edits}
+    merged = scenes - len({got[100 * k] for k in range(scenes)})
+    print(found, "scenes merged", merged)
+    assert min(found.values()) >= 0.9 and merged <= 1
 
 
 def test_image_corners_follow_the_area():
