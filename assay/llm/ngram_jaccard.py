@@ -14,8 +14,8 @@ Equal sets are one class, whatever their number. In a cell of up to ``PAIR_CELL`
 of two linked sets agree, a pair goes on only if it shares as many cells as its sizes ask for. The classes of larger cells
 form pools, one for each leader, the class of a cell that stands in most large cells:
 
-* a pool of up to ``BLOCK`` classes meets in one task, packed in leaves. First it gives out a forest of its most similar
-  pairs, then only those pairs that the links found so far leave in different components.
+* a pool of up to ``BLOCK`` classes meets in one task, packed in leaves. If many pairs are near, it gives out a forest of
+  the most similar first, and once those are verified the pairs that still lie in different components.
 * in a larger pool each set is replaced by its difference D to the leader's. Two sets differ in as many shingles as their
   differences do. A set joins the one with the smallest difference unseen where both differences together are small
   enough; every other linked pair shares so many elements of D that it shares one within a prefix of each, elements that
@@ -48,6 +48,8 @@ DIMS = 256
 PAIR_CELL = 8
 #: Classes that meet in one task, points in a leaf, and levels of pools.
 BLOCK, LEAF, LEVELS = 1024, 16, 4
+#: Near pairs for each class of a pool above which the pool gives out a forest first.
+MANY = 4
 #: Most ids that are broadcast: 8 bytes each, under 100 MB as a hash table.
 BROADCAST_IDS = 3_000_000
 #: Most bytes of leaders' texts that are broadcast.
@@ -253,25 +255,28 @@ def forest(a: np.ndarray, b: np.ndarray, rank: np.ndarray, part: np.ndarray) ->
     return np.concatenate(kept) if kept else np.zeros(0, np.int64)
 
 
-def _block_joiner(t: Fraction, only_forest: bool):
-    """Pairs of different components of a pool's two blocks (or one) that the bound lets through: all, or a forest."""
+def _block_joiner(t: Fraction, forest_first: bool):
+    """Pairs of different components of a pool's two blocks (or one) that the bound lets through, and whether some were
+    kept back: with ``forest_first`` a forest stands for more than ``MANY`` pairs a class."""
 
     def join(key, rows):
         import pandas as pd
 
-        i, j = key[1], key[2]
+        i, j = key[2], key[3]
         p, ids, part, own = points(rows["point"]), rows["id"].to_numpy(), rows["component"].to_numpy(), rows["own"].to_numpy()
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         a, b, most = leaf_join(p[left], p[right], t)
         a, b = left[a], right[b]
         apart = (part[a] != part[b]) & ((a < b) if i == j else True)
         a, b, most = a[apart], b[apart], most[apart]
-        if only_forest and len(a):
+        back = forest_first and len(a) > MANY * len(rows)
+        if back:
             n = p.sum(axis=1, dtype=np.int64)
             kept = forest(a, b, most / (n[a] + n[b]), part)
             a, b = a[kept], b[kept]
         a, b = ids[a], ids[b]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+        out = pd.DataFrame({"level": np.full(len(a), key[0], np.int32), "pool": np.full(len(a), key[1], np.int64), "a": np.minimum(a, b), "b": np.maximum(a, b), "back": np.full(len(a), back)})
+        return out.drop_duplicates()
 
     return join
 
@@ -422,19 +427,23 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch.drop("links", "pairs", "sure", "shared", "spread")
 
     # what is left to meet are pools that hold several components
-    for only_forest in (True, False):
+    for forest_first in (True, False):
         parts = pool.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
         several = parts.groupBy("level", "pool").agg(F.min("component").alias("lowest"), F.max("component").alias("highest")).where("lowest <> highest")
         parts = scratch.keep(parts.join(several.select("level", "pool"), ["level", "pool"], "left_semi"), "parts")
         blocks = F.ceil(F.col("size") / BLOCK).cast("int")
         dealt = parts.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        key = F.xxhash64("level", "pool").alias("pool")
-        dealt = dealt.select(key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component").join(point, "id")
-        links = verified(dealt.groupBy("pool", "i", "j").applyInPandas(_block_joiner(t, only_forest), "a long, b long"))
+        at = ("level", "pool", "i", "j")
+        dealt = dealt.select("level", "pool", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component").join(point, "id")
+        near = scratch.keep(dealt.groupBy(*at).applyInPandas(_block_joiner(t, forest_first), "level int, pool long, a long, b long, back boolean"), "met")
+        links = verified(near.select("a", "b"))
         known = found.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
-        found = components(known.unionByName(links), scratch, "second" if only_forest else "third")
+        found = components(known.unionByName(links), scratch, "second" if forest_first else "third")
+        pool = pool.join(scratch.keep(near.where("back").select("level", "pool").distinct(), "back"), ["level", "pool"], "left_semi")
         scratch.drop("links", "parts")
-    scratch.drop("pools", "points", "wanted")
+        if pool.isEmpty():
+            break
+    scratch.drop("pools", "points", "wanted", "met", "back")
 
     label = classes.select("d1", "d2", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
     label = scratch.keep(label, "labels")

@@ -66,7 +66,7 @@ def edited(rng, words, n, by=("swap", "drop", "add")):
 @pytest.mark.parametrize(("k", "t", "block", "levels"), [(3, Fraction(9, 10), 5, 4), (5, Fraction(8, 10), 16, 1)])
 def test_jaccard_groups_equal_brute_force(spark, k, t, block, levels, monkeypatch):
     """Near copies of one text, deletions alone among them, a family within them, and texts that share a passage."""
-    for name, value in (("PAIR_CELL", 2), ("BLOCK", block), ("LEVELS", levels)):
+    for name, value in (("PAIR_CELL", 2), ("BLOCK", block), ("LEVELS", levels), ("MANY", 1)):
         monkeypatch.setattr(ngram_jaccard, name, value)
     rng = random.Random(f"{k}{t}{block}")
     base = [f"w{rng.randrange(500)}" for _ in range(120)]
