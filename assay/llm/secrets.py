@@ -103,7 +103,9 @@ class Ledger:
     def read(self) -> DataFrame:
         where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         there = where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
-        return self.spark.read.schema(LEDGER).parquet(self.path) if there else self.spark.createDataFrame([], LEDGER)
+        if there:
+            return self.spark.read.schema(LEDGER).parquet(self.path)
+        return self.spark.range(0).select(F.from_json(F.lit(None).cast("string"), LEDGER).alias("r")).select("r.*")
 
     def due(self, blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
         """``blobs`` (blob, ...) with ``due``, the rules that the ledger lacks for them; those that lack none are left out."""
