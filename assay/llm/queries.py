@@ -7,7 +7,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import ann, bpe, chat, images, lang_id, mixing, ngram_jaccard, quality, secrets, toxicity
+from assay.llm import ann, bpe, byte_bpe, centroids, chat, images, lang_id, mixing, ngram_jaccard, quality, secrets, toxicity, vector_codes
 from assay.llm.features import crc_part
 from assay.llm.store import Scratch
 from assay.session import ship, table
@@ -94,6 +94,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", F.col("_score").alias("score"), (F.col("_score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(ship(spark), sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64)
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.encode_documents(table(ship(spark), sf_dir, "documents"), path, public_tokenizers.PATTERN, digests=True)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.codes(table(ship(spark), sf_dir, "embeddings"), n_parts=4, entries=256, rounds=4, scale=1024)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -111,6 +126,9 @@ QUERIES = {
     "op8_images": op8_images,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_centroids": op11_centroids,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_vector_codes": op13_vector_codes,
     "pipeline": pipeline,
 }
 
@@ -187,4 +205,55 @@ n AS (SELECT doc_id, h, count(*) AS passes FROM c WHERE upto <= (SELECT sum(sour
 SELECT q.doc_id, size, source_size, target, CAST(coalesce(passes, 0) * size AS BIGINT) AS taken
 FROM q LEFT JOIN n ON q.doc_id IS NOT DISTINCT FROM n.doc_id AND q.h = n.h"""
 
-ORACLES = {"op4_secrets": _secrets_sql(), "op6_chat": _chat_sql(), "op7_mixing": MIX_SQL}
+_FINITE = "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _floor_div(s: str, n: str) -> str:
+    return f"CAST(({s} - (({s} % {n}) + {n}) % {n}) // {n} AS BIGINT)"
+
+
+def _whole_sql(scale: int) -> str:
+    return f"list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT))"
+
+
+_GAP = "CAST(list_sum(list_transform({a}, lambda x, i: (x - {b}[i]) * (x - {b}[i]))) AS BIGINT)"
+
+
+def _centroids_sql(rounds: int = 3) -> str:
+    steps = [
+        f"v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, {_whole_sql(64)} AS q FROM embeddings WHERE len(embedding) = 64 AND {_FINITE})",
+        "c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), q) - 1 AS c, q FROM v QUALIFY c < 16)",
+    ]
+    for k in range(rounds + 1):
+        steps.append(f"a{k} AS MATERIALIZED (SELECT r, v.vec_id, v.q, c, {_GAP.format(a='v.q', b='c0.q')} AS d FROM v, c{k} AS c0 QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)")
+        if k < rounds:
+            steps.append(f"m{k} AS (SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(q) AS x, generate_subscripts(q, 1) AS i FROM a{k}) GROUP BY c, i)")
+            steps.append(f"n{k} AS (SELECT c, list({_floor_div('s', 'n')} ORDER BY i) AS q FROM m{k} GROUP BY c)")
+            steps.append(f"c{k + 1} AS MATERIALIZED (SELECT c, coalesce(n{k}.q, c{k}.q) AS q FROM c{k} LEFT JOIN n{k} USING (c))")
+    return f"""WITH {', '.join(steps)}
+SELECT vec_id, CAST(c AS INT) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c{rounds}.q, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (c)"""
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    steps = [
+        f"v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, {_whole_sql(1024)} AS q FROM embeddings WHERE embedding IS NOT NULL AND {_FINITE})",
+        "p AS MATERIALIZED (SELECT r, vec_id, pos, list_slice(q, len(q) // 4 * pos + 1, len(q) // 4 * (pos + 1)) AS q FROM v, (SELECT unnest([0, 1, 2, 3]) AS pos))",
+        "e0 AS MATERIALIZED (SELECT pos, row_number() OVER (PARTITION BY pos ORDER BY vec_id, r) - 1 AS e, q FROM p QUALIFY e < 256)",
+    ]
+    for k in range(rounds + 1):
+        gap = _GAP.format(a="p.q", b="e.q")
+        steps.append(f"a{k} AS MATERIALIZED (SELECT r, p.pos, p.q, e.e, {gap} AS d FROM p JOIN e{k} AS e ON p.pos = e.pos QUALIFY row_number() OVER (PARTITION BY r, p.pos ORDER BY d, e.e) = 1)")
+        if k < rounds:
+            steps.append(f"m{k} AS (SELECT pos, e, i, sum(x) AS s, count(*) AS n FROM (SELECT pos, e, unnest(q) AS x, generate_subscripts(q, 1) AS i FROM a{k}) GROUP BY pos, e, i)")
+            steps.append(f"n{k} AS (SELECT pos, e, list({_floor_div('s', 'n')} ORDER BY i) AS q FROM m{k} GROUP BY pos, e)")
+            steps.append(f"e{k + 1} AS MATERIALIZED (SELECT pos, e, coalesce(n{k}.q, e{k}.q) AS q FROM e{k} LEFT JOIN n{k} USING (pos, e))")
+    return f"""WITH {', '.join(steps)},
+coded AS (SELECT r, string_agg(lower(printf('%02x', e)), '' ORDER BY pos) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(q, ','), ',' ORDER BY pos, e)) FROM e{rounds}) AS codebooks_sha256
+FROM coded JOIN v USING (r)"""
+
+
+ORACLES = {"op11_centroids": _centroids_sql(), "op13_vector_codes": _codes_sql(), "op4_secrets": _secrets_sql(), "op6_chat": _chat_sql(), "op7_mixing": MIX_SQL}
