@@ -37,12 +37,13 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(ship(spark), sf_dir, "documents"), vocabulary_path(), digests=True)
 
 
+def secret_ledger(spark: SparkSession) -> secrets.Ledger:
+    """The ledger of the session's ``spark.assay.secrets.ledger``, kept from run to run; without it a new one."""
+    return secrets.Ledger(spark, spark.conf.get("spark.assay.secrets.ledger", None) or f"{Scratch(spark).root}/ledger")
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A ledger that an older set of rules has filled meets the present one: only the pairs it lacks are scanned."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ledger = secrets.Ledger(spark, f"{Scratch(spark).root}/ledger")
-    ledger.update(docs, rules=secrets.BASE_RULES)
-    found = secrets.find_secrets(docs, ledger)
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), secret_ledger(spark))
     n_base = len(secrets.BASE_RULES)
 
     def count(kind: str) -> Column:
@@ -140,7 +141,7 @@ def _sql_text(s: str) -> str:
 def _secrets_sql() -> str:
     parts = []
     for rank, r in enumerate(secrets.RULES):
-        p = _sql_text(r.pattern)
+        p = _sql_text(secrets.plain_pattern(r))
         parts.append(
             f"SELECT doc_id, {rank} AS rank, '{r.kind}' AS kind, unnest(regexp_extract_all(t, {p})) AS m, unnest(regexp_extract_all(t, {p}, {r.group})) AS g, "
             f"unnest(list_slice(string_split_regex(t, {p}), 1, len(regexp_extract_all(t, {p})))) AS gap, unnest(range(len(regexp_extract_all(t, {p})))) AS k, {r.least} AS least "

@@ -14,6 +14,7 @@ A column of ``docs`` named like the result is replaced by it, all others are kep
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,19 +44,28 @@ ASSIGN = Rule("assign", 1, r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss
 ACCESS = Rule("access", 1, r"AKIA[A-Z0-9]{12,}")
 HEX = Rule("hex", 1, r"[0-9a-f]{32,}")
 BASE_RULES = (ASSIGN, ACCESS, HEX)
-# Added by this scanner, each bounded so that no text takes quadratic time: public, well-known shapes of keys. A private key runs to its END line, over anything but another
+# Added by this scanner: public, well-known shapes of keys. A private key runs to its END line, over anything but another
 # run of five dashes; without an END line over the header lines and base64 lines that follow, line ends escaped or not.
-_EOL = r"(?:[\t\x20]*\r?\n|\\r\\n|\\n|[\t\x20])[\t\x20]*"
-_PEM_END = r"[^-]*(?:-{1,4}[^-]+){0,200}-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
-_PEM_CUT_OFF = rf"(?:(?:{_EOL})+[A-Za-z]+-[A-Za-z]+: [^\r\n]*){{0,20}}(?:(?:{_EOL})+{"[A-Za-z0-9+/=]" * 16}[A-Za-z0-9+/=]*){{1,400}}(?:{_EOL}[A-Za-z0-9+/]*={{1,2}})?"
+# Every repetition of a group is possessive, which the engine runs as a loop: others would take a stack frame a line. None
+# has a bound, and none can be entered at each character of a run, so that time follows the text.
+_EOL = r"(?:[\t\x20]*+\r?\n|\\r\\n|\\n|[\t\x20])[\t\x20]*+"
+_PEM_END = r"[^-]*+(?:-{1,4}+[^-]++)*+-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+_PEM_CUT_OFF = rf"(?:(?:{_EOL})++[A-Za-z]++-[A-Za-z]++: [^\r\n]*+)*+(?:(?:{_EOL})++[A-Za-z0-9+/=]{{16,}}+)*+(?:{_EOL}[A-Za-z0-9+/]*+={{1,2}}+)?"
+_JWT = r"[A-Za-z0-9_-]"
 MORE_RULES = (
-    Rule("pem", 2, rf"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(?:{_PEM_END}|{_PEM_CUT_OFF})?"),
-    Rule("jwt", 2, r"eyJ[A-Za-z0-9_-]{8,400}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url_login", 2, r"[a-z][a-z0-9+.-]{0,30}://[^/\s:@]{1,200}:[^/\s:@]{4,200}@"),
+    Rule("pem", 3, rf"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(?:{_PEM_END}|{_PEM_CUT_OFF})?"),
+    # a run that is no token is taken whole, so that its inner starts are not tried, and then dropped
+    Rule("jwt", 3, rf"(eyJ{_JWT}{{8,}}+\.eyJ{_JWT}{{8,}}+\.{_JWT}{{8,}}+)|eyJ{_JWT}*+", 1),
+    Rule("url_login", 3, r"[a-z][a-z0-9+.-]{0,30}://[^/\x20\x09-\x0D:@]++:[^/\x20\x09-\x0D:@]{4,}+@"),
 )
 RULES = (*BASE_RULES, *MORE_RULES)
 
 
+def plain_pattern(rule: Rule) -> str:
+    """The pattern for engines that never backtrack and know no possessive repetition; it finds the same matches."""
+    return re.sub(r"(?<=[*+?}])\+", "", rule.pattern)
+
+
 def rule_spans(text: Column, rule: Rule, rank: int) -> Column:
     """Spans of one rule in a text: the pieces between matches and the matches themselves give all positions."""
     pieces = F.split(text, rule.pattern, -1)
