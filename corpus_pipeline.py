@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from assay.llm import bpe, mixing, ngram_jaccard, quality, secrets
 from assay.llm.features import free_names
-from assay.llm.queries import vocabulary_path
+from assay.llm.queries import secret_ledger, vocabulary_path
 from assay.llm.store import Scratch
 from assay.session import ship, table
 
@@ -62,7 +62,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret span replaced; n_chars follows the text."""
     (spans,) = free_names(docs, "_spans")
-    found = secrets.find_secrets(docs, secrets.Ledger(spark, f"{Scratch(spark).root}/ledger"), into=spans)
+    found = secrets.find_secrets(docs, secret_ledger(spark), into=spans)
     out = found.withColumn("text", secrets.redact(F.col("text"), F.col(spans)))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
