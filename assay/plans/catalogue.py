@@ -381,4 +381,4 @@ def star_setops(spark, d):
 
 
 # the other modules register theirs
-from assay.plans import packages, runs, triage  # noqa: E402, F401
+from assay.plans import files, packages, runs, triage  # noqa: E402, F401
