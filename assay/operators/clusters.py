@@ -8,9 +8,20 @@ from pyspark.sql import functions as F
 from assay.session import with_checkpoints
 
 # Technical words, operations (marked op:), seeds by precedence and set-ups.
-TECH = tuple("sqlite parquet arrow hmac sha256 sha1 md5 crc32c crc32 crc jq locale tar gzip zstd zlib lz4 protobuf msgpack base64 hex fsync wal journal manifest quarantine replay offset binary daemon queue append-only atomic idempoten reconcil rename checkpoint ledger spool read-only air-gap airgap mmap struct varint little-endian big-endian watermark dedup backpressure rotation sidecar envelope segment".split())
-OPS = tuple("parse verify reconcile validate recover replay dedup compact migrate rotate repair audit export ingest serialize checksum rebuild".split())
-SEEDS = tuple("kiosk microgrid maritime vessel port exhibit telemetry spool biotelemetry coldchain broadcast calibration clinical hpc".split())
+TECH = (
+    "sqlite", "parquet", "arrow", "hmac", "sha256", "sha1", "md5", "crc32c", "crc32", "crc", "jq", "locale", "tar", "gzip", "zstd", "zlib", "lz4",
+    "protobuf", "msgpack", "base64", "hex", "fsync", "wal", "journal", "manifest", "quarantine", "replay", "offset", "binary", "daemon", "queue",
+    "append-only", "atomic", "idempoten", "reconcil", "rename", "checkpoint", "ledger", "spool", "read-only", "air-gap", "airgap", "mmap", "struct",
+    "varint", "little-endian", "big-endian", "watermark", "dedup", "backpressure", "rotation", "sidecar", "envelope", "segment",
+)
+OPS = (
+    "parse", "verify", "reconcile", "validate", "recover", "replay", "dedup", "compact", "migrate", "rotate", "repair", "audit", "export", "ingest",
+    "serialize", "checksum", "rebuild",
+)
+SEEDS = (
+    "kiosk", "microgrid", "maritime", "vessel", "port", "exhibit", "telemetry", "spool", "biotelemetry", "coldchain", "broadcast", "calibration",
+    "clinical", "hpc",
+)
 SETUP = ("air-gap", "airgap", "read-only", "no network", "pre-installed", "offline", "ephemeral")
 DF_MAX = 0.35
 

@@ -79,21 +79,6 @@ def gate(findings: DataFrame, block: str = "FAIL") -> DataFrame:
     return findings.groupBy("task").agg((~F.bool_or(bad)).alias("promoted"), F.array_join(F.array_sort(F.collect_set(F.when(bad, F.col("layer")))), ",").alias("layers"), F.array_join(F.array_sort(F.collect_set(F.when(bad, F.col("title")))), ",").alias("titles"))
 
 
-def priority(area: Column, sev: Column, title: Column) -> Column:
-    """P0 to P2 of a finding, null without one: titles first, then severity and area."""
-    return F.when(title == "secret-in-text", "P0").when(title == "license-line", "P2").when((sev == "FAIL") & area.isin("anti_cheat", "tests", "dataset"), "P0").when(sev == "FAIL", "P1").when(sev == "WARN", "P2")
-
-
-def bucketize(findings: DataFrame) -> DataFrame:
-    """(task, bucket, remediation, priority): ordered rules over each task's flags."""
-    f = findings.withColumn("p", priority(F.col("area"), F.col("severity"), F.col("title")))
-    is_fail = F.col("severity") == "FAIL"
-    first = F.min(F.when(is_fail, F.struct(F.array_position(F.array(*map(F.lit, AREAS)), F.col("area")).alias("k"), F.col("area").alias("area"))))["area"]
-    flags = f.groupBy("task").agg(F.min("p").alias("priority"), F.count_if(is_fail).alias("fails"), F.bool_or(F.col("severity") == "WARN").alias("warned"), first.alias("first"))
-    bucket = F.when(F.col("fails") >= 2, "total").when(F.col("fails") == 1, "fixable").when(F.col("warned"), "review").otherwise("ship")
-    return flags.select("task", bucket.alias("bucket"), F.coalesce("first", F.lit("none")).alias("remediation"), F.coalesce("priority", F.lit("")).alias("priority"))
-
-
 def coverage_gaps(findings: DataFrame, dimensions: tuple[str, ...] = AREAS) -> DataFrame:
     """(task, area) not assessed: each task's required areas, a constant array, less those it has."""
     return findings.groupBy("task").agg(F.collect_set("area").alias("has")).select("task", F.explode(F.array_except(F.array(*map(F.lit, dimensions)), F.col("has"))).alias("area"))

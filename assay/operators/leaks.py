@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.operators.sources import DOCKERFILE, SOLVE, TEST_PY, TEST_SH, docker_instructions
+from assay.session import with_checkpoints
 
 # Names of build scripts, of truths and of graders; kinds of files and folders that hold none.
 BUILD_SCRIPT = r"^environment/(.*/)?(setup_commands\.sh|setup\.sh|setup_env\.sh|init\.sh|bootstrap[^/]*\.sh|prestart[^/]*\.sh|entrypoint\.sh|docker-entrypoint\.sh|build\.sh|[^/]*setup[^/]*\.sh|generate[^/]*\.py|gen_[^/]*\.py|[^/]*mutate[^/]*\.py|make_[^/]*\.py|seed[^/]*\.py)$"
@@ -39,27 +40,27 @@ def folders(path: Column) -> Column:
     return F.transform(F.sequence(F.lit(2), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
 
 
-def build_texts(files: DataFrame) -> DataFrame:
+def build_texts(files: DataFrame, instructions: DataFrame) -> DataFrame:
     """(task, text) of every command text of a build: RUN instructions with their heredocs, and build scripts."""
-    steps = docker_instructions(files).where("instr = 'RUN'").select("task", F.concat_ws("\n", "args", "body").alias("text"))
+    steps = instructions.where("instr = 'RUN'").select("task", F.concat_ws("\n", "args", "body").alias("text"))
     return steps.unionByName(files.where(F.col("rel_path").rlike(BUILD_SCRIPT)).select("task", "text"))
 
 
-def copied(files: DataFrame) -> DataFrame:
+def copied(instructions: DataFrame) -> DataFrame:
     """(task, source, path) of what COPY and ADD put into an image; several sources, or a folder, keep their names there."""
     words = F.split(F.regexp_replace("args", r"^(--\S+\s+)+", ""), r"\s+")
-    steps = docker_instructions(files).where("instr in ('COPY', 'ADD') and args not like '[%' and body is null").withColumn("w", words).where(F.size("w") > 1)
+    steps = instructions.where("instr in ('COPY', 'ADD') and args not like '[%' and body is null").withColumn("w", words).where(F.size("w") > 1)
     target = F.element_at("w", -1)
     each = steps.select("task", target.alias("target"), (target.endswith("/") | (F.size("w") > 2)).alias("folder"), F.explode(F.slice("w", 1, F.size("w") - 1)).alias("source"))
     whole = F.concat(F.regexp_replace("target", "/+$", ""), F.lit("/"), base_name(F.regexp_replace("source", "/+$", "")))
     return each.select("task", "source", F.when(F.col("folder"), whole).otherwise(F.col("target")).alias("path")).where("path like '/%'")
 
 
-def build_writes(files: DataFrame, builds: DataFrame) -> DataFrame:
+def build_writes(instructions: DataFrame, builds: DataFrame) -> DataFrame:
     """(task, path), distinct, of absolute paths that a build copies or writes."""
     patterns = (rf"(?<![<0-9&])>>?\s*{_PATH}", rf"\b(?:cp|mv)\s+[^\n;&|]*?\s{_PATH}\s*(?:$|[\n;&|])", r"open\(\s*['\"](/[^'\"]+)['\"]\s*,\s*['\"][wax]", r"makedirs\(\s*['\"](/[^'\"]+)['\"]")
     texts = builds.select("task", F.explode(F.flatten(F.array(*[_all(F.col("text"), p) for p in patterns]))).alias("path"))
-    paths = texts.unionByName(copied(files).select("task", "path")).select("task", F.regexp_replace("path", "[/.,]+$", "").alias("path"))
+    paths = texts.unionByName(copied(instructions).select("task", "path")).select("task", F.regexp_replace("path", "[/.,]+$", "").alias("path"))
     return paths.where(~F.col("path").rlike(r"^/(tmp|proc|sys|dev|run)(/|$)") & (F.col("path") != "")).distinct()
 
 
@@ -105,11 +106,15 @@ def produced(text: Column, path: Column) -> Column:
     return writes(before(path)) | writes(before(base_name(path)))
 
 
-def leak_findings(files: DataFrame) -> DataFrame:
+def leak_findings(files: DataFrame, instructions: DataFrame | None = None) -> DataFrame:
     """(task, area, severity, title, location, detail): one finding for a package's writes below /tests, one for those
-    elsewhere, one for its reference, one for modes that guard nothing; details are the paths, sorted."""
-    builds = build_texts(files)
-    fate = survivors(build_writes(files, builds), removed(builds))
+    elsewhere, one for its reference, one for modes that guard nothing; details are the paths, sorted. ``instructions`` are
+    those of the packages' Dockerfiles, where they are written already."""
+    if instructions is None:
+        with_checkpoints(files.sparkSession)
+        instructions = docker_instructions(files).checkpoint()  # read five times below
+    builds = build_texts(files, instructions)
+    fate = survivors(build_writes(instructions, builds), removed(builds))
     tests = F.col("path").startswith("/tests/")
     fates = fate.groupBy("task").agg(
         F.collect_set(F.when(tests, F.col("path"))).alias("tests_all"),
@@ -118,7 +123,7 @@ def leak_findings(files: DataFrame) -> DataFrame:
     )
     modes = builds.select("task", F.explode(_all(F.col("text"), r"\bchmod\s+(?:-[a-zA-Z]+\s+)*0?(?:400|000|440|040|200)\s+([^\s;&|]+)")).alias("path"))
     modes = modes.where(~F.col("path").rlike(r"/tests|\.truth")).where(base_name(F.col("path")).rlike(TRUTHY) | base_name(F.col("path")).rlike(GRADERISH)).groupBy("task").agg(F.collect_set("path").alias("guarded"))
-    drops = docker_instructions(files).where((F.col("instr") == "USER") & ~F.col("args").rlike(r"^root\b")).select("task").distinct()
+    drops = instructions.where((F.col("instr") == "USER") & ~F.col("args").rlike(r"^root\b")).select("task").distinct()
     modes = modes.join(drops, "task", "left_anti")
     one = files.select("task").distinct()
     for part in (fates, modes, text_of(files, (TEST_PY, TEST_SH), "verifier"), text_of(files, (SOLVE,), "solve"), text_of(files, ("instruction.md",), "told")):

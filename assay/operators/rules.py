@@ -35,6 +35,13 @@ def _text(key: str) -> str:
     return f"lower(trim(regexp_extract(coalesce(toml, ''), r'(?m)^{key}\\s*=\\s*\"([^\"]*)\"', 1)))"
 
 
+# Phrases that steer an agent, and characters that hide text.
+INJECTION = r"(?i)(ignore\s+(all\s+|any\s+|the\s+)?(previous|prior|above|earlier)\s+instructions|disregard\s+(the\s+)?(above|previous|task|instructions)|ignore\s+the\s+(task|rules|tests?)|do\s+not\s+run\s+the\s+tests?|skip\s+the\s+(tests?|verifier)|reveal\s+(the\s+)?(answer|solution|secret|flag|password)|print\s+(the\s+)?(answer|flag|secret)|you\s+are\s+now\s+|the\s+(correct\s+)?answer\s+is\s*[:=]|to\s+pass(\s+the\s+tests?)?,?\s+(just|simply|only))"
+HIDDEN = r"[\x{200B}-\x{200D}\x{2060}\x{FEFF}\x{202A}-\x{202E}\x{2066}-\x{2069}]"
+GENERIC = ("programming", "general", "code", "task", "misc", "other")
+ENCODED = r"(?i)\b\w*(truth|expected|golden|answer|reference|digest|checksum|payload)\w*\s*=\s*[rbf]?[\x27\"][A-Za-z0-9+/]{40,}={0,2}[\x27\"]"
+#: Files that an agent sees.
+SEEN = ("instruction", "dockerfile")
 INSTALL = r"(?m)^[^#\n]*\b(pip3?|apt|apt-get)\s+install\b"
 NETWORK = r"(https?://|\bcurl\b|\bwget\b)"
 # Facts that several rules share, by name; a fact may use the columns alone.
@@ -42,14 +49,14 @@ FACTS = {
     "delivery": _has("toml", r"(?m)^(subcategory|task_objective|artifact_type|avg_at_8|model_tested|agent_tested)\s*=") + " OR " + _has("toml", r"(?m)^build_timeout_sec\s*="),
     "difficulty": _text("difficulty"),
     "category": _text("category"),
-    "expert": _number(r"(?m)^expert_time_estimate_min\s*=\s*([0-9.+-]+)"),
+    "expert": "coalesce(" + _number(r"(?m)^expert_time_estimate_min\s*=\s*([0-9.+-]+)") + ", 60 * " + _number(r"(?m)^expert_time_estimate_hours\s*=\s*([0-9.+-]+)") + ")",
     "junior": _number(r"(?m)^junior_time_estimate_min\s*=\s*([0-9.+-]+)"),
     "avg": _number(r"(?m)^avg_at_8\s*=\s*([0-9.+-]+)"),
     "cpus": _number(r"(?m)^cpus\s*=\s*([0-9.+-]+)"),
     "memory": _number(r"(?m)^memory_mb\s*=\s*([0-9.+-]+)"),
     "build_timeout": _number(r"(?m)^build_timeout_sec\s*=\s*([0-9.+-]+)"),
-    "verifier_timeout": _number(r"(?s)\[verifier\][^\[]*?timeout_sec\s*=\s*([0-9.+-]+)"),
-    "agent_timeout": _number(r"(?s)\[agent\][^\[]*?timeout_sec\s*=\s*([0-9.+-]+)"),
+    "verifier_timeout": "coalesce(nullif(" + _number(r"(?s)\[verifier\][^\[]*?timeout_sec\s*=\s*([0-9.+-]+)") + ", 0), " + _number(r"(?m)^verifier_timeout\s*=\s*([0-9.+-]+)") + ", " + _number(r"(?s)\[verifier\][^\[]*?timeout_sec\s*=\s*([0-9.+-]+)") + ")",
+    "agent_timeout": "coalesce(nullif(" + _number(r"(?s)\[agent\][^\[]*?timeout_sec\s*=\s*([0-9.+-]+)") + ", 0), " + _number(r"(?m)^agent_timeout\s*=\s*([0-9.+-]+)") + ", " + _number(r"(?s)\[agent\][^\[]*?timeout_sec\s*=\s*([0-9.+-]+)") + ")",
     "visible": r"trim(regexp_replace(regexp_replace(coalesce(instruction, ''), r'(?s)```.*?```', '', 'g'), r'\s+', ' ', 'g'))",
 }
 
@@ -71,8 +78,8 @@ RULES = (
         empty_required_file="trim(toml) = '' OR trim(dockerfile) = '' OR trim(instruction) = '' OR trim(solve) = '' OR trim(test_sh) = ''",
         missing_recommended_file="test_py IS NULL",
         dockerfile_no_base_image=_has("dockerfile", r"(?m)^\s*[^#\s]") + " AND NOT " + _has("dockerfile", r"(?mi)^\s*FROM\s"),
-        dockerfile_trivial="trim(dockerfile) <> '' AND NOT " + _has("dockerfile", r"(?m)^[ \t]*[^#\s][^\n]*\n([^\n]*\n)*[ \t]*[^#\s]"),
-        task_name_not_kebab=f"NOT {_has('name', r'^[a-z0-9]+(-[a-z0-9]+)*$')}",
+        dockerfile_trivial=r"trim(dockerfile) <> '' AND regexp_count(dockerfile, r'(?m)^[ \t]*[^#\s]') < 2",
+        task_name_not_kebab=f"NOT {_has('name', r'^[a-z0-9-]+$')} OR {_has('name', r'^-|--|-$')}",
         task_name_too_long="length(name) > 50",
         unnecessary_files=_has("paths", r"(?m)(^|/)(\.git|\.DS_Store|__MACOSX|node_modules|\.idea|\.vscode|Thumbs\.db)(/|$)"),
         crlf_line_endings=" OR ".join(f"position(chr(13) || chr(10) IN coalesce({c}, '')) > 0" for c in ("toml", "dockerfile", "instruction", "solve", "test_sh", "test_py")),
@@ -87,7 +94,7 @@ RULES = (
         missing_difficulty="toml IS NOT NULL AND NOT delivery AND difficulty = ''",
         unknown_difficulty="toml IS NOT NULL AND NOT delivery AND difficulty <> '' AND difficulty NOT IN ('easy', 'medium', 'hard')",
         missing_category="toml IS NOT NULL AND category = ''",
-        generic_category="category IN ('general', 'misc', 'other', 'programming', 'coding')",
+        generic_category=f"category IN {GENERIC}",
         missing_subcategory="delivery AND NOT " + _has("toml", r"(?m)^subcategory\s*=\s*\"[^\"]"),
         missing_task_objective="delivery AND NOT " + _has("toml", r"(?m)^task_objective\s*=\s*\[\s*\""),
         missing_artifact_type="delivery AND NOT " + _has("toml", r"(?m)^artifact_type\s*=\s*\[\s*\""),
@@ -96,7 +103,7 @@ RULES = (
         nonpositive_expert_time="expert <= 0",
         missing_junior_time="toml IS NOT NULL AND NOT delivery AND junior IS NULL",
         junior_lt_expert="NOT delivery AND junior < expert",
-        avg_at_8_too_easy="delivery AND avg > 0.5 AND avg <= 1",
+        avg_at_8_too_easy="delivery AND avg > 0.5",
         avg_at_8_out_of_range="avg < 0 OR avg > 1",
         missing_avg_at_8="delivery AND avg IS NULL",
         missing_model_tested="delivery AND NOT " + _has("toml", r"(?m)^model_tested\s*=\s*\"[^\"]"),
@@ -123,7 +130,7 @@ RULES = (
         base_image_not_digest_pinned="delivery AND " + _has("dockerfile", r"(?mi)^\s*FROM\s+[^\s@$]+:[^\s@$]+(?:\s|$)"),
         apt_no_update=_has("dockerfile", r"\bapt(-get)?\s+(-y\s+)?install\b") + " AND NOT " + _has("dockerfile", r"\bapt(-get)?\s+update\b"),
         apt_get_upgrade=_has("dockerfile", r"\bapt(-get)?\s+(-y\s+)?(dist-)?upgrade\b"),
-        unpinned_pip=_has("dockerfile", r"(?m)\bpip3?\s+install\s+(?:-\S+\s+)*[A-Za-z][A-Za-z0-9_.\[\]-]*(?:\s|$)"),
+        unpinned_pip=_has("dockerfile", r"(?m)\bpip3?\s+install\s+(?:-\S+\s+)*+[A-Za-z][A-Za-z0-9_.\[\]-]*(?:\s|$)"),
         add_remote_url=_has("dockerfile", r"(?mi)^\s*ADD\s+https?://"),
         curl_pipe_sh=_has("dockerfile", r"\b(curl|wget)\b[^\n|]{0,300}\|\s*(sudo\s+)?(ba)?sh\b"),
         missing_multistage_build=_has("dockerfile", r"\b(make|cargo build|go build|mvn|gcc|npm run build)\b") + " AND NOT " + _has("dockerfile", r"(?si)FROM\s.*\n\s*FROM\s"),
@@ -133,8 +140,8 @@ RULES = (
         dockerfile_entrypoint=_has("dockerfile", r"(?mi)^\s*ENTRYPOINT\b"),
         test_deps_in_image="NOT delivery AND " + _has("dockerfile", r"\bpip3?\s+install\b[^\n]{0,300}\bpytest\b"),
         missing_dockerignore=_has("dockerfile", r"(?mi)^\s*COPY\s") + " AND " + _has("paths", r"(?m)^environment/[^/\n]+/") + " AND NOT " + _has("paths", r"(?m)^environment/\.dockerignore$"),
-        dockerfile_copies_solution=_has("dockerfile", r"(?mi)^\s*(COPY|ADD)\s+(--\S+\s+)*\.?/?solution\b"),
-        dockerfile_copies_tests=_has("dockerfile", r"(?mi)^\s*(COPY|ADD)\s+(--\S+\s+)*\.?/?tests\b"),
+        dockerfile_copies_solution=_has("dockerfile", r"(?mi)^\s*(COPY|ADD)\s+(--\S+\s+)*+\.?/?solution\b"),
+        dockerfile_copies_tests=_has("dockerfile", r"(?mi)^\s*(COPY|ADD)\s+(--\S+\s+)*+\.?/?tests\b"),
         dockerfile_copies_hint_file=_has("dockerfile", r"(?mi)^\s*(COPY|ADD)\s+\S*(hint|answer|cheat)\S*\s"),
     ),
     *_rules(
@@ -163,8 +170,8 @@ RULES = (
         empty_parametrize=_has("test_py", r"parametrize\([^\n]{1,200},\s*\[\s*\]"),
         unconditional_reward=_has("test_sh", r"(?m)^\s*echo\s+[\"\x27]?1[\"\x27]?\s*>\s*\S*reward") + " AND NOT " + _has("test_sh", r"\b(if|then|&&|\|\||\$\?)\b|\$\?"),
         test_sh_set_e_reward_abort=_has("test_sh", r"(?m)^\s*set\s+-[a-z]*e") + " AND NOT " + _has("test_sh", r"set\s+\+e") + " AND " + _has("test_sh", r"\bpytest\b") + " AND " + _has("test_sh", r"\$\?") + " AND " + _has("test_sh", "reward"),
-        prompt_injection=_has("instruction", r"(?i)(ignore (all )?(previous|prior|above) instructions|disregard the system prompt)"),
-        hidden_unicode=_has("instruction", r"[\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}\x{FEFF}]"),
+        prompt_injection=" OR ".join(_has(c, INJECTION) for c in SEEN),
+        hidden_unicode=" OR ".join(_has(c, HIDDEN) for c in SEEN),
         tests_bake_unread=_has("dockerfile", r"(?m)^\s*RUN\b[^\n]{0,300}>\s*/tests/") + " AND NOT " + _has("dockerfile", r"rm\s+-rf?\s+/tests"),
     ),
     *_rules(
@@ -178,7 +185,7 @@ RULES = (
         redis_no_daemonize=_has("solve", r"(?m)^\s*redis-server\b[^\n&]*$") + " AND NOT " + _has("solve", "--daemonize"),
         broad_pkill=_has("solve", r"\bpkill\s+-f\b"),
         config_edit_no_restart=_has("solve", r"sed\s+-i\s[^\n]{0,200}\.(conf|cfg|ini)\b") + " AND NOT " + _has("solve", r"\b(restart|reload|HUP)\b"),
-        solve_too_long="length(solve) - length(replace(solve, chr(10), '')) + 1 >= 200",
+        solve_too_long="delivery AND length(solve) - length(replace(solve, chr(10), '')) + 1 >= 200",
     ),
     *_rules(
         "hygiene",
@@ -186,13 +193,13 @@ RULES = (
         "FAIL:verifier-unbounded-call FAIL:systemd-assumption FAIL:base64-wrapped-command FAIL:shell-wrapped-python FAIL:delegates-to-truth-verifier FAIL:llm-judge-in-verifier FAIL:unseeded-randomness-in-verifier FAIL:wall-clock-in-verifier WARN:encoded-ground-truth FAIL:generic-bootstrap-blocks",
         verifier_unbounded_call=_has("test_py", r"\b(requests\.(get|post)|urlopen|socket\.create_connection)\(") + " AND NOT " + _has("test_py", "timeout"),
         systemd_assumption=_has("test_sh", r"\b(systemctl|journalctl)\b") + " OR " + _has("test_py", r"\b(systemctl|journalctl)\b"),
-        base64_wrapped_command=_has("test_py", r"b64decode\(\s*[\x27\"][A-Za-z0-9+/=]{8,1000}"),
+        base64_wrapped_command=_has("test_py", r"b64decode\(\s*[\x27\"][A-Za-z0-9+/=]{8,}"),
         shell_wrapped_python=_has("test_py", r"subprocess\.\w+\([^\n]{0,200}python3?\s+-c"),
         delegates_to_truth_verifier=_has("test_py", r"(?m)^[^#\n]*\.truth/\S{0,200}\.py"),
         llm_judge_in_verifier=_has("test_py", r"(?m)^\s*(import|from)\s+(openai|litellm|cohere)\b"),
         unseeded_randomness_in_verifier=_has("test_py", r"\brandom\.(random|randint|choice|shuffle|sample)\(") + " AND NOT " + _has("test_py", r"\bseed\("),
         wall_clock_in_verifier=_has("test_py", r"\b(datetime\.(now|utcnow|today)|date\.today)\("),
-        encoded_ground_truth=_has("test_py", r"(?m)^\s*_?(TRUTH|EXPECTED|ANSWER)\w*\s*=\s*[\x27\"][A-Za-z0-9+/]{40,1000}={0,2}[\x27\"]"),
+        encoded_ground_truth=" OR ".join(_has(c, ENCODED) for c in ("test_py", "test_sh", "solve")),
         generic_bootstrap_blocks=" + ".join(f"CAST({_has('test_sh', rf'\b{d}')} AS INT)" for d in ("redis-server", "postgres", "mysqld", "mongod")) + " >= 3",
     ),
 )
@@ -204,6 +211,11 @@ def spark_sql(text: str) -> str:
     return text.replace(", 'g')", ")")
 
 
+def plain_sql(text: str) -> str:
+    """The SQL of a condition for engines that never backtrack and know no possessive repetition; it means the same."""
+    return text.replace(")*+", ")*")
+
+
 def package_findings(packages: DataFrame, rules: tuple[PackageRule, ...] = RULES) -> DataFrame:
     """(task, area, severity, title) of each rule that a package meets, and a PASS for each gate that finds nothing."""
     facts = packages.select("*", *[F.expr(spark_sql(f)).alias(k) for k, f in FACTS.items()])

@@ -74,9 +74,9 @@ def unpinned_packages(command: Column) -> Column:
     return F.filter(valued, lambda w: w.rlike(r"^[A-Za-z0-9_][A-Za-z0-9_.\[\]-]*$"))
 
 
-def docker_findings(files: DataFrame, delivery: DataFrame | None = None) -> DataFrame:
+def docker_findings(files: DataFrame, delivery: DataFrame | None = None, instructions: DataFrame | None = None) -> DataFrame:
     """Findings that hang on instructions. ``delivery`` (task) names the packages held to the rules for deliveries."""
-    steps = docker_instructions(files).withColumn("run", shell_of(F.col("instr"), F.col("args"), F.col("body")))
+    steps = (docker_instructions(files) if instructions is None else instructions).withColumn("run", shell_of(F.col("instr"), F.col("args"), F.col("body")))
     ref = F.when(F.col("instr") == "FROM", F.regexp_extract("args", r"^(?:--\S+\s+)*(\S+)", 1))
     steps = steps.withColumn("ref", ref).withColumn("pip", unpinned_packages(F.col("run")))
     ours = F.col("ref").isNotNull() & ~F.col("ref").startswith("$") & (F.lower("ref") != "scratch")

@@ -12,14 +12,45 @@ from pyspark.sql import functions as F
 from assay.operators.findings import AREAS
 
 # Titles by priority, by remediation, and those that settle a bucket.
-P0 = "agent-writable-verifier truth-baked-verifier-reads tests-bake-verifier-reads reference-solve-reads-truth unconditional-reward dockerfile-copies-solution dockerfile-copies-tests test-imports-solution reward-pre-created secret-baked-in-image semantic-cheat-vector cheat-confirmed pycache-baked-in-image".split()
-P1 = "source-match-verification verifier-undefended wall-clock-dependent-verifier filename-encodes-answer verifier-self-consistent literal-only-verifier degenerate-integrity-guard brittle-string-match existence-only-check no-assertion-test vacuous-test swallowed-assertion weak-assertion skipped-scored-test empty-parametrize golden-patch-mismatch flaky-test test-sh-set-e-reward-abort test-sh-swallows-failure agent-writable-reward-signal verifier-reads-config-spec truth-named-baked test-runtime-install reward-path-nonstandard tests-bake-unread untested-requirement pycache-residue-after-script-removal".split()
-P2 = "chmod-not-a-guard verifier-helper-in-environment dockerfile-copies-env-tests dockerfile-copies-hint-file missing-dockerignore broad-chmod verifier-reads-instruction-input".split()
-RELOCATE = "agent-writable-verifier truth-baked-verifier-reads tests-bake-verifier-reads verifier-helper-in-environment chmod-not-a-guard reward-pre-created dockerfile-copies-tests dockerfile-copies-solution reference-solve-reads-truth secret-baked-in-image dockerfile-copies-env-tests pycache-baked-in-image pycache-residue-after-script-removal".split()
-STRENGTHEN = "literal-only-verifier source-match-verification verifier-undefended filename-encodes-answer wall-clock-dependent-verifier verifier-self-consistent existence-only-check no-assertion-test vacuous-test swallowed-assertion weak-assertion unconditional-reward test-sh-swallows-failure test-sh-set-e-reward-abort empty-parametrize skipped-scored-test agent-writable-reward-signal tests-bake-unread truth-named-baked conftest-plant-vulnerable".split()
-ALIGN = "brittle-string-match untested-requirement".split()
-CONCRETE = "literal-only-verifier source-match-verification wall-clock-dependent-verifier filename-encodes-answer verifier-self-consistent golden-patch-mismatch brittle-string-match vacuous-test no-assertion-test existence-only-check swallowed-assertion empty-parametrize skipped-scored-test unconditional-reward test-sh-swallows-failure test-sh-set-e-reward-abort conftest-plant-vulnerable".split()
-BROKEN = "golden-patch-mismatch oracle-fails reference-fails-own-tests".split()
+P0 = (
+    "agent-writable-verifier", "truth-baked-verifier-reads", "tests-bake-verifier-reads", "reference-solve-reads-truth", "unconditional-reward",
+    "dockerfile-copies-solution", "dockerfile-copies-tests", "test-imports-solution", "reward-pre-created", "secret-baked-in-image",
+    "semantic-cheat-vector", "cheat-confirmed", "pycache-baked-in-image",
+)
+P1 = (
+    "source-match-verification", "verifier-undefended", "wall-clock-dependent-verifier", "filename-encodes-answer", "verifier-self-consistent",
+    "literal-only-verifier", "degenerate-integrity-guard", "brittle-string-match", "existence-only-check", "no-assertion-test", "vacuous-test",
+    "swallowed-assertion", "weak-assertion", "skipped-scored-test", "empty-parametrize", "golden-patch-mismatch", "flaky-test",
+    "test-sh-set-e-reward-abort", "test-sh-swallows-failure", "agent-writable-reward-signal", "verifier-reads-config-spec", "truth-named-baked",
+    "test-runtime-install", "reward-path-nonstandard", "tests-bake-unread", "untested-requirement", "pycache-residue-after-script-removal",
+)
+P2 = (
+    "chmod-not-a-guard", "verifier-helper-in-environment", "dockerfile-copies-env-tests", "dockerfile-copies-hint-file", "missing-dockerignore",
+    "broad-chmod", "verifier-reads-instruction-input",
+)
+RELOCATE = (
+    "agent-writable-verifier", "truth-baked-verifier-reads", "tests-bake-verifier-reads", "verifier-helper-in-environment", "chmod-not-a-guard",
+    "reward-pre-created", "dockerfile-copies-tests", "dockerfile-copies-solution", "reference-solve-reads-truth", "secret-baked-in-image",
+    "dockerfile-copies-env-tests", "pycache-baked-in-image", "pycache-residue-after-script-removal",
+)
+STRENGTHEN = (
+    "literal-only-verifier", "source-match-verification", "verifier-undefended", "filename-encodes-answer", "wall-clock-dependent-verifier",
+    "verifier-self-consistent", "existence-only-check", "no-assertion-test", "vacuous-test", "swallowed-assertion", "weak-assertion",
+    "unconditional-reward", "test-sh-swallows-failure", "test-sh-set-e-reward-abort", "empty-parametrize", "skipped-scored-test",
+    "agent-writable-reward-signal", "tests-bake-unread", "truth-named-baked", "conftest-plant-vulnerable",
+)
+ALIGN = (
+    "brittle-string-match", "untested-requirement",
+)
+CONCRETE = (
+    "literal-only-verifier", "source-match-verification", "wall-clock-dependent-verifier", "filename-encodes-answer", "verifier-self-consistent",
+    "golden-patch-mismatch", "brittle-string-match", "vacuous-test", "no-assertion-test", "existence-only-check", "swallowed-assertion",
+    "empty-parametrize", "skipped-scored-test", "unconditional-reward", "test-sh-swallows-failure", "test-sh-set-e-reward-abort",
+    "conftest-plant-vulnerable",
+)
+BROKEN = (
+    "golden-patch-mismatch", "oracle-fails", "reference-fails-own-tests",
+)
 SOFT = "verifier-undefended"
 META = ("verify-refuted", "verify-confirm", "cheat-vector-confirmed", "cheat-vector-refuted")
 HARD_DEFENCES = ("recompute-or-hash", "mutated-rerun", "source-grep-guard")

@@ -79,21 +79,6 @@ def quarantine_by_layer(spark, d):
     return _kept(spark, d).where("severity = 'FAIL'").groupBy("layer").agg(F.count_distinct("task").alias("tasks"))
 
 
-_PRIO = "CASE WHEN title = 'secret-in-text' THEN 'P0' WHEN title = 'license-line' THEN 'P2' WHEN severity = 'FAIL' AND area IN ('anti_cheat', 'tests', 'dataset') THEN 'P0' WHEN severity = 'FAIL' THEN 'P1' WHEN severity = 'WARN' THEN 'P2' END"
-_AREA_POS = "list_position([" + ", ".join(f"'{a}'" for a in N.AREAS) + "], area)"
-BUCKET_SQL = f"{KEPT_SQL}, b AS (SELECT task, min({_PRIO}) AS priority, count(*) FILTER (WHERE {_BAD}) AS fails, bool_or(severity = 'WARN') AS warned, arg_min(area, {_AREA_POS}) FILTER (WHERE {_BAD}) AS first FROM kept GROUP BY task), buckets AS (SELECT task, CASE WHEN fails >= 2 THEN 'total' WHEN fails = 1 THEN 'fixable' WHEN warned THEN 'review' ELSE 'ship' END AS bucket, coalesce(first, 'none') AS remediation, coalesce(priority, '') AS priority FROM b)"
-
-
-@query(f"WITH {BUCKET_SQL} SELECT * FROM buckets")
-def bucketize(spark, d):
-    return N.bucketize(_kept(spark, d))
-
-
-@query(f"WITH {BUCKET_SQL} SELECT bucket || '/' || remediation AS bucket, priority, count(*) AS n FROM buckets GROUP BY ALL")
-def priority_hist(spark, d):
-    return N.bucketize(_kept(spark, d)).groupBy(F.concat_ws("/", "bucket", "remediation").alias("bucket"), "priority").agg(F.count("*").alias("n"))
-
-
 @query(f"WITH {KEPT_SQL} SELECT t.task, a.area FROM (SELECT DISTINCT task FROM kept) t, (SELECT unnest([{', '.join(repr(a) for a in N.AREAS)}]) AS area) a WHERE (t.task, a.area) NOT IN (SELECT (task, area) FROM kept)")
 def coverage_gaps(spark, d):
     return N.coverage_gaps(_kept(spark, d))
@@ -381,4 +366,4 @@ def star_setops(spark, d):
 
 
 # the other modules register theirs
-from assay.plans import files, packages, runs, triage  # noqa: E402, F401
+from assay.plans import files, packages, runs, static_qc, triage  # noqa: E402, F401

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -65,9 +67,9 @@ def coverage_by_model(spark, d):
     return A.coverage_by_model(_attempts(spark, d), BAR)
 
 
-@query(f"WITH {_ATT}, r AS (SELECT task, round(avg(ok::INT), 4) AS mean FROM a GROUP BY task) SELECT mean, count(*) AS n FROM r GROUP BY mean")
+@query(f"WITH {_ATT}, r AS (SELECT task, round_even(avg(ok::INT), 4) AS mean FROM a GROUP BY task) SELECT mean, count(*) AS n FROM r GROUP BY mean")
 def value_histogram(spark, d):
-    per = _attempts(spark, d).groupBy("task").agg(F.round(F.avg(A.is_pass(F.col("score"), BAR).cast("double")), 4).alias("mean"))
+    per = _attempts(spark, d).groupBy("task").agg(F.bround(F.avg(A.is_pass(F.col("score"), BAR).cast("double")), 4).alias("mean"))
     return per.groupBy("mean").agg(F.count("*").alias("n"))
 
 
@@ -242,9 +244,9 @@ def rate_window(spark, d):
 # --- statements ---------------------------------------------------------------------------------------------------
 def _statement(text: str):
     def run(spark, d):
-        for name in ("events", "documents", "labels"):
-            table(spark, d, name).createOrReplaceTempView(f"st_{name}")
-        return spark.sql(text.replace("{t}", "st_"))
+        # frames are named in the statement alone, so the session's views stay as they are
+        named = {name: table(spark, d, name) for name in ("events", "documents", "labels") if f"{{t}}{name}" in text}
+        return spark.sql(re.sub(r"\{t\}(\w+)", r"{\1}", text), **named)
 
     return run
 
@@ -327,17 +329,21 @@ def dense_best_match(spark, d):
     return S.dense_best(e.where("vec_id % 50 = 0"), e).select("query_id", "vec_id", F.round("score", 6).alias("score"))
 
 
-_TAGS = Pick(["rust,python", "c++,web", "flask,csv", "tokio", "data-science", "misc", "Golang"], "event_id")
+_TAGS = Pick(["rust,python", "c++,web", "flask,csv", "tokio", "data-science", "misc", "Golang", "scipy", "keras,web", "fastify", "data-pipeline", "socket.io,gin"], "event_id")
 
 
-@query(f"WITH t AS (SELECT event_id, string_split(lower({_TAGS.sql}), ',') AS tags FROM events) SELECT event_id, CASE WHEN list_contains(tags, 'python') THEN 'python' WHEN list_contains(tags, 'rust') THEN 'rust' WHEN list_contains(tags, 'golang') THEN 'go' WHEN list_contains(tags, 'c++') THEN 'cpp' WHEN list_contains(tags, 'flask') THEN 'python' WHEN list_contains(tags, 'tokio') THEN 'rust' WHEN list_contains(tags, 'data-science') THEN 'python' ELSE 'unknown' END AS language FROM t")
+@query(f"WITH t AS (SELECT event_id, string_split(lower({_TAGS.sql}), ',') AS tags FROM events) SELECT event_id, CASE WHEN list_contains(tags, 'python') THEN 'python' WHEN list_contains(tags, 'rust') THEN 'rust' WHEN list_contains(tags, 'golang') THEN 'go' WHEN list_contains(tags, 'c++') THEN 'cpp' WHEN list_has_any(tags, ['flask', 'scipy', 'keras']) THEN 'python' WHEN list_has_any(tags, ['fastify', 'socket.io']) THEN 'javascript' WHEN list_contains(tags, 'tokio') THEN 'rust' WHEN list_has_any(tags, ['data-science', 'data-pipeline']) THEN 'python' ELSE 'unknown' END AS language FROM t")
 def language_of_tags(spark, d):
     return table(spark, d, "events").select("event_id", X.language_of_tags(F.split(_TAGS.column, ",")).alias("language"))
 
 
-@query(f"""WITH {K.PACKAGES_SQL}, t AS (SELECT task, list_distinct(list_filter(list_concat(regexp_extract_all(coalesce(test_py, ''), '''([^''\\n]+)''', 1), regexp_extract_all(coalesce(test_py, ''), '\\b([0-9a-fA-F]{{12,}}|[0-9]{{4,}})\\b', 1)), lambda x: length(x) >= 4 AND (length(x) >= 8 OR regexp_matches(x, '^[0-9]+$')) AND NOT regexp_matches(x, '^(/|http|test_|[{{]|%| )'))) AS tokens, coalesce(solve, '') || chr(10) || coalesce(dockerfile, '') || chr(10) || coalesce(instruction, '') AS seen FROM packages) SELECT task, len(tokens)::INT AS tokens, len(list_filter(tokens, lambda x: contains(seen, x)))::INT AS hits FROM t""")
+_STOP_TOKENS = ", ".join(f"'{w}'" for w in X.GENERIC_TOKENS)
+
+
+@query(rf"""WITH {K.PACKAGES_SQL}, q AS (SELECT task, dockerfile, list_transform(regexp_extract_all(coalesce(test_py, ''), '"[^"\n]*"|\x27[^\x27\n]*\x27'), lambda x: trim(x[2:-2])) AS quoted, regexp_extract_all(coalesce(test_py, ''), '\b([0-9a-fA-F]{{12,}}|[0-9]{{4,}})\b') AS numbers FROM packages),
+u AS (SELECT task, coalesce(dockerfile, '') AS seen, list_distinct(list_concat(list_filter(quoted, lambda x: length(x) >= 8 AND NOT regexp_matches(x, '^(/|http|test_|[{{]|%)') AND lower(x) NOT IN ({_STOP_TOKENS}) AND regexp_matches(x, '[A-Za-z0-9]')), numbers)) AS tokens FROM q)
+SELECT task, least(len(tokens), 60)::INT AS tokens, len(list_filter(list_sort(list_transform(tokens, lambda x: {{'n': -length(x), 'x': x}}))[1:60], lambda p: contains(seen, p.x)))::INT AS hits FROM u""")
 def expected_token_leak(spark, d):
-    p = K.packages(spark, d)
-    seen = F.concat_ws("\n", F.coalesce("solve", F.lit("")), F.coalesce("dockerfile", F.lit("")), F.coalesce("instruction", F.lit("")))
-    tokens = p.select("task", X.expected_tokens(F.col("test_py")).alias("t"), seen.alias("seen"))
+    """Tokens of the tests, and those that files other than tests, solution, metadata and instruction show."""
+    tokens = K.packages(spark, d).select("task", X.expected_tokens(F.col("test_py")).alias("t"), F.coalesce("dockerfile", F.lit("")).alias("seen"))
     return tokens.select("task", F.size("t").alias("tokens"), F.size(F.filter("t", lambda x: F.col("seen").contains(x))).alias("hits"))

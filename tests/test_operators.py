@@ -120,13 +120,33 @@ def test_strict_and_lenient_attempts(spark, tmp_path):
 
 
 def test_top_up_counts_ids_once_and_stops(spark, tmp_path):
-    rows = [("1", "t", True), ("1", "t", True), ("2", "t", False), ("3", "u", False), ("4", "u", False), ("5", "u", False), ("6", "u", False)]
-    spark.createDataFrame(rows, "id string, task string, genuine boolean").coalesce(1).write.parquet(f"{tmp_path}/in")
-    src = spark.readStream.schema("id string, task string, genuine boolean").parquet(f"{tmp_path}/in")
-    q = stream.top_up(src, 2, 2).writeStream.format("memory").queryName("topped").outputMode("update").trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/cp").start()
-    q.awaitTermination()
-    got = {r["task"]: (r["genuine"], r["attempts"], r["need"], r["exhausted"]) for r in spark.sql("select * from topped").collect()}
-    assert got == {"t": (1, 2, 1, False), "u": (0, 4, 0, True)}
+    """Batch by batch, with ids delivered again after exhaustion, a restart between the batches and an earlier run."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    schema = "id string, task string, genuine boolean"
+    batches = [
+        [("1", "t", True), ("1", "t", True), ("2", "t", False), ("3", "u", False), ("4", "u", False), ("5", "u", False), ("6", "u", False), ("0", "w", True)],
+        [("3", "u", True), ("6", "u", True), ("2", "t", True), ("7", "w", None)],
+        [("7", "t", True), ("8", "u", True), ("8", "u", True)],
+    ]
+    resume = spark.createDataFrame([("0", "w", True), ("9", "w", False)], schema)
+    want = [
+        {"t": (1, 2, 1, False), "u": (0, 4, 0, True), "w": (1, 2, 1, False)},
+        {"t": (1, 2, 1, False), "u": (0, 4, 0, True), "w": (1, 3, 1, False)},
+        {"t": (2, 3, 0, False), "u": (1, 5, 0, True)},
+    ]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        src = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        # each batch is a query of its own that goes on from the checkpoint
+        out = stream.top_up(src, 2, 2, resume).writeStream
+        got = {}
+
+        def keep(df, _, got=got):
+            got.update({r["task"]: (r["genuine"], r["attempts"], r["need"], r["exhausted"]) for r in df.collect()})
+
+        q = out.foreachBatch(keep).outputMode("update").trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/cp").start()
+        q.awaitTermination()
+        assert got == want[k]
 
 
 def test_more_text_functions(spark):
