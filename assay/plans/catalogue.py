@@ -172,12 +172,12 @@ UNION ALL SELECT one.doc_id, m.doc_id, 'copy' FROM m JOIN one USING (h) WHERE on
 
 @query(_near_sql(0.6))
 def near_dup_pairs(spark, d):
-    return S.near_duplicates(table(spark, d, "documents"), 0.6)
+    return S.near_duplicates(table(ship(spark), d, "documents"), 0.6)
 
 
 @query(_near_sql(0.9))
 def near_dup_strict(spark, d):
-    return S.near_duplicates(table(spark, d, "documents"), 0.9)
+    return S.near_duplicates(table(ship(spark), d, "documents"), 0.9)
 
 
 @query(f"WITH s AS (SELECT item_id, list_distinct(t) AS s FROM ({_toks_sql('benchmark', 'item_id')}) WHERE len(list_distinct(t)) >= 2), p AS (SELECT x.item_id AS a, y.item_id AS b, len(list_intersect(x.s, y.s)) AS n, len(x.s) + len(y.s) AS m FROM s x JOIN s y ON x.item_id < y.item_id) SELECT a, b, n / (m - n) AS jaccard FROM p WHERE n / (m - n) >= 0.1")
