@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.session import with_checkpoints
@@ -24,6 +26,8 @@ SEEDS = (
 )
 SETUP = ("air-gap", "airgap", "read-only", "no network", "pre-installed", "offline", "ephemeral")
 DF_MAX = 0.35
+#: Bits of a long that are used, and distinct sets of a block.
+WORD, BAND = 62, 2048
 
 
 def fingerprint(text: Column, tech: tuple[str, ...] = TECH, ops: tuple[str, ...] = OPS) -> Column:
@@ -53,22 +57,69 @@ def distinctive(prints: DataFrame, key: str = "task", most: float = DF_MAX) -> D
     return long.join(F.broadcast(rare.select("token")), "token").select(key, "token")  # bounded: the vocabulary
 
 
-def alike(tokens: DataFrame, threshold: float, key: str = "task", least: int = 2) -> DataFrame:
-    """(u, v) whose distinct token sets reach the Jaccard threshold, both of ``least`` tokens or more, through one task
-    for each distinct set: equal sets link in a star, different ones by a prefix of their rarest tokens."""
-    sets = tokens.groupBy(key).agg(F.array_sort(F.collect_set("token")).alias("s")).where(F.size("s") >= least)
-    kinds = sets.groupBy("s").agg(F.min(key).alias("rep"))
-    star = sets.join(kinds, "s").where(F.col(key) != F.col("rep")).select(F.col("rep").alias("u"), F.col(key).alias("v"))
-    df = tokens.groupBy("token").agg(F.count("*").alias("df"))
-    long = kinds.select("rep", F.size("s").alias("n"), F.explode("s").alias("token")).join(F.broadcast(df), "token")
-    place = F.row_number().over(Window.partitionBy("rep").orderBy("df", "token"))
-    prefix = long.withColumn("k", place).where(F.col("k") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
-    left, right = (prefix.select("token", F.col("rep").alias(x)) for x in ("u", "v"))
-    near = left.join(right, "token").where("u < v").select("u", "v").distinct()
-    su, sv = (kinds.select(F.col("rep").alias(x), F.col("s").alias(f"s{x}")) for x in ("u", "v"))
-    both = F.size(F.array_intersect("su", "sv"))
-    near = near.join(su, "u").join(sv, "v").where(both >= threshold * (F.size("su") + F.size("sv") - both) - 1e-9)
-    return near.select("u", "v").unionByName(star)
+def masks(tokens: DataFrame, vocabulary: tuple[str, ...], key: str = "task") -> DataFrame:
+    """(key, words, n): each token set as bits of a few longs, by the token's place in the vocabulary; other tokens count for nothing."""
+    place = F.create_map(*[F.lit(x) for k, token in enumerate(vocabulary) for x in (token, k)])[F.col("token")]
+    n_words = max(1, -(-len(vocabulary) // WORD))
+    bit = lambda k: F.when(F.floor(place / WORD) == k, F.expr("shiftleft(1L, cast(place % " + str(WORD) + " as int))"))
+    marked = tokens.withColumn("place", place).where("place is not null")
+    sets = marked.groupBy(key).agg(F.array(*[F.coalesce(F.bit_or(bit(k)), F.lit(0)).cast("long") for k in range(n_words)]).alias("words"))
+    return sets.withColumn("n", F.aggregate("words", F.lit(0), lambda s, w: s + F.bit_count(w).cast("int")))
+
+
+def spanning_links(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links over the rows of ``a``, then those of ``b``, that join just what all pairs of a row of ``a`` and a row of ``b``
+    at the threshold join: each row that has a pair, and the first row that it reaches."""
+    both = sum(np.bitwise_count(x[:, None] & y[None, :]).astype(np.int16) for x, y in zip(a.T, b.T, strict=True))
+    sizes = [np.bitwise_count(m).sum(axis=1, dtype=np.int64) for m in (a, b)]
+    near = both >= threshold * (sizes[0][:, None] + sizes[1][None, :] - both) - 1e-9
+    last = np.int32(len(a) + len(b))
+    left, right = np.arange(len(a), dtype=np.int32), np.arange(len(a), last, dtype=np.int32)
+    while True:
+        new_right = np.minimum(right, np.where(near, left[:, None], last).min(axis=0, initial=last))
+        new_left = np.minimum(left, np.where(near, new_right[None, :], last).min(axis=1, initial=last))
+        if (new_left == left).all() and (new_right == right).all():
+            break
+        left, right = new_left, new_right
+    label, own = np.concatenate([left, right]), np.arange(last)
+    return label[label != own], own[label != own]
+
+
+def _upto(n: str) -> Column:
+    return F.sequence(F.lit(0).cast("long"), (F.col(n) - 1).cast("long"))
+
+
+def alike(tokens: DataFrame, threshold: float, vocabulary: tuple[str, ...], key: str = "task", least: int = 2) -> DataFrame:
+    """Links (u, v) with the same components as all pairs of token sets, both of ``least`` tokens or more, whose Jaccard
+    similarity reaches the threshold.
+
+    Sets are bits of longs and one task stands for each distinct set; equal sets link in a star. Distinct sets lie in bands
+    by their size, of up to ``BAND`` sets a block, and a block meets those of its own size up to size / threshold: no
+    others can reach the threshold. A meeting gives out one link a set at most, whatever the number of pairs.
+    """
+    sets = masks(tokens, vocabulary, key).where(F.col("n") >= least)
+    kinds = sets.groupBy("words", "n").agg(F.min(key).alias("rep"))
+    star = sets.join(kinds, ["words", "n"]).where(F.col(key) != F.col("rep")).select(F.col("rep").alias("u"), F.col(key).alias("v"))
+    bands = kinds.groupBy("n").agg(F.ceil(F.count("*") / BAND).cast("int").alias("blocks"))
+    # a bounded table: a row for each size that the vocabulary allows
+    partners = bands.select("n", "blocks", F.explode(F.sequence(F.col("n"), F.floor(F.col("n") / threshold + 1e-9).cast("int"))).alias("m"))
+    grid = partners.join(bands.select(F.col("n").alias("m"), F.col("blocks").alias("others")), "m")
+    dealt = kinds.withColumn("h", F.xxhash64("words"))
+    left = dealt.join(F.broadcast(grid), "n").select("n", F.pmod("h", "blocks").alias("i"), "m", F.explode(_upto("others")).alias("j"), "rep", "words")
+    fresh = dealt.select(F.col("n").alias("m"), F.col("h").alias("h"), F.col("rep").alias("rep"), F.col("words").alias("words"))
+    right = fresh.join(F.broadcast(grid), "m").select(F.col("n").alias("n"), F.explode(_upto("blocks")).alias("i"), "m", F.pmod("h", "others").alias("j"), "rep", "words")
+
+    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if x.empty or y.empty or (x["n"].iloc[0] == x["m"].iloc[0] and x["i"].iloc[0] > x["j"].iloc[0]):
+            return pd.DataFrame({"u": [], "v": []})
+        reps = np.concatenate([x["rep"], y["rep"]])
+        u, v = spanning_links(*(np.stack(f["words"]).astype(np.uint64) for f in (x, y)), threshold)
+        return pd.DataFrame({"u": reps[u], "v": reps[v]})
+
+    kind = tokens.schema[key].dataType.simpleString()
+    at = ("n", "i", "m", "j")
+    near = left.groupBy(*at).cogroup(right.groupBy(*at)).applyInPandas(meet, f"u {kind}, v {kind}").where("u <> v")
+    return near.unionByName(star)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -77,7 +77,7 @@ RULES = (
         missing_required_file="toml IS NULL OR dockerfile IS NULL OR instruction IS NULL OR solve IS NULL OR test_sh IS NULL",
         empty_required_file="trim(toml) = '' OR trim(dockerfile) = '' OR trim(instruction) = '' OR trim(solve) = '' OR trim(test_sh) = ''",
         missing_recommended_file="test_py IS NULL",
-        dockerfile_no_base_image=_has("dockerfile", r"(?m)^\s*[^#\s]") + " AND NOT " + _has("dockerfile", r"(?mi)^\s*FROM\s"),
+        dockerfile_no_base_image=_has("dockerfile", r"(?m)^[ \t]*[^#\s]") + " AND NOT " + _has("dockerfile", r"(?mi)^[ \t]*FROM\s"),
         dockerfile_trivial=r"trim(dockerfile) <> '' AND regexp_count(dockerfile, r'(?m)^[ \t]*[^#\s]') < 2",
         task_name_not_kebab=f"NOT {_has('name', r'^[a-z0-9-]+$')} OR {_has('name', r'^-|--|-$')}",
         task_name_too_long="length(name) > 50",
@@ -126,23 +126,23 @@ RULES = (
         "dockerfile",
         "dockerfile",
         "FAIL:unpinned-base-image FAIL:base-image-not-digest-pinned FAIL:apt-no-update WARN:apt-get-upgrade WARN:unpinned-pip FAIL:add-remote-url FAIL:curl-pipe-sh WARN:missing-multistage-build FAIL:broad-chmod FAIL:dockerfile-heredoc-source FAIL:archive-fixture-not-extracted FAIL:dockerfile-entrypoint FAIL:test-deps-in-image FAIL:missing-dockerignore FAIL:dockerfile-copies-solution FAIL:dockerfile-copies-tests FAIL:dockerfile-copies-hint-file",
-        unpinned_base_image=_has("dockerfile", r"(?mi)^\s*FROM\s+(?:[^\s:@$]+|[^\s@$]+:latest)(?:\s|$)") + " AND NOT " + _has("dockerfile", r"(?mi)^\s*FROM\s+scratch(?:\s|$)"),
-        base_image_not_digest_pinned="delivery AND " + _has("dockerfile", r"(?mi)^\s*FROM\s+[^\s@$]+:[^\s@$]+(?:\s|$)"),
+        unpinned_base_image=_has("dockerfile", r"(?mi)^[ \t]*FROM\s+(?:[^\s:@$]+|[^\s@$]+:latest)(?:\s|$)") + " AND NOT " + _has("dockerfile", r"(?mi)^[ \t]*FROM\s+scratch(?:\s|$)"),
+        base_image_not_digest_pinned="delivery AND " + _has("dockerfile", r"(?mi)^[ \t]*FROM\s+[^\s@$]+:[^\s@$]+(?:\s|$)"),
         apt_no_update=_has("dockerfile", r"\bapt(-get)?\s+(-y\s+)?install\b") + " AND NOT " + _has("dockerfile", r"\bapt(-get)?\s+update\b"),
         apt_get_upgrade=_has("dockerfile", r"\bapt(-get)?\s+(-y\s+)?(dist-)?upgrade\b"),
         unpinned_pip=_has("dockerfile", r"(?m)\bpip3?\s+install\s+(?:-\S+\s+)*+[A-Za-z][A-Za-z0-9_.\[\]-]*(?:\s|$)"),
-        add_remote_url=_has("dockerfile", r"(?mi)^\s*ADD\s+https?://"),
+        add_remote_url=_has("dockerfile", r"(?mi)^[ \t]*ADD\s+https?://"),
         curl_pipe_sh=_has("dockerfile", r"\b(curl|wget)\b[^\n|]{0,300}\|\s*(sudo\s+)?(ba)?sh\b"),
-        missing_multistage_build=_has("dockerfile", r"\b(make|cargo build|go build|mvn|gcc|npm run build)\b") + " AND NOT " + _has("dockerfile", r"(?si)FROM\s.*\n\s*FROM\s"),
+        missing_multistage_build=_has("dockerfile", r"\b(make|cargo build|go build|mvn|gcc|npm run build)\b") + " AND NOT " + _has("dockerfile", r"(?si)FROM\s.*\n[ \t]*FROM\s"),
         broad_chmod=_has("dockerfile", r"\bchmod\s+-R\b"),
         dockerfile_heredoc_source=_has("dockerfile", r"<<-?\s*[\x27\"]?[A-Za-z_]+[\x27\"]?\s*>|>\s*\S+\s*<<"),
-        archive_fixture_not_extracted=_has("dockerfile", r"(?mi)^\s*(COPY|ADD)\s+\S*\.(tar|tgz|tar\.gz|zip|gz)\b"),
-        dockerfile_entrypoint=_has("dockerfile", r"(?mi)^\s*ENTRYPOINT\b"),
+        archive_fixture_not_extracted=_has("dockerfile", r"(?mi)^[ \t]*(COPY|ADD)\s+\S*\.(tar|tgz|tar\.gz|zip|gz)\b"),
+        dockerfile_entrypoint=_has("dockerfile", r"(?mi)^[ \t]*ENTRYPOINT\b"),
         test_deps_in_image="NOT delivery AND " + _has("dockerfile", r"\bpip3?\s+install\b[^\n]{0,300}\bpytest\b"),
-        missing_dockerignore=_has("dockerfile", r"(?mi)^\s*COPY\s") + " AND " + _has("paths", r"(?m)^environment/[^/\n]+/") + " AND NOT " + _has("paths", r"(?m)^environment/\.dockerignore$"),
-        dockerfile_copies_solution=_has("dockerfile", r"(?mi)^\s*(COPY|ADD)\s+(--\S+\s+)*+\.?/?solution\b"),
-        dockerfile_copies_tests=_has("dockerfile", r"(?mi)^\s*(COPY|ADD)\s+(--\S+\s+)*+\.?/?tests\b"),
-        dockerfile_copies_hint_file=_has("dockerfile", r"(?mi)^\s*(COPY|ADD)\s+\S*(hint|answer|cheat)\S*\s"),
+        missing_dockerignore=_has("dockerfile", r"(?mi)^[ \t]*COPY\s") + " AND " + _has("paths", r"(?m)^environment/[^/\n]+/") + " AND NOT " + _has("paths", r"(?m)^environment/\.dockerignore$"),
+        dockerfile_copies_solution=_has("dockerfile", r"(?mi)^[ \t]*(COPY|ADD)\s+(--\S+\s+)*+\.?/?solution\b"),
+        dockerfile_copies_tests=_has("dockerfile", r"(?mi)^[ \t]*(COPY|ADD)\s+(--\S+\s+)*+\.?/?tests\b"),
+        dockerfile_copies_hint_file=_has("dockerfile", r"(?mi)^[ \t]*(COPY|ADD)\s+\S*(hint|answer|cheat)\S*\s"),
     ),
     *_rules(
         "instructions",
@@ -165,14 +165,14 @@ RULES = (
         secret_baked_in_image=_has("dockerfile", r"(AKIA[0-9A-Z]{16}|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----|ghp_[A-Za-z0-9]{36}|xox[bap]-[A-Za-z0-9-]{10,60})"),
         pycache_baked_in_image=_has("paths", r"(?m)^environment/(\S*/)?(__pycache__/|\S*\.pyc$)"),
         reward_pre_created=_has("paths", r"(?m)^environment/(\S*/)?reward\.(txt|json)$") + " OR " + _has("dockerfile", r">\s*\S*reward\.(txt|json)"),
-        test_imports_solution=_has("test_py", r"(?m)^\s*(from|import)\s+(solution|solve)\b"),
-        skipped_scored_test=_has("test_py", r"(?m)^\s*@pytest\.mark\.(skip|skipif|xfail)\b"),
+        test_imports_solution=_has("test_py", r"(?m)^[ \t]*(from|import)\s+(solution|solve)\b"),
+        skipped_scored_test=_has("test_py", r"(?m)^[ \t]*@pytest\.mark\.(skip|skipif|xfail)\b"),
         empty_parametrize=_has("test_py", r"parametrize\([^\n]{1,200},\s*\[\s*\]"),
-        unconditional_reward=_has("test_sh", r"(?m)^\s*echo\s+[\"\x27]?1[\"\x27]?\s*>\s*\S*reward") + " AND NOT " + _has("test_sh", r"\b(if|then|&&|\|\||\$\?)\b|\$\?"),
-        test_sh_set_e_reward_abort=_has("test_sh", r"(?m)^\s*set\s+-[a-z]*e") + " AND NOT " + _has("test_sh", r"set\s+\+e") + " AND " + _has("test_sh", r"\bpytest\b") + " AND " + _has("test_sh", r"\$\?") + " AND " + _has("test_sh", "reward"),
+        unconditional_reward=_has("test_sh", r"(?m)^[ \t]*echo\s+[\"\x27]?1[\"\x27]?\s*>\s*\S*reward") + " AND NOT " + _has("test_sh", r"\b(if|then|&&|\|\||\$\?)\b|\$\?"),
+        test_sh_set_e_reward_abort=_has("test_sh", r"(?m)^[ \t]*set\s+-[a-z]*e") + " AND NOT " + _has("test_sh", r"set\s+\+e") + " AND " + _has("test_sh", r"\bpytest\b") + " AND " + _has("test_sh", r"\$\?") + " AND " + _has("test_sh", "reward"),
         prompt_injection=" OR ".join(_has(c, INJECTION) for c in SEEN),
         hidden_unicode=" OR ".join(_has(c, HIDDEN) for c in SEEN),
-        tests_bake_unread=_has("dockerfile", r"(?m)^\s*RUN\b[^\n]{0,300}>\s*/tests/") + " AND NOT " + _has("dockerfile", r"rm\s+-rf?\s+/tests"),
+        tests_bake_unread=_has("dockerfile", r"(?m)^[ \t]*RUN\b[^\n]{0,300}>\s*/tests/") + " AND NOT " + _has("dockerfile", r"rm\s+-rf?\s+/tests"),
     ),
     *_rules(
         "portability",
@@ -182,7 +182,7 @@ RULES = (
         backgrounded_daemon_no_redirect=_has("solve", r"(?m)^[^#>\n]*[^&>\n]&\s*$") + " AND NOT " + _has("solve", r"(?m)^exec\s+[^\n]*>"),
         pip_no_break_system_packages=_has("solve", r"\bpip3?\s+install\b") + " AND NOT " + _has("solve", r"(--break-system-packages|\bvenv\b|\buv\s+pip\b)"),
         oracle_runtime_install=_has("solve", INSTALL),
-        redis_no_daemonize=_has("solve", r"(?m)^\s*redis-server\b[^\n&]*$") + " AND NOT " + _has("solve", "--daemonize"),
+        redis_no_daemonize=_has("solve", r"(?m)^[ \t]*redis-server\b[^\n&]*$") + " AND NOT " + _has("solve", "--daemonize"),
         broad_pkill=_has("solve", r"\bpkill\s+-f\b"),
         config_edit_no_restart=_has("solve", r"sed\s+-i\s[^\n]{0,200}\.(conf|cfg|ini)\b") + " AND NOT " + _has("solve", r"\b(restart|reload|HUP)\b"),
         solve_too_long="delivery AND length(solve) - length(replace(solve, chr(10), '')) + 1 >= 200",
@@ -196,7 +196,7 @@ RULES = (
         base64_wrapped_command=_has("test_py", r"b64decode\(\s*[\x27\"][A-Za-z0-9+/=]{8,}"),
         shell_wrapped_python=_has("test_py", r"subprocess\.\w+\([^\n]{0,200}python3?\s+-c"),
         delegates_to_truth_verifier=_has("test_py", r"(?m)^[^#\n]*\.truth/\S{0,200}\.py"),
-        llm_judge_in_verifier=_has("test_py", r"(?m)^\s*(import|from)\s+(openai|litellm|cohere)\b"),
+        llm_judge_in_verifier=_has("test_py", r"(?m)^[ \t]*(import|from)\s+(openai|litellm|cohere)\b"),
         unseeded_randomness_in_verifier=_has("test_py", r"\brandom\.(random|randint|choice|shuffle|sample)\(") + " AND NOT " + _has("test_py", r"\bseed\("),
         wall_clock_in_verifier=_has("test_py", r"\b(datetime\.(now|utcnow|today)|date\.today)\("),
         encoded_ground_truth=" OR ".join(_has(c, ENCODED) for c in ("test_py", "test_sh", "solve")),
