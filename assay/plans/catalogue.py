@@ -151,12 +151,12 @@ def tfidf_terms(spark, d):
 
 @query(f"WITH {_tfidf_sql()} SELECT doc_id, item_id, round(score, 6) AS score FROM best")
 def contamination_best(spark, d):
-    return S.best_match(table(spark, d, "documents"), table(spark, d, "benchmark")).select("doc_id", "item_id", F.round("score", 6).alias("score"))
+    return S.best_match(table(ship(spark), d, "documents"), table(spark, d, "benchmark")).select("doc_id", "item_id", F.round("score", 6).alias("score"))
 
 
 @query(f"WITH {_tfidf_sql()} SELECT CASE WHEN score >= 0.7 THEN 'FAIL' WHEN score >= 0.5 THEN 'WARN' ELSE 'PASS' END AS verdict, count(*) AS n FROM best GROUP BY 1")
 def contamination_verdict(spark, d):
-    return S.best_match(table(spark, d, "documents"), table(spark, d, "benchmark")).groupBy(S.verdict(F.col("score")).alias("verdict")).agg(F.count("*").alias("n"))
+    return S.best_match(table(ship(spark), d, "documents"), table(spark, d, "benchmark")).groupBy(S.verdict(F.col("score")).alias("verdict")).agg(F.count("*").alias("n"))
 
 
 def _near_sql(t: float) -> str:

@@ -153,3 +153,36 @@ def test_near_duplicates_equal_all_pairs(spark, threshold, run, monkeypatch):
     want = {(a, b, "near") for a, b in itertools.combinations(reps, 2) if sum(x * vec[b].get(w, 0) for w, x in vec[a].items()) >= threshold}
     want |= {(first[t or ""], k, "copy") for k, t in enumerate(texts) if first[t or ""] != k}
     assert got == want and rows == len(want) and sum(k == "near" for *_, k in want) > 30
+
+
+def test_block_index_finds_the_best_and_skips_blocks(monkeypatch):
+    monkeypatch.setattr(S, "ITEMS", 4)
+    rng = np.random.default_rng(4)
+    corpus = np.zeros((60, 40))
+    for k in range(60):
+        corpus[k, (k % 6) * 6 + rng.integers(0, 8, 4)] = rng.integers(1, 5, 4)
+    corpus[7] = corpus[1]  # a tie
+    corpus /= np.linalg.norm(corpus, axis=1, keepdims=True)
+    docs = np.vstack([corpus[rng.integers(0, 60, 50)] * 3 + rng.random((50, 40)) * 0.1, np.eye(40)[39:], np.zeros((1, 40))])
+    docs[-2] = 0
+    docs[-2, 38] = 1
+    item, term = np.nonzero(corpus)
+    index = S.BlockIndex(item * 10, term, corpus[item, term])
+    norms = np.maximum(np.linalg.norm(docs, axis=1), 1e-30)
+    got, score, met = index.best(docs, norms)
+    s = np.round(docs @ corpus.T / norms[:, None], 9)
+    want = np.where(s.max(axis=1) > 0, s.argmax(axis=1) * 10, -1)
+    assert (got == want).all() and np.allclose(score, s.max(axis=1), atol=1e-8) and (got == 70).sum() == 0
+    assert met < 0.7 * len(docs) * len(index.blocks)
+
+
+def test_best_match_by_blocks_equals_the_join(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    words = lambda n: " ".join(f"w{k}" for k in rng.integers(0, 50, n))
+    docs = spark.createDataFrame([(k, words(rng.integers(1, 20))) for k in range(40)] + [(90, ""), (91, None), (92, "other things")], "doc_id long, text string")
+    items = spark.createDataFrame([(k, words(8)) for k in range(30)] + [(77, "")], "item_id long, text string")
+    rows = lambda df: sorted((r["doc_id"], r["item_id"], round(r["score"], 9)) for r in df.collect())
+    by_blocks = rows(S.best_match(docs, items))
+    assert [r[1:] for r in by_blocks[-3:]] == [(None, 0.0)] * 3 and rows(S.best_match(docs, items.limit(0)))[0][1:] == (None, 0.0)
+    monkeypatch.setattr(S, "POSTINGS", 3)
+    assert rows(S.best_match(docs, items)) == by_blocks

@@ -173,3 +173,34 @@ def test_leak_flow(spark):
         ]
     )
     assert found(L.leak_findings(files.limit(0))) == []
+
+
+def test_package_source_walks_prunes_and_reads(spark, tmp_path):
+    from assay.sources.packages import register
+
+    tree = {
+        "b/one/task.toml": b"x = 1",
+        "b/one/tests/test_outputs.py": b"assert 1",
+        "b/one/inner/task.toml": b"no package of its own",
+        "b/one/.git/config": b"pruned",
+        "a/two/filesystem/task.toml": b"",
+        "a/two/filesystem/instruction.md": b"caf\xe9",
+        "c/one/task.toml": b"second of its name",
+        "a/node_modules/three/task.toml": b"pruned",
+        "a/loose.txt": b"no package",
+    }
+    for path, content in tree.items():
+        (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / path).write_bytes(content)
+    read = register(spark).read.format("task_packages")
+    df = read.option("packagesPerPartition", 1).load(str(tmp_path))
+    assert df.rdd.getNumPartitions() == 2
+    assert {(r["task"], r["rel_path"], r["size"], r["text"]) for r in df.collect()} == {
+        ("one", "task.toml", 5, "x = 1"),
+        ("one", "tests/test_outputs.py", 8, "assert 1"),
+        ("one", "inner/task.toml", 21, "no package of its own"),
+        ("two", "task.toml", 0, ""),
+        ("two", "instruction.md", 4, "caf�"),
+    }
+    assert read.load(f"file://{tmp_path}/c").select("task", "text").collect() == [("one", "second of its name")]
+    assert read.load(f"{tmp_path}/none").count() == 0 == read.load(f"{tmp_path}/a/node_modules/none").count()
