@@ -114,3 +114,50 @@ def coverage_by_model(attempts: DataFrame, bar: float = 1.0) -> DataFrame:
     """Tasks, runs and passes of each model, from the partial counts of (task, model)."""
     part = attempts.groupBy("model", "task").agg(F.count("*").alias("runs"), F.count_if(is_pass(F.col("score"), bar)).alias("passes"))
     return part.groupBy("model").agg(F.count("*").alias("tasks"), F.sum("runs").alias("runs"), F.sum("passes").alias("passes"))
+
+
+def completed(attempts: DataFrame) -> DataFrame:
+    """Attempts whose status is just ``completed``; a null status is none."""
+    return attempts.where(F.col("status") == "completed")
+
+
+def task_key(name: str = "task_name", id_: str = "task_id") -> Column:
+    """The task's name, its id where the name is null or empty."""
+    return F.coalesce(F.nullif(F.col(name), F.lit("")), F.col(id_).cast("string"))
+
+
+def only(rows: DataFrame, spec: str, key: str = "task") -> DataFrame:
+    """Rows whose key a list names: names between commas, or with @ the lines of a text file, without blank ones and
+    comments. An empty list keeps all rows; a null key is in no list. The list is read by Spark and small or shuffled as its size asks."""
+    if not spec:
+        return rows
+    spark = rows.sparkSession
+    if spec.startswith("@"):
+        names = spark.read.text(spec[1:]).select(F.trim("value").alias("_name")).where("_name <> '' and _name not like '#%'").distinct()
+    else:
+        names = spark.range(1).select(F.explode(F.filter(F.split(F.lit(spec), ","), lambda x: x != "")).alias("_name")).distinct()
+    return rows.join(names, F.col(key).cast("string") == F.col("_name"), "left_semi") if not names.isEmpty() else rows
+
+
+def failed_tests(log: Column) -> Column:
+    """Distinct names, sorted, of the tests that a verbose log calls FAILED; a null log has none."""
+    return F.array_sort(F.array_distinct(F.regexp_extract_all(F.coalesce(log, F.lit("")), F.lit(r"\b(test_\w+) FAILED"), F.lit(1))))
+
+
+def distinct_ids(parts: list[DataFrame], key: str) -> DataFrame:
+    """The ids of all parts, each once; null counts as one."""
+    out = parts[0].select(key)
+    for p in parts[1:]:
+        out = out.unionByName(p.select(key))
+    return out.distinct()
+
+
+def promoted(meta: Column, aliases: dict[str, str]) -> Column:
+    """A map whose missing canonical keys get the value of their alias; the aliases stay. A null map is null."""
+    missing = [F.when(~F.map_contains_key(meta, k) & F.map_contains_key(meta, a), F.struct(F.lit(k).alias("k"), meta[a].alias("v"))) for k, a in aliases.items()]
+    return F.map_from_entries(F.concat(F.transform(F.map_entries(meta), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"))), F.array_compact(F.array(*missing))))
+
+
+def nearest_eighth(share: Column) -> Column:
+    """A share of 0 to 1 at the nearest eighth, halves to the even one; other numbers as they are."""
+    return F.when((share >= 0) & (share <= 1), F.rint(share * 8) / 8).otherwise(share)

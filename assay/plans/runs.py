@@ -348,3 +348,42 @@ def expected_token_leak(spark, d):
     """Tokens of the tests, and those that files other than tests, solution, metadata and instruction show."""
     tokens = K.packages(spark, d).select("task", X.expected_tokens(F.col("test_py")).alias("t"), F.coalesce("dockerfile", F.lit("")).alias("seen"))
     return tokens.select("task", F.size("t").alias("tokens"), F.size(F.filter("t", lambda x: F.col("seen").contains(x))).alias("hits"))
+
+
+# --- attempts as they come ----------------------------------------------------------------------------------------
+_COME = """SELECT event_id, CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'view' THEN 'Completed' WHEN 'click' THEN NULL ELSE event_type END AS status, CASE WHEN value < 5 THEN '' ELSE event_type END AS task_name, user_id AS task_id FROM {e}"""
+
+
+@query(f"WITH a AS ({_COME.format(e='events')}) SELECT CASE WHEN task_name IS NULL OR task_name = '' THEN CAST(task_id AS VARCHAR) ELSE task_name END AS task, count(*) AS n FROM a WHERE status = 'completed' GROUP BY 1")
+def completed_by_key(spark, d):
+    attempts = spark.sql(_COME.format(e="{e}"), e=table(spark, d, "events"))
+    return A.completed(attempts).groupBy(A.task_key().alias("task")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT source, count(*) AS n FROM documents WHERE source IN ('src1', 'src3') GROUP BY source")
+def only_listed(spark, d):
+    return A.only(table(spark, d, "documents"), "src1,,src3", "source").groupBy("source").agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id FROM labels WHERE toxic = 1 UNION SELECT doc_id FROM documents WHERE source = 'src1' UNION SELECT doc_id FROM labels WHERE quality = 0")
+def union_of_ids(spark, d):
+    labels = table(spark, d, "labels")
+    return A.distinct_ids([labels.where("toxic = 1"), table(spark, d, "documents").where("source = 'src1'"), labels.where("quality = 0")], "doc_id")
+
+
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS x FROM documents), n AS (SELECT doc_id, 'test_' || regexp_extract(x, '[a-z]+') || '_' || length(x) % 2 AS name FROM l WHERE length(x) % 3 = 0)
+SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS failed FROM n GROUP BY doc_id""")
+def failed_test_names(spark, d):
+    """Names from logs, with a line for each line of a document."""
+    line = lambda x: F.concat(F.lit("tests/test_outputs.py::test_"), F.regexp_extract(x, "([a-z]+)", 1), F.lit("_"), (F.length(x) % 2).cast("string"), F.when(F.length(x) % 3 == 0, " FAILED").otherwise(" PASSED"), F.lit(" [ 3%]"))
+    log = F.array_join(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), line), "\n")
+    return table(spark, d, "documents").select("doc_id", F.array_join(A.failed_tests(log), ",").alias("failed")).where("failed <> ''")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' AND x > 0.9 THEN NULL WHEN x BETWEEN 0 AND 1 THEN round_even(x * 8, 0) / 8 ELSE x END AS avg_at_8 FROM (SELECT *, o_totalprice % 128 / 100 AS x FROM orders)")
+def promoted_metadata(spark, d):
+    """The canonical key of half the orders, an alias of the others, neither for a few."""
+    x = F.col("o_totalprice") % 128 / 100
+    name = F.when(F.col("o_orderstatus") != "O", "avg_at_8").when(x <= 0.9, "avg-at-8").otherwise("other")
+    meta = A.promoted(F.create_map(name, x), {"avg_at_8": "avg-at-8"})
+    return table(spark, d, "orders").select("o_orderkey", A.nearest_eighth(meta["avg_at_8"]).alias("avg_at_8"))

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assay.functions import text as T
+from assay.operators import attempts as A
 from assay.operators import clusters as C
 from assay.operators import rules as R
 from assay.operators import similarity as S
@@ -186,3 +187,28 @@ def test_best_match_by_blocks_equals_the_join(spark, monkeypatch):
     assert [r[1:] for r in by_blocks[-3:]] == [(None, 0.0)] * 3 and rows(S.best_match(docs, items.limit(0)))[0][1:] == (None, 0.0)
     monkeypatch.setattr(S, "POSTINGS", 3)
     assert rows(S.best_match(docs, items)) == by_blocks
+
+
+def test_dense_vectors_of_several_lengths(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [1.0, 0.0, 0.0]), (4, [2.0, 0.0, 0.1]), (5, []), (6, None), (7, [0.0, 0.0]), (None, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, S.dense_near_duplicates(df, 0.9).collect())) == [(1, 2), (3, 4)]
+    got = {r["query_id"]: r["vec_id"] for r in S.dense_best(df.where("vec_id in (1, 3)"), df).collect()}
+    assert got == {1: 2, 3: 4}
+
+
+def test_lists_keys_and_metadata(spark, tmp_path):
+    (tmp_path / "only.txt").write_text("# a list\n\nb\n c \n")
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "task string, task_id int")
+    named = lambda spec: sorted(r["task_id"] for r in A.only(df, spec).collect())
+    assert [named(x) for x in ("", "a,,c", f"@{tmp_path}/only.txt", ",", "zz")] == [[1, 2, 3, 4], [1, 3], [2, 3], [1, 2, 3, 4], []]
+    keys = spark.createDataFrame([("n", 1), ("", 2), (None, 3), (None, None)], "task_name string, task_id int")
+    assert [r[0] for r in keys.select(A.task_key()).collect()] == ["n", "2", "3", None]
+    status = spark.createDataFrame([("completed",), ("Completed",), (None,), (" completed",)], "status string")
+    assert A.completed(status).count() == 1
+    log = spark.createDataFrame([("a.py::test_b FAILED [1%]\na.py::test_a PASSED\ntest_a FAILED\ntest_b FAILED",), (None,)], "l string")
+    assert [r[0] for r in log.select(A.failed_tests(F.col("l"))).collect()] == [["test_a", "test_b"], []]
+    meta = spark.createDataFrame([({"x-y": 1.0},), ({"x": 2.0, "x-y": 1.0},), ({},), (None,)], "m map<string,double>")
+    assert [r[0] for r in meta.select(A.promoted(F.col("m"), {"x": "x-y"})).collect()] == [{"x-y": 1.0, "x": 1.0}, {"x": 2.0, "x-y": 1.0}, {}, None]
+    shares = spark.createDataFrame([(0.111,), (0.0625,), (0.1875,), (1.5,), (None,)], "s double")
+    assert [r[0] for r in shares.select(A.nearest_eighth(F.col("s"))).collect()] == [0.125, 0.0, 0.25, 1.5, None]
