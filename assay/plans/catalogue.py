@@ -366,4 +366,4 @@ def star_setops(spark, d):
 
 
 # the other modules register theirs
-from assay.plans import files, packages, runs, static_qc, triage  # noqa: E402, F401
+from assay.plans import files, packages, reviews, runs, static_qc, triage  # noqa: E402, F401
