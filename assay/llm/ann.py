@@ -151,7 +151,8 @@ def _ranked(queries: DataFrame, rows: DataFrame, keys: list[str], k: int) -> Dat
     """Blockwise ranking of the queries against the rows that share ``keys``."""
     n_rows = _blocks(rows, keys).withColumnRenamed("blocks", "rb")
     n_q = _blocks(queries, keys).withColumnRenamed("blocks", "qb")
-    grid = n_rows.join(n_q, keys)
+    # a row a cell, however many vectors: sent to the tasks, vectors stay where they are until they meet
+    grid = F.broadcast(n_rows.join(n_q, keys))
 
     def put(df: DataFrame, own: str, other: str) -> DataFrame:
         mine = F.pmod(F.xxhash64("id"), F.col({"i": "qb", "j": "rb"}[own])).cast("int").alias(own)
@@ -163,6 +164,15 @@ def _ranked(queries: DataFrame, rows: DataFrame, keys: list[str], k: int) -> Dat
     return put(queries, "i", "j").groupBy(*at).cogroup(put(rows, "j", "i").groupBy(*at)).applyInPandas(_block_ranker(k), schema)
 
 
+def sample(rows: DataFrame) -> list:
+    """The SAMPLE rows of lowest hash. Rows beyond a bound that leaves twice as many on average never leave their tasks, so
+    that what reaches the driver doesn't grow with the number of partitions."""
+    h = F.xxhash64("id")
+    bound = -(2**63) + 2**64 * 2 * SAMPLE // max(rows.count(), 2 * SAMPLE + 1)
+    low = rows.where(h <= F.lit(bound)).orderBy(h, "id").limit(SAMPLE).collect()
+    return low if len(low) == SAMPLE else rows.orderBy(h, "id").limit(SAMPLE).collect()
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", tables: int = 2, hashes: int = 4, width: float = 1.5, success: float = 0.78, seed: int = 11) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row that ``is_query``."""
     spark = vectors.sparkSession
@@ -178,7 +188,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     queries, rows = packed.where("q").select("id", "vec"), packed.select("id", "vec")
 
     # bounded sample: the k-th nearest distance among SAMPLE rows is not below that among all
-    some = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
+    some = sample(rows)
     x = unit(np.frombuffer(b"".join(r["vec"] for r in some), "<f8").reshape(len(some), -1))
     own = np.array([r["id"] for r in some], np.int64)
     s = x[:200] @ x.T

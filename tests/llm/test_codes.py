@@ -195,3 +195,29 @@ def test_registered_queries_over_whole_tables(spark, library):
     vecs = spark.read.parquet(f"{data}/embeddings.parquet")
     n = vecs.where(finite(F.col("embedding").cast("array<double>"))).count()
     assert queries.op11_centroids(spark, data).count() == queries.op13_vector_codes(spark, data).count() == n
+
+
+def test_the_neighbours_sample_is_bounded_before_the_driver(spark, monkeypatch):
+    """The rows of lowest hash, of which all but about twice their number stay in their tasks."""
+    from pyspark.sql import functions as F
+
+    from assay.llm import ann
+
+    monkeypatch.setattr(ann, "SAMPLE", 50)
+    rows = spark.range(0, 20000, 1, 40).select("id", F.lit(b"x").alias("vec"))
+    want = [r["id"] for r in rows.orderBy(F.xxhash64("id"), "id").limit(50).collect()]
+    assert [r["id"] for r in ann.sample(rows)] == want
+    few = spark.range(30).select("id", F.lit(b"x").alias("vec"))
+    assert len(ann.sample(few)) == 30 and ann.sample(few.limit(0)) == []
+    seen = spark.sparkContext.accumulator(0)
+
+    class Frame:
+        def __getattr__(self, name):
+            return getattr(rows, name)
+
+        def where(self, when):
+            seen.add(rows.where(when).count())
+            return rows.where(when)
+
+    ann.sample(Frame())
+    assert 50 <= seen.value <= 200
