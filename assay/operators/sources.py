@@ -41,16 +41,17 @@ def finding(area: str, severity: str, title: str, location: Column, detail: Colu
     return [F.col("task"), F.lit(area).alias("area"), F.lit(severity).alias("severity"), F.lit(title).alias("title"), location.alias("location"), detail.alias("detail")]
 
 
-def python_facts(files: DataFrame) -> DataFrame:
-    """(task, rel_path, function, line, kind, path, value) of every fact of the files below tests/ that end in .py."""
+def python_facts(files: DataFrame, literals: bool = True) -> DataFrame:
+    """(task, rel_path, function, line, kind, path, value) of every fact of the files below tests/ that end in .py; without
+    ``literals`` of those that are findings alone."""
     tests = files.where(F.col("rel_path").rlike(r"^tests/(.*/)?[^/]+\.py$"))
-    return tests.lateralJoin(PythonFacts(F.col("text").outer())).select("task", "rel_path", "function", "line", "kind", "path", "value")
+    return tests.lateralJoin(PythonFacts(F.col("text").outer(), F.lit(literals))).select("task", "rel_path", "function", "line", "kind", "path", "value")
 
 
 def test_findings(files: DataFrame) -> DataFrame:
     """Findings of test files; what holds for a verifier as a whole is asked of its main file alone."""
     titles = F.create_map(*[F.lit(x) for kind, area, title in PYTHON_TITLES for x in (kind, f"{area} {title}")])
-    facts = python_facts(files).withColumn("t", F.split(titles[F.col("kind")], " ")).where("t is not null")
+    facts = python_facts(files, literals=False).withColumn("t", F.split(titles[F.col("kind")], " ")).where("t is not null")
     facts = facts.where(~F.col("kind").isin("literal-only", "syntax-error") | (F.col("rel_path") == TEST_PY))
     return facts.select("task", F.col("t")[0].alias("area"), F.lit("FAIL").alias("severity"), F.col("t")[1].alias("title"), F.concat_ws(":", "rel_path", "line").alias("location"), F.coalesce("function", "value", F.lit("")).alias("detail"))
 

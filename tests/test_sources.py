@@ -204,3 +204,14 @@ def test_package_source_walks_prunes_and_reads(spark, tmp_path):
     }
     assert read.load(f"file://{tmp_path}/c").select("task", "text").collect() == [("one", "second of its name")]
     assert read.load(f"{tmp_path}/none").count() == 0 == read.load(f"{tmp_path}/a/node_modules/none").count()
+
+
+def test_findings_alone_equal_those_among_all_facts(spark, monkeypatch):
+    source = "import solution\ndef test_a():\n    assert f() == 1\ndef test_b():\n    pass\n@pytest.mark.skip\ndef test_c():\n    try:\n        assert g(open('/x').read()) == 'y'\n    except Exception:\n        pass\n"
+    for text in (source, source.replace("f()", "len(f())"), "def test_a():\n    assert f() == -1\n", "def broken(:"):
+        every = [x for x in python_facts(text) if x[2] not in ("test", "literal", "literal-file")]
+        assert list(python_facts(text, literals=False)) == every and every
+    asked = []
+    monkeypatch.setattr(S, "python_facts", lambda files, literals=True, f=S.python_facts: asked.append(literals) or f(files, literals))
+    files = spark.createDataFrame([("t", S.TEST_PY, source)], "task string, rel_path string, text string")
+    assert {r["title"] for r in S.test_findings(files).collect()} == {"vacuous-test", "skipped-scored-test", "swallowed-assertion", "test-imports-solution"} and asked == [False]
