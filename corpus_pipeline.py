@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from assay.llm import bpe, mixing, ngram_jaccard, quality, secrets
 from assay.llm.features import free_names
 from assay.llm.queries import secret_ledger, vocabulary_path
-from assay.llm.store import Scratch
+from assay.llm.store import Scratch, passing
 from assay.session import ship, table
 
 MIN_QUALITY = 0.3
@@ -47,7 +47,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows without an id come last in a group; rows of one id go by the hash of their text. Rows of a text without words
     are groups of their own, of which those of one id and text are one.
     """
-    rows, key = with_keys(docs, Scratch(spark))
+    scratch = Scratch(spark)
+    rows, key = with_keys(docs, scratch)
     few = rows.select(F.col(key).alias("_key"), "doc_id", "text")
     groups = ngram_jaccard.jaccard_groups(few, id_col="_key", width=SHINGLE_WORDS, threshold=SIMILARITY)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", text_hash().alias("h"), "_key")
@@ -56,7 +57,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     bare = F.when(F.col("n_shingles") == 0, F.struct("p.doc_id", "p.h", F.when(F.col("p.doc_id").isNull(), F.col("_key")).alias("k")))
     group = F.struct(F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("c"), bare.alias("b"))
     first = placed.groupBy(group.alias("g")).agg(F.min("p").alias("p")).select(F.col("p._key").alias(key))
-    return rows.join(first, key, "left_semi").select(*docs.columns)
+    return rows.join(ngram_jaccard.bounded_broadcast(scratch.keep(first, "first")), key, "left_semi").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,10 +70,12 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows, with or without an id, as often as the mix takes them."""
-    rows, key = with_keys(docs, Scratch(spark))
+    scratch = Scratch(spark)
+    rows, key = with_keys(docs, scratch)
     taken = mixing.mix(rows.select("doc_id", "text", "source", F.col(key).alias("_key")), key_col="_key").where("passes > 0")
-    times = taken.select(F.col("_key").alias(key), F.sequence(F.lit(1), F.col("passes").cast("int")).alias("__passes"))
-    return rows.join(times, key).select(*docs.columns, F.explode("__passes").alias("__pass")).select(*docs.columns)
+    times = scratch.keep(taken.select(F.col("_key").alias(key), F.col("passes").cast("int").alias("__passes")), "times")
+    met = rows.join(ngram_jaccard.bounded_broadcast(times), key)
+    return met.select(*docs.columns, F.explode(F.sequence(F.lit(1), "__passes")).alias("__pass")).select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -98,7 +101,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = scratch.keep(stage(spark, docs, sf_dir), f"stage{k}")
+        with passing():
+            docs = scratch.keep(stage(spark, docs, sf_dir), f"stage{k}")
         if k:
             scratch.drop(f"stage{k - 1}")
     return docs
