@@ -77,11 +77,17 @@ def survivors(writes: DataFrame, gone: DataFrame) -> DataFrame:
     return writes.join(hit.withColumn("hit", F.lit(True)), ["task", "path"], "left").select("task", "path", F.col("hit").isNull().alias("survives"))
 
 
-def text_of(files: DataFrame, paths: tuple[str, ...], name: str) -> DataFrame:
-    """(task, name): the texts of these files of a package, in this order."""
-    order = F.create_map(*[x for k, p in enumerate(paths) for x in (F.lit(p), F.lit(k))])
-    mine = files.where(F.col("rel_path").isin(*paths)).select("task", F.struct(order[F.col("rel_path")].alias("k"), F.coalesce("text", F.lit("")).alias("text")).alias("f"))
-    return mine.groupBy("task").agg(F.array_join(F.transform(F.array_sort(F.collect_list("f")), lambda f: f["text"]), "\n").alias(name))
+def texts_of(files: DataFrame, **names: tuple[str, ...]) -> DataFrame:
+    """One row a package: under each name the texts of these files, in this order, empty without any; files are grouped once."""
+    place = {p: k for k, p in enumerate(p for paths in names.values() for p in paths)}
+    order = F.create_map(*[F.lit(x) for pair in place.items() for x in pair])
+    held = F.when(F.col("rel_path").isin(*place), F.struct(order[F.col("rel_path")].alias("k"), F.coalesce("text", F.lit("")).alias("text")))
+    per = files.select("task", held.alias("f")).groupBy("task").agg(F.array_sort(F.collect_list("f")).alias("f"))
+
+    def of(paths: tuple[str, ...]) -> Column:
+        return F.array_join(F.transform(F.filter("f", lambda f: f["k"].isin(*[place[p] for p in paths])), lambda f: f["text"]), "\n")
+
+    return per.select("task", *[of(paths).alias(name) for name, paths in names.items()])
 
 
 def opened(text: Column) -> Column:
@@ -125,11 +131,9 @@ def leak_findings(files: DataFrame, instructions: DataFrame | None = None) -> Da
     modes = modes.where(~F.col("path").rlike(r"/tests|\.truth")).where(base_name(F.col("path")).rlike(TRUTHY) | base_name(F.col("path")).rlike(GRADERISH)).groupBy("task").agg(F.collect_set("path").alias("guarded"))
     drops = instructions.where((F.col("instr") == "USER") & ~F.col("args").rlike(r"^root\b")).select("task").distinct()
     modes = modes.join(drops, "task", "left_anti")
-    one = files.select("task").distinct()
-    for part in (fates, modes, text_of(files, (TEST_PY, TEST_SH), "verifier"), text_of(files, (SOLVE,), "solve"), text_of(files, ("instruction.md",), "told")):
-        one = one.join(part, "task", "left")
+    one = texts_of(files, verifier=(TEST_PY, TEST_SH), solve=(SOLVE,), told=("instruction.md",)).join(fates, "task", "left").join(modes, "task", "left")
     empty = F.array().cast("array<string>")
-    one = one.select("task", *[F.coalesce(c, empty).alias(c) for c in ("tests_all", "tests_left", "baked", "guarded")], *[F.coalesce(c, F.lit("")).alias(c) for c in ("verifier", "solve")], F.lower(F.coalesce("told", F.lit(""))).alias("told"))
+    one = one.select("task", *[F.coalesce(c, empty).alias(c) for c in ("tests_all", "tests_left", "baked", "guarded")], "verifier", "solve", F.lower("told").alias("told"))
     reads = F.filter(opened(F.col("verifier")), lambda p: ~p.rlike("^/(tests|tmp)"))
     one = one.withColumn("reads", reads).withColumn("read_names", F.transform("reads", base_name))
 

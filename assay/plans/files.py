@@ -77,7 +77,9 @@ def _written(pieces: tuple[str, ...], begin, end=None):
 
 def files(spark: SparkSession, d: str) -> DataFrame:
     """(task, rel_path, text): six files for each document."""
-    docs = table(ship(spark), d, "documents").select(F.col("doc_id").alias("task"), F.length(F.coalesce("text", F.lit(""))).alias("size"), _lines().alias("lines"))
+    # a table may be one row group, which one task reads; files are written and read by as many as there are cores
+    docs = table(ship(spark), d, "documents").select(F.col("doc_id").alias("task"), "text").repartition("task")
+    docs = docs.select("task", F.length(F.coalesce("text", F.lit(""))).alias("size"), _lines().alias("lines"))
     base = F.element_at(F.array(*map(F.lit, BASES)), F.size("lines") % len(BASES) + 1)
     end = F.array_compact(F.array(F.when(F.col("size") % 5 == 0, F.lit("import solution")), F.when(F.col("size") % 7 == 0, F.lit("def broken(:"))))
     told = F.array_join(F.transform(F.filter("lines", lambda x: x["n"] % 2 == 0), lambda x: F.concat(F.lit("use "), x["w"])), "\n")
