@@ -22,7 +22,10 @@ form pools, one for each leader, the class of a cell that stands in most large c
   the leader lacks first. Prefixes are cells again: small ones give pairs, large ones pools of the next level.
 * after ``LEVELS`` levels a pool that is still large is compared in blocks, every two in a task.
 
-What the count-vector bound lets through is verified on the texts' own shingles.
+The count-vector bound is weak for long texts, whose random counts are much alike. Each of them therefore has a *sketch* too,
+the parity of its shingles in about as many groups as it has shingles: two sets differ in at least as many shingles as their
+sketches differ in bits, so a pair whose sketches differ too much is dropped as well. What both bounds let through is
+verified on the texts' own shingles.
 
 Defined results: a null or empty text, or one of white space only, has no shingles and no link. Rows with a null id
 are returned with a null component and link with nothing. Rows that repeat an id are returned each; they share its links.
@@ -50,6 +53,8 @@ PAIR_CELL = 8
 BLOCK, LEAF, LEVELS = 1024, 16, 4
 #: Near pairs for each class of a pool above which the pool gives out a forest first.
 MANY = 4
+#: Shingles beyond which a set has a sketch (its counts average four or more), and bytes of sketches that are compared at a time.
+SKETCHED, SKETCH_BYTES = 4 * DIMS, 1 << 22
 #: Most ids that are broadcast: 8 bytes each, under 100 MB as a hash table.
 BROADCAST_IDS = 3_000_000
 #: Most bytes of leaders' texts that are broadcast.
@@ -168,13 +173,52 @@ def _enough(overlap, a, b, t: Fraction):
     return (t.numerator + t.denominator) * overlap >= t.numerator * (a + b)
 
 
+def sketches(val: np.ndarray, row: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """Of each set the parity of its shingles in groups by their low bits, a power of two of groups that is no less than its
+    size; nothing of sets of up to ``SKETCHED`` shingles."""
+    sizes = np.diff(at)
+    groups = np.where(sizes > SKETCHED, np.int64(1) << np.ceil(np.log2(np.maximum(sizes, 64))).astype(np.int64), 0)
+    m = groups[row] > 0
+    val, row = val[m], row[m]
+    base = np.concatenate(([0], np.cumsum(groups)))
+    odd = np.bincount(base[row] + (val & (groups[row] - 1).astype(np.uint64)).astype(np.int64), minlength=base[-1]) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return [packed[lo:hi] for lo, hi in zip(base[:-1] // 8, base[1:] // 8, strict=True)]
+
+
+def _folded(some: list[bytes], width: int) -> np.ndarray:
+    """Sketches as rows of ``width`` bytes: groups that agree in their low bits are one."""
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, "<u8").reshape(-1, width // 8), axis=0) for x in some])
+
+
+def differing(p: list[bytes], q: list[bytes], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each pair (p[i], q[j]) of sketches the bits that differ: no more than the shingles in which the sets differ."""
+    width = np.minimum(np.array([len(x) for x in p], np.int64)[i], np.array([len(x) for x in q], np.int64)[j])
+    out = np.zeros(len(width), np.int64)
+    for w in np.unique(width[width > 0]):
+        at = np.flatnonzero(width == w)
+        (a, i_a), (b, j_b) = np.unique(i[at], return_inverse=True), np.unique(j[at], return_inverse=True)
+        a, b = _folded([p[k] for k in a], w), _folded([q[k] for k in b], w)
+        step = max(1, SKETCH_BYTES // int(w))
+        for lo in range(0, len(at), step):
+            out[at[lo : lo + step]] = np.bitwise_count(a[i_a[lo : lo + step]] ^ b[j_b[lo : lo + step]]).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _near(differ, a, b, t: Fraction):
+    """Whether sets of sizes a and b that differ in no fewer shingles may reach t, in whole numbers."""
+    return (t.numerator + t.denominator) * differ <= (t.denominator - t.numerator) * (a + b)
+
+
 def _bounder(t: Fraction):
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 4096):
                 x = b.slice(lo, 4096)
                 p, q = points(x.column(2).to_pylist()), points(x.column(3).to_pylist())
-                keep = _enough(np.minimum(p, q).sum(axis=1, dtype=np.int64), p.sum(axis=1, dtype=np.int64), q.sum(axis=1, dtype=np.int64), t)
+                n, m, k = p.sum(axis=1, dtype=np.int64), q.sum(axis=1, dtype=np.int64), np.arange(x.num_rows)
+                keep = _enough(np.minimum(p, q).sum(axis=1, dtype=np.int64), n, m, t)
+                keep &= _near(differing(x.column(4).to_pylist(), x.column(5).to_pylist(), k, k), n, m, t)
                 yield x.select([0, 1]).filter(pa.array(keep))
 
     return bound
@@ -221,9 +265,10 @@ def _pointer(width: int):
                 val, row, at = shingle_sets(b.column(1).slice(lo, hi - lo), width)
                 n = hi - lo
                 point = np.bincount(row * DIMS + (val >> _U(56)).astype(np.int64), minlength=n * DIMS).reshape(n, DIMS)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, n), pa.array([x.astype(np.min_scalar_type(x.max())).tobytes() for x in point], pa.binary())], ["id", "point"])
+                point = pa.array([x.astype(np.min_scalar_type(x.max())).tobytes() for x in point], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, n), point, pa.array(sketches(val, row, at), pa.binary())], ["id", "point", "sketch"])
 
-    return make
+    return make, "id long, point binary, sketch binary"
 
 
 def forest(a: np.ndarray, b: np.ndarray, rank: np.ndarray, part: np.ndarray) -> np.ndarray:
@@ -256,7 +301,7 @@ def forest(a: np.ndarray, b: np.ndarray, rank: np.ndarray, part: np.ndarray) ->
 
 
 def _block_joiner(t: Fraction, forest_first: bool):
-    """Pairs of different components of a pool's two blocks (or one) that the bound lets through, and whether some were
+    """Pairs of different components of a pool's two blocks (or one) that both bounds let through, and whether some were
     kept back: with ``forest_first`` a forest stands for more than ``MANY`` pairs a class."""
 
     def join(key, rows):
@@ -269,9 +314,11 @@ def _block_joiner(t: Fraction, forest_first: bool):
         a, b = left[a], right[b]
         apart = (part[a] != part[b]) & ((a < b) if i == j else True)
         a, b, most = a[apart], b[apart], most[apart]
+        n, sketch = p.sum(axis=1, dtype=np.int64), rows["sketch"].tolist()
+        close = _near(differing(sketch, sketch, a, b), n[a], n[b], t)
+        a, b, most = a[close], b[close], most[close]
         back = forest_first and len(a) > MANY * len(rows)
         if back:
-            n = p.sum(axis=1, dtype=np.int64)
             kept = forest(a, b, most / (n[a] + n[b]), part)
             a, b = a[kept], b[kept]
         a, b = ids[a], ids[b]
@@ -370,10 +417,10 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return base.join(bounded_broadcast(ids), "id", "left_semi")
 
     def verified(near: DataFrame, points: DataFrame | None = None) -> DataFrame:
-        """(u, v): those of the pairs (a, b) whose sets reach the threshold, where there are points first by the bound."""
+        """(u, v): those of the pairs (a, b) whose sets reach the threshold, where there are points first by the bounds."""
         if points is not None:
-            near = near.join(points.select(F.col("id").alias("a"), F.col("point").alias("pa")), "a").join(points.select(F.col("id").alias("b"), F.col("point").alias("pb")), "b")
-            near = near.select("a", "b", "pa", "pb").mapInArrow(_bounder(t), "a long, b long")
+            near = near.join(points.select(F.col("id").alias("a"), F.col("point").alias("pa"), F.col("sketch").alias("sa")), "a").join(points.select(F.col("id").alias("b"), F.col("point").alias("pb"), F.col("sketch").alias("sb")), "b")
+            near = near.select("a", "b", "pa", "pb", "sa", "sb").mapInArrow(_bounder(t), "a long, b long")
         near = scratch.keep(near.distinct(), "near")
         wanted = scratch.keep(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
         # rows that repeat an id with other texts stand beside each other: a link of either counts for the id
@@ -421,7 +468,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     pairs, pool = (reduce(DataFrame.unionByName, x) for x in (candidates, pools))
     wanted = scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(pool.select("id")).distinct(), "wanted")
-    point = scratch.keep(of_ids(wanted).mapInArrow(_pointer(width), "id long, point binary"), "points")
+    point, ddl = _pointer(width)
+    point = scratch.keep(of_ids(wanted).mapInArrow(point, ddl), "points")
     edges = reduce(DataFrame.unionByName, [*sure, verified(pairs.distinct(), point)])
     found = components(edges, scratch, "first")
     scratch.drop("links", "pairs", "sure", "shared", "spread")
