@@ -21,15 +21,18 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Words of more chunks of eight bytes than this are hashed one by one.
 LONG_WORD = 64
+#: Shingles of a row beyond which it is sorted by itself.
+SORTED_ALONE = 32
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = x ^ (x >> _U(30))
-    x = x * _U(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> _U(27))
-    x = x * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
 
 
 def string_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -108,23 +111,29 @@ def shingle_sets(arr: pa.Array, width: int = 3) -> tuple[np.ndarray, np.ndarray,
     h, at = word_hashes(arr)
     n_words = np.diff(at)
     n = len(n_words)
-    owner = np.repeat(np.arange(n), n_words)
     factors = mix(np.arange(1, width + 1, dtype=np.uint64)) | _U(1)
-    full = np.flatnonzero(np.arange(len(h)) + width <= at[1:][owner]) if len(h) else np.zeros(0, np.int64)
-    value = np.zeros(len(full), np.uint64)
+    whole = n_words >= width
+    counts = np.where(whole, n_words - width + 1, n_words > 0)
+    starts = np.concatenate(([0], np.cumsum(counts)))
+    row = np.repeat(np.arange(n), counts)
+    val = np.empty(len(row), np.uint64)
+    full = np.flatnonzero(whole[row])
+    value = np.zeros(max(len(h) - width + 1, 0), np.uint64)
     for k in range(width):
-        value += h[full + k] * factors[k]
-    rows, values = [owner[full]], [mix(value)]
+        value += h[k : k + len(value)] * factors[k]
+    val[full] = mix(value[full + (at[:-1] - starts[:-1])[row[full]]])
     for m in range(1, width):
         short = np.flatnonzero(n_words == m)
         value = np.full(len(short), _U(0x1234567 * m), np.uint64)
         for k in range(m):
             value += h[at[short] + k] * factors[k]
-        rows.append(short)
-        values.append(mix(value + _U(m)))
-    row, val = np.concatenate(rows), np.concatenate(values)
-    order = np.lexsort((val, row))
-    row, val = row[order], val[order]
+        val[starts[short]] = mix(value + _U(m))
+    # a row's values lie side by side: long rows are sorted where they lie, the short ones all at once
+    long = counts > SORTED_ALONE
+    for lo, hi in zip(starts[:-1][long].tolist(), starts[1:][long].tolist(), strict=True):
+        val[lo:hi].sort()
+    rest = np.flatnonzero(((counts > 1) & ~long)[row])
+    val[rest] = val[rest][np.lexsort((val[rest], row[rest]))]
     if len(row):
         first = np.ones(len(row), bool)
         first[1:] = (row[1:] != row[:-1]) | (val[1:] != val[:-1])

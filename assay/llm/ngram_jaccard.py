@@ -51,6 +51,8 @@ DIMS = 256
 PAIR_CELL = 8
 #: Classes that meet in one task, points in a leaf, and levels of pools.
 BLOCK, LEAF, LEVELS = 1024, 16, 4
+#: Cells of a task that looks for those that stand in several rows, and those worth a task of their own.
+CELLS, FEW_CELLS = 1 << 20, 1 << 16
 #: Near pairs for each class of a pool above which the pool gives out a forest first.
 MANY = 4
 #: Shingles beyond which a set has a sketch (its counts average four or more), and bytes of sketches that are compared at a time.
@@ -78,8 +80,8 @@ def family_shape(ends: np.ndarray, family: np.ndarray, t: Fraction) -> tuple[np.
     return d + 1 + spare, spare
 
 
-def _cells(val: np.ndarray, row: np.ndarray, sizes: np.ndarray, t: Fraction) -> list[np.ndarray]:
-    """Cell keys of each set in both its families."""
+def _cells(val: np.ndarray, row: np.ndarray, sizes: np.ndarray, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """(set, cell key) of all sets in both their families, by set."""
     n = len(sizes)
     ends = size_bands(t, int(sizes.max(initial=1)))
     band = np.searchsorted(ends, sizes, "right") - 1
@@ -105,7 +107,7 @@ def _cells(val: np.ndarray, row: np.ndarray, sizes: np.ndarray, t: Fraction) ->
         key_all.append(key[out])
     owner, key = np.concatenate(owner_all), np.concatenate(key_all)
     order = np.argsort(owner, kind="stable")
-    return np.split(key[order].view(np.int64), np.searchsorted(owner[order], np.arange(1, n)))
+    return owner[order], key[order].view(np.int64)
 
 
 def _signer(width: int):
@@ -125,15 +127,66 @@ def _signer(width: int):
     return sign, "id long, n_shingles long, d1 long, d2 long"
 
 
-def _celler(width: int, t: Fraction):
+def _packed_cells(cell: np.ndarray, ids: np.ndarray, n: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Cells with their sets' ids and sizes, those of a bucket in one row; bytes of equal weight lie together, as they compress best so."""
+    bucket = (cell.view(np.uint64) % _U(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    held, first = np.unique(bucket[order], return_index=True)
+    cell, ids, n = cell[order], ids[order], n[order]
+    packed = [np.split(x, first[1:]) for x in (cell, ids, n)]
+    planes = [[v.view(np.uint8).reshape(len(v), -1).T.tobytes() for v in x] for x in packed]
+    return pa.RecordBatch.from_arrays([pa.array(held), *(pa.array(x, pa.binary()) for x in planes)], ["bucket", "cell", "id", "n"])
+
+
+def _unpacked(column, kind: str) -> np.ndarray:
+    """The numbers of a column of ``_packed_cells``, one row after the other."""
+    size = np.dtype(kind).itemsize
+    parts = [np.ascontiguousarray(np.frombuffer(x.as_buffer(), np.uint8).reshape(size, -1).T).view(kind).reshape(-1) for x in column]
+    return np.concatenate(parts)
+
+
+def _celler(width: int, t: Fraction, buckets: int):
     def cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for b in batches:
+            ids = np.asarray(b.column(0))
             for lo, hi in chunks(b.column(1)):
                 val, row, at = shingle_sets(b.column(1).slice(lo, hi - lo), width)
                 sizes = np.diff(at)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(sizes.astype(np.int32)), pa.array(_cells(val, row, sizes, t), pa.list_(pa.int64()))], ["id", "n", "cells"])
-
-    return cell, "id long, n int, cells array<long>"
+                owner, key = _cells(val, row, sizes, t)
+                held.append((key, ids[lo:hi][owner], sizes[owner].astype(np.int32)))
+                rows += len(key)
+                if rows >= CELLS:
+                    yield _packed_cells(*(np.concatenate(x) for x in zip(*held, strict=True)), buckets)
+                    held, rows = [], 0
+        if rows:
+            yield _packed_cells(*(np.concatenate(x) for x in zip(*held, strict=True)), buckets)
+
+    return cell, "bucket int, cell binary, id binary, n binary"
+
+
+def cells_expected(shingles: int, t: Fraction) -> int:
+    """About the cells of sets of so many shingles in all, in both families."""
+    return int(4 * shingles * (1 - t) / (1 + t) / t)
+
+
+def _sharer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the packed cells of a partition those that stand in several sets, by cell, and in how many."""
+    held = [[_unpacked(b.column(k), kind) for k, kind in ((1, "<i8"), (2, "<i8"), (3, "<i4"))] for b in batches if b.num_rows]
+    if not held:
+        return
+    cell, ids, n = (np.concatenate(x) for x in zip(*held, strict=True))
+    del held
+    order = np.argsort(cell)
+    cell = cell[order]
+    starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+    m = np.diff(np.append(starts, len(cell)))
+    m = np.repeat(m, m)
+    several = np.flatnonzero(m > 1)
+    for lo in range(0, len(several), 1 << 16):
+        at = several[lo : lo + (1 << 16)]
+        own = order[at]
+        yield pa.RecordBatch.from_arrays([pa.array(cell[at]), pa.array(ids[own]), pa.array(n[own]), pa.array(m[at])], ["cell", "id", "n", "m"])
 
 
 def cells_needed(a: np.ndarray, b: np.ndarray, t: Fraction) -> np.ndarray:
@@ -242,16 +295,21 @@ def leaf_join(p: np.ndarray, q: np.ndarray, t: Fraction) -> tuple[np.ndarray, np
     """Row pairs of p and q that the bound lets through, and the bound: q packed in leaves by size, leaf corners first,
     points second."""
     np_, nq = p.sum(axis=1, dtype=np.int64), q.sum(axis=1, dtype=np.int64)
-    order = np.lexsort((q[:, 0], nq))
+    order, by_size = np.lexsort((q[:, 0], nq)), np.argsort(np_, kind="stable")
+    p, np_ = p[by_size], np_[by_size]
+    # sums of minima are no larger than the sizes
+    wide, kind = (np.uint16 if n < 1 << 16 else np.uint32 for n in (np_.max(initial=0), min(np_.max(initial=0), nq.max(initial=0))))
     left, right, most = [], [], []
     for lo in range(0, len(order), LEAF):
         leaf = order[lo : lo + LEAF]
-        corner, least = q[leaf].max(axis=0), nq[leaf].min()
-        near = np.flatnonzero(_enough(np.minimum(p, corner).sum(axis=1, dtype=np.uint32).astype(np.int64), np_, least, t))
+        corner, least, largest = q[leaf].max(axis=0), nq[leaf[0]], nq[leaf[-1]]
+        # sizes alone rule out sets below t of the leaf's least or beyond 1 / t of its largest
+        first, last = np.searchsorted(np_, -(-least * t.numerator // t.denominator)), np.searchsorted(np_, largest * t.denominator // t.numerator, "right")
+        near = first + np.flatnonzero(_enough(np.minimum(p[first:last], corner).sum(axis=1, dtype=wide).astype(np.int64), np_[first:last], least, t))
         if len(near):
-            low = np.minimum(p[near][:, None, :], q[leaf][None, :, :]).sum(axis=2, dtype=np.uint32).astype(np.int64)
+            low = np.minimum(p[near][:, None, :], q[leaf][None, :, :]).sum(axis=2, dtype=kind).astype(np.int64)
             i, j = np.nonzero(_enough(low, np_[near][:, None], nq[leaf][None, :], t))
-            left.append(near[i])
+            left.append(by_size[near[i]])
             right.append(leaf[j])
             most.append(low[i, j])
     none = np.zeros(0, np.int64)
@@ -406,10 +464,11 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = scratch.keep(some.groupBy("d1", "d2").agg(F.min("id").alias("rep")), "classes")
     others = scratch.keep(signed.where("id is not null").select("id").distinct().join(classes.select(F.col("rep").alias("id")), "id", "left_anti"), "others")
 
-    to_cells, ddl = _celler(width, t)
-    cells = base.where("id is not null").join(bounded_broadcast(others), "id", "left_anti").mapInArrow(to_cells, ddl).select(F.explode("cells").alias("cell"), "id", "n")
-    shared = cells.withColumn("m", F.count("*").over(Window.partitionBy("cell"))).where("m > 1")
-    shared = scratch.keep(shared, "shared")
+    expected = cells_expected(some.agg(F.sum("n_shingles")).first()[0] or 0, t)
+    tasks = max(1, -(-expected // CELLS), min(int(spark.conf.get("spark.sql.shuffle.partitions")), expected // FEW_CELLS))
+    to_cells, ddl = _celler(width, t, tasks)
+    cells = base.where("id is not null").join(bounded_broadcast(others), "id", "left_anti").mapInArrow(to_cells, ddl)
+    shared = scratch.keep(cells.repartitionById(tasks, "bucket").mapInArrow(_sharer, "cell long, id long, n int, m long"), "shared")
     scratch.drop("others")
 
     def of_ids(ids: DataFrame) -> DataFrame:
